@@ -9,11 +9,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_KINDS = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "array<string>": T.ArrayType(T.StringType()),
+}
+
+
 def _struct(*fields: tuple[str, T.DataType | str]) -> T.StructType:
     return T.StructType([
-        T.StructField(name, T.StructType.fromDDL(f"c {kind}")[0].dataType if isinstance(kind, str) else kind)
-        for name, kind in fields
-    ])
+        T.StructField(name, _KINDS[kind] if isinstance(kind, str) else kind) for name, kind in fields])
+
+
+def schema_of(columns: str) -> T.StructType:
+    """``'a int, b string'`` -> schema, without a running session."""
+    return _struct(*[tuple(column.split()) for column in columns.split(",")])
 
 
 # Indoor sensors: element of ``sensorMessages``, also the columns of the history export.

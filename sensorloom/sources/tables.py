@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.keys import surrogate_key
 from sensorloom.operators.conform import absent_from, first_per_key
+from sensorloom.sources.schemas import schema_of
 
 SEEN = ("_seen_at", "_seen_id")  # order in which a dimension's rows arrived
 
@@ -35,7 +36,7 @@ class Table:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.columns)
+        return schema_of(self.columns)
 
     @property
     def attributes(self) -> list[str]:
@@ -76,8 +77,12 @@ def dimension_rows(batch: DataFrame, table: Table) -> DataFrame:
 def add_dimension_rows(batch: DataFrame, root: str, table: Table) -> None:
     """Append the rows whose natural key is new.  Repeating it adds nothing."""
     existing = read_table(batch.sparkSession, root, table)
-    rows = absent_from(dimension_rows(batch, table), existing, table.natural_key)
-    rows.hint("rebalance").write.mode("append").parquet(table_path(root, table.name))
+    rows = absent_from(dimension_rows(batch, table), existing, table.natural_key).persist()
+    try:
+        if not rows.isEmpty():
+            rows.hint("rebalance").write.mode("append").parquet(table_path(root, table.name))
+    finally:
+        rows.unpersist()
 
 
 def write_facts(rows: DataFrame, root: str, table: Table, batch: str) -> None:

@@ -53,7 +53,7 @@ def optional_fields(spark, sf_dir):
 
 
 @query("unreadable_documents", """
-SELECT '{"k": ' || o_orderkey AS unreadable_record FROM orders WHERE o_orderstatus = 'P'
+SELECT '{"k": ' || o_orderkey AS unreadable_record, 0 AS read_columns FROM orders WHERE o_orderstatus = 'P'
 """)
 def unreadable_documents(spark, sf_dir):
     folder = shared_folder(spark, "broken")
@@ -61,8 +61,9 @@ def unreadable_documents(spark, sf_dir):
     table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderstatus") == "P", body).otherwise(F.concat(body, F.lit("}"))).alias("value"),
     ).write.text(folder)
-    read = read_documents(spark, folder, T.StructType([T.StructField("k", T.LongType())]))
-    return read.filter(F.col("unreadable_record").isNotNull()).select("unreadable_record")
+    read = read_documents(spark, folder, T.StructType([T.StructField("absent", T.LongType())]))
+    return read.filter(F.col("unreadable_record").isNotNull()).select(
+        "unreadable_record", F.col("absent").isNotNull().cast("int").alias("read_columns"))
 
 
 @query("csv_round_trip", """

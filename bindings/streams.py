@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import partial
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from bindings.indoor_feed import ROWS_SQL, SETTINGS
 from bindings.registry import query, table
@@ -17,11 +18,15 @@ from sensorloom.sources.schemas import INDOOR_MESSAGE
 from sensorloom.sources.tables import read_table
 from sensorloom.streaming import events as event_streams
 from sensorloom.streaming.ingest import ingest
-from pyspark.sql import types as T
 
 _ENVELOPE = T.StructType([T.StructField("sensorMessages", T.ArrayType(INDOOR_MESSAGE))])
 
 
+def as_text(df: DataFrame, timestamp: str) -> DataFrame:
+    """Timestamps as text with microseconds, as they arrive in JSON."""
+    return df.withColumn(timestamp, F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
 def _run_ingest(spark, sf_dir) -> str:
     """Messages landed as two drops, ingested by two runs of the same stream."""
     landed, root, checkpoint = (shared_folder(spark, name) for name in ("landing", "tables", "checkpoint"))
@@ -30,7 +35,7 @@ def _run_ingest(spark, sf_dir) -> str:
     prepare, build = partial(indoor.prepare, settings=SETTINGS), indoor.tables
     for drop in (sent.filter(loud), sent.filter(~loud)):
         body = F.struct(*[name for name in drop.columns if name in INDOOR_MESSAGE.names])
-        drop.select(F.array(body).alias("sensorMessages")).write.mode("append").json(landed)
+        as_text(drop, "messageDate").select(F.array(body).alias("sensorMessages")).write.mode("append").json(landed)
         arriving = unwrap(readable(read_documents(spark, landed, _ENVELOPE, stream=True)), "sensorMessages")
         ingest(arriving, prepare, build, indoor.TABLES, root, checkpoint).awaitTermination()
     return root
@@ -66,8 +71,6 @@ ORDER BY "messageDate" DESC
 """)
 def stored_day_report(spark, sf_dir):
     """The range report on the stored tables, which are partitioned by day."""
-    import datetime as dt
-
     root = _run_ingest(spark, sf_dir)
     tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
     report = reports.indoor_report(tables, dt.datetime(2024, 1, 3, 12), dt.datetime(2024, 1, 6))
@@ -77,7 +80,7 @@ def stored_day_report(spark, sf_dir):
 def _landed_events(spark, sf_dir, twice: bool = False):
     landed = shared_folder(spark, "landing")
     events = table(spark, sf_dir, "events")
-    (events.unionByName(events) if twice else events).write.json(landed)
+    as_text(events.unionByName(events) if twice else events, "ts").write.json(landed)
     schema = T.StructType([
         field if field.name != "ts" else T.StructField("ts", T.StringType()) for field in events.schema.fields])
     return read_documents(spark, landed, schema, stream=True).drop(UNREADABLE)
@@ -97,7 +100,7 @@ def stream_dedupe(spark, sf_dir):
 @query("stream_resample", """
 SELECT event_type, time_bucket(INTERVAL '10 minutes', ts) AS ts, round(avg(value), 6) AS value FROM events
 WHERE time_bucket(INTERVAL '10 minutes', ts) + INTERVAL '10 minutes' <=
-      (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 hour' FROM events)
+      (SELECT max(ts) - INTERVAL '1 hour' FROM events)
 GROUP BY 1, 2
 """)
 def stream_resample(spark, sf_dir):

@@ -12,8 +12,8 @@ from sensorloom.functions.temporal import lenient_day_first
 from sensorloom.plans import logger, uplink
 from sensorloom.session import shared_folder
 from sensorloom.sources import delimited, landing
-from sensorloom.sources.documents import read_documents, read_envelope, readable
-from sensorloom.sources.schemas import INDOOR_MESSAGE, UPLINK_DOCUMENT
+from sensorloom.sources.documents import read_documents, read_envelope
+from sensorloom.sources.schemas import INDOOR_MESSAGE
 
 
 @query("json_envelope_rows", f"""
@@ -44,11 +44,8 @@ SELECT uplink_guid, session_key_id, cast(k AS integer) AS f_port, frm_payload,
 FROM up
 """)
 def optional_fields(spark, sf_dir):
-    """Nested documents through JSON files, where absent keys are simply not written."""
-    folder = shared_folder(spark, "documents")
-    documents(spark, sf_dir).write.option("ignoreNullFields", True).json(folder)
-    read = readable(read_documents(spark, folder, UPLINK_DOCUMENT))
-    return uplink.build(read)["uplink_uplinks"].select(
+    """Nested documents from JSON files, where absent keys are simply not written."""
+    return uplink.build(documents(spark, sf_dir))["uplink_uplinks"].select(
         "uplink_guid", "session_key_id", "f_port", "frm_payload", "raw_bytes", "consumed_airtime")
 
 

@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorloom.session import shared_folder
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, documents: Callable[[], DataFrame]) -> str:
+    """Folder with the documents as JSON lines; written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        folder = shared_folder(spark, name)
+        documents().write.json(folder)
+        _LANDED[key] = folder
+    return _LANDED[key]
+
+
 def guid(tag: str, *parts: str) -> str:
     """SQL of a surrogate key."""
     texts = "".join(f", coalesce(cast({part} AS varchar), chr(30))" for part in parts)

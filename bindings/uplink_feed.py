@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from bindings.registry import guid, query, table
+from bindings.registry import guid, landed, query, table
 from sensorloom.plans import uplink
+from sensorloom.sources.documents import read_documents, readable
 from sensorloom.sources.schemas import UPLINK_DOCUMENT
 from sensorloom.sources.tables import dimension_rows
 
@@ -13,6 +14,12 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def documents(spark, sf_dir) -> DataFrame:
+    """Uplink documents that landed as JSON."""
+    folder = landed(spark, sf_dir, "uplink", lambda: _events_as_documents(spark, sf_dir))
+    return readable(read_documents(spark, folder, UPLINK_DOCUMENT))
+
+
+def _events_as_documents(spark, sf_dir) -> DataFrame:
     """Clicks are heard by two gateways, views by none; signups have too few values; purchases use
     the older payload."""
     kind, user, event = F.col("event_type"), F.col("user_id"), F.col("event_id")
@@ -36,10 +43,11 @@ def documents(spark, sf_dir) -> DataFrame:
         F.struct(F.lit("a").alias("sender_address"), F.lit("b").alias("receiver_name"),
                  F.lit("c").alias("receiver_agent"), F.date_format("ts", ISO).alias("received_at"),
                  F.lit("19").alias("forwarder_net_id")).alias("packet_broker"))
+    # The receivers differ in their keys, so each is written as text under the full schema.
     shape = UPLINK_DOCUMENT["uplink_message"].dataType["rx_metadata"].dataType
-    # Round trip through JSON so that absent keys become NULL under the full schema.
-    receivers = F.concat_ws(",", F.when(click, F.concat_ws(",", F.to_json(near), F.to_json(far)))
-                            .when(kind == "view", None).otherwise(F.to_json(plain)))
+    receivers = (
+        F.when(click, F.concat_ws(",", F.to_json(near), F.to_json(far)))
+        .when(kind == "view", F.lit("")).otherwise(F.to_json(plain)))
     rx = F.from_json(F.concat(F.lit("["), receivers, F.lit("]")), shape)
     current = kind.isin("click", "signup", "view")
     payload = F.struct(

@@ -6,13 +6,21 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from bindings.registry import guid, query, table
+from bindings.registry import guid, landed, query, table
 from sensorloom.functions.keys import surrogate_key
 from sensorloom.plans import reports, water
+from sensorloom.sources.documents import read_documents, readable
+from sensorloom.sources.schemas import WATER_POLL
 from sensorloom.sources.tables import dimension_rows
 
 
 def polls(spark, sf_dir) -> DataFrame:
+    """Polled documents that landed as JSON."""
+    folder = landed(spark, sf_dir, "water", lambda: _orders_as_polls(spark, sf_dir))
+    return readable(read_documents(spark, folder, WATER_POLL))
+
+
+def _orders_as_polls(spark, sf_dir) -> DataFrame:
     """Urgent orders are failed fetches, P orders report two channels, F orders no update time."""
     status, key = F.col("o_orderstatus"), F.col("o_custkey").cast("string")
     stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")

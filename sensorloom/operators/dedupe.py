@@ -32,4 +32,4 @@ def copies_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def cascade(children: DataFrame, survivors: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Child rows whose parent survived."""
-    return children.join(survivors.select(*keys).distinct(), list(keys), "left_semi")
+    return children.join(survivors.select(*keys), list(keys), "left_semi")

@@ -73,30 +73,53 @@ def with_parent_timestamp(parents: DataFrame, updates: DataFrame, parent_key: st
     return parents.join(own, parent_key, "inner")
 
 
-def literal_prefix(pattern: Column) -> Column:
-    """Text before the first wildcard of a LIKE pattern."""
-    return F.regexp_extract(pattern, f"^([^{WILDCARDS}]*)", 1)
+def longest_literal(pattern: Column) -> Column:
+    """The longest run of ordinary characters of a LIKE pattern, ``''`` if it has only wildcards."""
+    pieces = F.transform(
+        F.split(pattern, f"[{WILDCARDS}]"), lambda piece: F.struct(F.length(piece).alias("n"), piece.alias("text")))
+    return F.array_max(pieces).getField("text")
 
 
 def like_lookup(patterns: DataFrame, names: DataFrame, pattern: str, name: str) -> DataFrame:
     """For each distinct LIKE pattern the smallest name that it matches: (pattern, name).
 
-    Both sides are reduced to their distinct texts.  A pattern can only match names that begin with
-    its literal prefix, so the join is an equality of prefixes: every name offers all its prefixes
-    of the lengths that occur among the patterns, and LIKE only checks those candidates.  A pattern
-    that begins with a wildcard has the empty prefix and is compared with every distinct name.
+    Both sides are reduced to their distinct texts.  A pattern can only match names that contain
+    its longest literal piece, so the join is an equality: every name offers its substrings of the
+    lengths that occur among the pieces, and LIKE only checks names that share the piece.  Patterns
+    of wildcards alone depend on the length of a name, so the smallest name per length decides.
     """
     asked = (
         patterns.select(pattern).distinct().filter(F.col(pattern).isNotNull())
-        .withColumn("_prefix", literal_prefix(F.col(pattern)))
+        .withColumn("_piece", longest_literal(F.col(pattern)))
     )
     offered = names.select(name).distinct().filter(F.col(name).isNotNull())
-    sizes = asked.select(F.length("_prefix").alias("_size")).agg(F.collect_set("_size").alias("_sizes"))
-    usable = F.array_intersect(F.sequence(F.lit(0), F.length(name)), sizes.scalar())
-    candidates = offered.withColumn("_usable", usable).select(name, F.explode("_usable").alias("_size")).select(
-        name, F.left(F.col(name), F.col("_size")).alias("_prefix"))
+    with_literal = _like_by_piece(asked.filter("_piece <> ''"), offered, pattern, name)
+    return with_literal.unionByName(_like_by_length(asked.filter("_piece = ''"), offered, pattern, name))
+
+
+def _like_by_piece(asked: DataFrame, offered: DataFrame, pattern: str, name: str) -> DataFrame:
+    sizes = asked.agg(F.collect_set(F.length("_piece")).alias("_sizes"))
+    fitting = F.array_intersect(F.sequence(F.lit(1), F.length(name)), sizes.scalar())
+    sized = offered.filter(F.length(name) > 0).withColumn("_fitting", fitting).select(
+        name, F.explode("_fitting").alias("_size"))
+    starts = F.sequence(F.lit(1), F.length(name) - F.col("_size") + 1)
+    pieces = F.array_distinct(F.transform(starts, lambda start: F.substring(F.col(name), start, F.col("_size"))))
+    candidates = sized.select(name, F.explode(pieces).alias("_piece"))
+    # The planner cannot foresee how many pieces there are, so neither side may be broadcast.
     return (
-        asked.join(candidates, "_prefix")
+        asked.hint("merge").join(candidates, "_piece")
         .filter(F.like(F.col(name), F.col(pattern), F.lit(NO_ESCAPE)))
         .groupBy(pattern).agg(F.min(name).alias(name))
     )
+
+
+def _like_by_length(asked: DataFrame, offered: DataFrame, pattern: str, name: str) -> DataFrame:
+    fixed = F.length(pattern) - F.length(F.translate(F.col(pattern), "_", ""))
+    open_ended = F.contains(F.col(pattern), F.lit("%"))
+    smallest = offered.groupBy(F.length(name).alias("_length")).agg(F.min(name).alias(name))
+    exact = smallest.select(F.lit(False).alias("_open"), F.col("_length").alias("_fixed"), name)
+    at_least = smallest.select(
+        F.lit(True).alias("_open"), F.explode(F.sequence(F.lit(0), "_length")).alias("_fixed"), name)
+    by_shape = exact.unionByName(at_least).groupBy("_open", "_fixed").agg(F.min(name).alias(name))
+    shaped = asked.select(pattern, open_ended.alias("_open"), fixed.alias("_fixed"))
+    return shaped.join(by_shape, ["_open", "_fixed"]).select(pattern, name)

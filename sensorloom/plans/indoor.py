@@ -80,11 +80,16 @@ GATEWAY_NAMES = {"GatewayID": "gatewayID", "NetworkID": "networkID", "Name": "ga
 
 @dataclass(frozen=True)
 class IndoorSettings:
-    """Which sensors carry trailing characters, which cells are split and where."""
+    """Which sensors carry trailing characters, which cells are split and where.
+
+    ``ignore_case`` stores names, types and labels in lower case, so that spellings that differ in
+    case are one.
+    """
 
     sensor_types: Sequence[str] = ()
     split_columns: Sequence[str] = ("rawData", "dataValue", "dataType", "plotValues", "plotLabels")
     delimiters: Sequence[str] = ("%7c", "|")
+    ignore_case: bool = False
 
     def __post_init__(self) -> None:
         literal_alternation(self.delimiters)
@@ -122,6 +127,8 @@ def prepare(messages: DataFrame, settings: IndoorSettings = IndoorSettings()) ->
     })
     accepted, rejected = split_rejects(judged)
     rows = split_parallel(align_particulate(accepted), settings.split_columns, settings.delimiters)
+    if settings.ignore_case:
+        rows = rows.withColumns({name: F.lower(name) for name in ("sensorName", "dataType", "plotLabels")})
     return flag_words_to_boolean(rows, "pendingChange"), rejected
 
 

@@ -8,7 +8,7 @@ from sensorloom.functions.keys import surrogate_key
 from sensorloom.functions.temporal import offset_timestamp, plain_timestamp
 from sensorloom.functions.text import truthy
 from sensorloom.operators.clean import split_rejects, with_reject_reason
-from sensorloom.operators.joins import left_lookup
+from sensorloom.operators.joins import left_enrich, left_lookup, unique_lookup
 from sensorloom.operators.reshape import first_of, number_channels, unpivot_channels
 from sensorloom.sources.tables import Table
 
@@ -209,15 +209,13 @@ def sensor_catalogue(readings: DataFrame, sensors: DataFrame) -> DataFrame:
 def rekey_history(long: DataFrame, units: DataFrame, catalogue: DataFrame, measure_units: DataFrame) -> DataFrame:
     """History rows with the ids and names of their unit, sensor and measure unit.
 
-    Rows of unknown channels drop out; a channel with several sensors yields a row for each.
+    Rows of unknown channels drop out; a channel with several sensors yields a row for each.  The
+    small tables are joined with each other first, so the history is joined only once.
     """
     known_units = units.select("unitGUID", "unitID", "unitName").distinct()
     names = measure_units.select("mUnitGUID", "mUnitName").distinct()
-    return (
-        long.join(known_units, "unitID")
-        .join(catalogue, ["unitGUID", "analogID"])
-        .join(names, "mUnitGUID")
-    )
+    channels = known_units.join(catalogue, "unitGUID").join(names, "mUnitGUID")
+    return long.join(channels, ["unitID", "analogID"])
 
 
 def load_history(long: DataFrame, units: DataFrame, catalogue: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -227,8 +225,9 @@ def load_history(long: DataFrame, units: DataFrame, catalogue: DataFrame) -> tup
     """
     located = left_lookup(long, units, ["unitID"], ["unitGUID"])
     accepted, rejected = split_rejects(with_reject_reason(located, {"unknown unit": F.col("unitGUID").isNull()}))
-    sensed = left_lookup(accepted, catalogue, ["unitGUID", "analogID"], ["sensorGUID"])
-    measured = left_lookup(sensed, catalogue, ["unitGUID", "sensorGUID"], ["mUnitGUID"]).withColumn(
+    sensors = unique_lookup(catalogue, ["unitGUID", "analogID"], ["sensorGUID"])
+    channels = left_lookup(sensors, catalogue, ["unitGUID", "sensorGUID"], ["mUnitGUID"])
+    measured = left_enrich(accepted, channels, ["unitGUID", "analogID"]).withColumn(
         "readingGUID", surrogate_key("water_history", "ID", "unitID", "DATETIME", "analogID"))
     readings = measured.select(
         "readingGUID", "unitGUID", "mUnitGUID", "sensorGUID", F.col("analogID").cast("int").alias("analogID"),

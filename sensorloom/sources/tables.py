@@ -88,15 +88,17 @@ def add_dimension_rows(batch: DataFrame, root: str, table: Table) -> None:
 def write_facts(rows: DataFrame, root: str, table: Table, batch: str) -> None:
     """Write the rows of one load.  Repeating a load replaces its own rows and no others.
 
-    Rows are spread by day before the write, with large days split, so tasks neither write into
-    every day's folder nor wait for one huge day.
+    Rows of a table kept by day are spread by day before the write, with large days split, so tasks
+    neither write into every day's folder nor wait for one huge day.  Other tables are written
+    without a shuffle.
     """
     out = rows.select(*table.schema.names)
     if table.day_of:
         out = out.withColumn("day", F.to_date(table.day_of))
     partitions = ["day", "batch"] if table.day_of else ["batch"]
     out = out.withColumn("batch", F.lit(batch))
-    out = out.hint("rebalance", "day") if table.day_of else out.hint("rebalance")
+    if table.day_of:
+        out = out.hint("rebalance", "day")
     (
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(table_path(root, table.name))

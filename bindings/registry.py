@@ -30,17 +30,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_FOLDERS: dict[tuple[str, str, str], str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, documents: Callable[[], DataFrame]) -> str:
-    """Folder with the documents as JSON lines; written once per session and data folder."""
+def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Folder that ``write`` fills; done once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _LANDED:
+    if key not in _FOLDERS:
         folder = shared_folder(spark, name)
-        documents().write.json(folder)
-        _LANDED[key] = folder
-    return _LANDED[key]
+        write(folder)
+        _FOLDERS[key] = folder
+    return _FOLDERS[key]
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, documents: Callable[[], DataFrame]) -> str:
+    """Folder with the documents as JSON lines."""
+    return once(spark, sf_dir, name, lambda folder: documents().write.json(folder))
 
 
 def guid(tag: str, *parts: str) -> str:

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from bindings.indoor_feed import ROWS_SQL, SETTINGS
-from bindings.registry import query, table
+from bindings.registry import once, query, table
 from bindings.views import messages
 from sensorloom.plans import indoor, reports
 from sensorloom.session import shared_folder
@@ -27,9 +27,13 @@ def as_text(df: DataFrame, timestamp: str) -> DataFrame:
     return df.withColumn(timestamp, F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
-def _run_ingest(spark, sf_dir) -> str:
+def _ingested(spark, sf_dir) -> str:
+    return once(spark, sf_dir, "tables", lambda root: _run_ingest(spark, sf_dir, root))
+
+
+def _run_ingest(spark, sf_dir, root: str) -> None:
     """Messages landed as two drops, ingested by two runs of the same stream."""
-    landed, root, checkpoint = (shared_folder(spark, name) for name in ("landing", "tables", "checkpoint"))
+    landed, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
     sent = messages(spark, sf_dir)
     loud = F.col("pendingChange").isNotNull()
     prepare, build = partial(indoor.prepare, settings=SETTINGS), indoor.tables
@@ -38,7 +42,6 @@ def _run_ingest(spark, sf_dir) -> str:
         as_text(drop, "messageDate").select(F.array(body).alias("sensorMessages")).write.mode("append").json(landed)
         arriving = unwrap(readable(read_documents(spark, landed, _ENVELOPE, stream=True)), "sensorMessages")
         ingest(arriving, prepare, build, indoor.TABLES, root, checkpoint).awaitTermination()
-    return root
 
 
 @query("stream_ingest", f"""
@@ -49,7 +52,7 @@ FROM readings
 """)
 def stream_ingest(spark, sf_dir):
     """The tables that the stream wrote, joined again to its readings with two of their children."""
-    root = _run_ingest(spark, sf_dir)
+    root = _ingested(spark, sf_dir)
     tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
     keys = ["readingID", "dataMessageGUID"]
     rows = (
@@ -71,7 +74,7 @@ ORDER BY "messageDate" DESC
 """)
 def stored_day_report(spark, sf_dir):
     """The range report on the stored tables, which are partitioned by day."""
-    root = _run_ingest(spark, sf_dir)
+    root = _ingested(spark, sf_dir)
     tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
     report = reports.indoor_report(tables, dt.datetime(2024, 1, 3, 12), dt.datetime(2024, 1, 6))
     return report.withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))

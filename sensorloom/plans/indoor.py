@@ -116,7 +116,7 @@ def from_rest(messages: DataFrame, sensors: DataFrame, gateways: DataFrame) -> D
 
 
 def prepare(messages: DataFrame, settings: IndoorSettings = IndoorSettings()) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected messages): cleaned messages with one row per measurand."""
+    """(rows, rejected messages): cleaned messages with one row per measurand and its ids."""
     dated = messages.withColumn("messageDate", F.col("messageDate").try_cast("timestamp"))
     if settings.sensor_types:
         dated = trim_suffix_by_prefix(dated, settings.sensor_types)
@@ -129,7 +129,7 @@ def prepare(messages: DataFrame, settings: IndoorSettings = IndoorSettings()) ->
     rows = split_parallel(align_particulate(accepted), settings.split_columns, settings.delimiters)
     if settings.ignore_case:
         rows = rows.withColumns({name: F.lower(name) for name in ("sensorName", "dataType", "plotLabels")})
-    return flag_words_to_boolean(rows, "pendingChange"), rejected
+    return with_keys(flag_words_to_boolean(rows, "pendingChange")), rejected
 
 
 def with_keys(rows: DataFrame) -> DataFrame:
@@ -150,21 +150,20 @@ def with_keys(rows: DataFrame) -> DataFrame:
 
 def tables(rows: DataFrame) -> dict[str, DataFrame]:
     """The rows of :func:`prepare` as rows of the stored tables."""
-    keyed = with_keys(rows)
-    seen = keyed.withColumns({"_seen_at": F.col("messageDate"), "_seen_id": F.col("dataMessageGUID")})
+    seen = rows.withColumns({"_seen_at": F.col("messageDate"), "_seen_id": F.col("dataMessageGUID")})
     frames = {
-        "indoor_networks": keyed.select("networkID", F.lit(None).cast("string").alias("networkName")),
-        "indoor_applications": keyed.select("applicationID", F.lit(None).cast("string").alias("applicationName")),
+        "indoor_networks": rows.select("networkID", F.lit(None).cast("string").alias("networkName")),
+        "indoor_applications": rows.select("applicationID", F.lit(None).cast("string").alias("applicationName")),
         "indoor_sensors": seen.select("sensorName", "applicationID", "networkID", "_seen_at", "_seen_id"),
-        "indoor_data_types": keyed.select("dataType"),
-        "indoor_plot_labels": keyed.select("plotLabel"),
-        "indoor_readings": keyed.select(*TABLES["indoor_readings"].schema.names),
-        "indoor_signal_status": child_rows(keyed, "readingID", "dataMessageGUID", "signalStrength"),
-        "indoor_battery_status": child_rows(keyed, "readingID", "dataMessageGUID", "batteryLevel"),
-        "indoor_sensor_voltage": child_rows(keyed, "readingID", "dataMessageGUID", "voltage"),
+        "indoor_data_types": rows.select("dataType"),
+        "indoor_plot_labels": rows.select("plotLabel"),
+        "indoor_readings": rows.select(*TABLES["indoor_readings"].schema.names),
+        "indoor_signal_status": child_rows(rows, "readingID", "dataMessageGUID", "signalStrength"),
+        "indoor_battery_status": child_rows(rows, "readingID", "dataMessageGUID", "batteryLevel"),
+        "indoor_sensor_voltage": child_rows(rows, "readingID", "dataMessageGUID", "voltage"),
     }
     if "pendingChange" in rows.columns:
-        frames["indoor_pending_changes"] = child_rows(keyed, "readingID", "dataMessageGUID", "pendingChange")
+        frames["indoor_pending_changes"] = child_rows(rows, "readingID", "dataMessageGUID", "pendingChange")
     return frames
 
 

@@ -11,8 +11,8 @@ from sensorloom.functions.keys import micros_key, surrogate_key
 from sensorloom.functions.temporal import epoch_wrapper_to_timestamp
 from sensorloom.functions.text import literal_alternation
 from sensorloom.operators.clean import (
-    align_particulate, flag_words_to_boolean, particulate_too_short, rename_columns, split_rejects,
-    trim_suffix_by_prefix, with_reject_reason,
+    align_particulate, cast_columns, cast_failures, flag_words_to_boolean, particulate_too_short, rename_columns,
+    split_rejects, trim_suffix_by_prefix, with_reject_reason,
 )
 from sensorloom.operators.conform import child_rows
 from sensorloom.operators.filters import drop_null_keys
@@ -78,6 +78,10 @@ SENSOR_NAMES = {
 GATEWAY_NAMES = {"GatewayID": "gatewayID", "NetworkID": "networkID", "Name": "gatewayName"}
 
 
+NUMBERS = {
+    "networkID": "int", "applicationID": "int", "signalStrength": "double", "voltage": "double", "batteryLevel": "int"}
+
+
 @dataclass(frozen=True)
 class IndoorSettings:
     """Which sensors carry trailing characters, which cells are split and where.
@@ -120,13 +124,17 @@ def prepare(messages: DataFrame, settings: IndoorSettings = IndoorSettings()) ->
     dated = messages.withColumn("messageDate", F.col("messageDate").try_cast("timestamp"))
     if settings.sensor_types:
         dated = trim_suffix_by_prefix(dated, settings.sensor_types)
+    numbers = {name: kind for name, kind in NUMBERS.items() if name in dated.columns}
+    keys = {name: kind for name, kind in numbers.items() if name in ("networkID", "applicationID")}
     judged = with_reject_reason(dated, {
         "no message id": F.col("dataMessageGUID").isNull(),
         "unreadable message date": F.col("messageDate").isNull(),
         "too few particulate values": particulate_too_short(),
+        **cast_failures(dated, keys),
     })
     accepted, rejected = split_rejects(judged)
-    rows = split_parallel(align_particulate(accepted), settings.split_columns, settings.delimiters)
+    typed = cast_columns(accepted, numbers, lenient=True)
+    rows = split_parallel(align_particulate(typed), settings.split_columns, settings.delimiters)
     if settings.ignore_case:
         rows = rows.withColumns({name: F.lower(name) for name in ("sensorName", "dataType", "plotLabels")})
     return with_keys(flag_words_to_boolean(rows, "pendingChange")), rejected

@@ -128,8 +128,8 @@ def _uplinks(documents: DataFrame) -> DataFrame:
         F.col("end_device_ids.dev_eui"), F.col("end_device_ids.join_eui"), F.col("end_device_ids.dev_addr"),
         F.to_json(warnings).alias("decoded_payload_warning"),
         message.getField("session_key_id").alias("session_key_id"),
-        message.getField("f_port").alias("f_port"),
-        message.getField("f_cnt").alias("f_cnt"),
+        message.getField("f_port").try_cast("int").alias("f_port"),
+        message.getField("f_cnt").try_cast("int").alias("f_cnt"),
         message.getField("frm_payload").alias("frm_payload"),
         first_present(payload.getField("raw_bytes"), payload.getField("bytes")).alias("raw_bytes"),
         drop_last(airtime, 1).try_cast("double").alias("consumed_airtime"),
@@ -152,10 +152,14 @@ def _uplinks(documents: DataFrame) -> DataFrame:
     }).withColumn("_seen_id", F.col("uplink_guid")).drop("_received_text")
 
 
+def _number(struct: Column, name: str, kind: str = "double") -> Column:
+    return struct.getField(name).try_cast(kind)
+
+
 def _location_guid(receiver: Column) -> Column:
     place = receiver.getField("location")
     return F.when(place.isNotNull(), surrogate_key(
-        "uplink_locations", place.getField("latitude"), place.getField("longitude"), place.getField("source")))
+        "uplink_locations", _number(place, "latitude"), _number(place, "longitude"), place.getField("source")))
 
 
 def _gateway_guid(receiver: Column) -> Column:
@@ -211,13 +215,14 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
     hop = rx.getField("packet_broker")
     nothing = F.lit(None).cast("string")
     place = rx.getField("location")
+    lora = F.col("settings.data_rate.lora")
     readings = uplinks.select("uplink_guid", F.inline("readings")).withColumnsRenamed(
         {"name": "sensor_name", "value": "sensor_value"})
     return {
         "uplink_applications": uplinks.select("application_name"),
         "uplink_warnings": uplinks.filter("warning_guid IS NOT NULL").select("decoded_payload_warning"),
         "uplink_locations": every.filter(place.isNotNull()).select(
-            place.getField("latitude").alias("latitude"), place.getField("longitude").alias("longitude"),
+            _number(place, "latitude").alias("latitude"), _number(place, "longitude").alias("longitude"),
             place.getField("source").alias("source")),
         "uplink_gateways": every.filter("gateway_guid IS NOT NULL").select(
             rx.getField("gateway_ids").getField("gateway_id").alias("gateway_name"),
@@ -231,9 +236,9 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
         "uplink_uplinks": uplinks.select(*TABLES["uplink_uplinks"].schema.names),
         "uplink_rx": stored.select(
             "rx_guid", "gateway_guid", "uplink_guid",
-            iso_timestamp(rx.getField("time")).alias("rx_time"), rx.getField("timestamp").alias("rx_timestamp"),
-            rx.getField("rssi").alias("rssi"), rx.getField("channel_rssi").alias("channel_rssi"),
-            rx.getField("snr").alias("snr"),
+            iso_timestamp(rx.getField("time")).alias("rx_time"),
+            _number(rx, "timestamp", "bigint").alias("rx_timestamp"), _number(rx, "rssi", "int").alias("rssi"),
+            _number(rx, "channel_rssi", "int").alias("channel_rssi"), _number(rx, "snr").alias("snr"),
             F.coalesce(rx.getField("message_id"), hop.getField("message_id")).alias("message_id"),
             *[_forwarding(rx, name) for name in FORWARDING]),
         "uplink_hops": hops.select(
@@ -259,9 +264,11 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
             "uplink_guid", surrogate_key("uplink_sensors", "sensor_name").alias("sensor_guid"), "sensor_value"),
         "uplink_settings": uplinks.filter(F.col("settings").isNotNull()).select(
             surrogate_key("uplink_settings", "uplink_guid").alias("uplink_setting_guid"), "uplink_guid",
-            F.col("settings.data_rate.lora.bandwidth"), F.col("settings.data_rate.lora.spreading_factor"),
-            F.col("settings.data_rate_index"), F.col("settings.coding_rate"), F.col("settings.frequency"),
-            F.col("settings.timestamp").alias("setting_timestamp")),
+            _number(lora, "bandwidth", "int").alias("bandwidth"),
+            _number(lora, "spreading_factor", "int").alias("spreading_factor"),
+            _number(F.col("settings"), "data_rate_index", "int").alias("data_rate_index"),
+            F.col("settings.coding_rate"), _number(F.col("settings"), "frequency", "bigint").alias("frequency"),
+            _number(F.col("settings"), "timestamp", "bigint").alias("setting_timestamp")),
     }
 
 

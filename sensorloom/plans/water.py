@@ -85,7 +85,7 @@ TABLES = {table.name: table for table in (
 def prepare(polls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(polls, rejected polls).  A failed fetch leaves no document."""
     judged = with_reject_reason(polls, {
-        "no unit": F.col("unit.id").isNull(),
+        "no unit": F.col("unit.id").try_cast("int").isNull(),
         "no document": F.col("document").isNull(),
         "no block": F.coalesce(F.size("document.blocks"), F.lit(0)) < 1,
         "unreadable time": offset_timestamp(F.col("document.now")).isNull(),
@@ -110,19 +110,19 @@ def tables(polls: DataFrame, use_unit_zone: bool = False) -> dict[str, DataFrame
     block = first_of(F.col("document.blocks"))
     details = F.col("document.details")
     requests = polls.select(
-        F.col("unit.id").alias("unitID"), F.col("unit.name").alias("unitName"),
+        F.col("unit.id").try_cast("int").alias("unitID"), F.col("unit.name").alias("unitName"),
         truthy(F.col("document.success")).alias("success"),
         F.col("document.message").alias("requestMessage"),
         offset_timestamp(F.col("document.now")).alias("requestNow"),
         details.getField("name").alias("requestName"), details.getField("tz").alias("tz"),
-        details.getField("update_cycle").alias("updateCycle"),
+        details.getField("update_cycle").try_cast("int").alias("updateCycle"),
         details.getField("last_update").alias("_details_update"),
         F.col("document.now").alias("_now"), block.alias("block"),
     ).withColumns({
         "unitGUID": surrogate_key("water_units", "unitID"),
         "requestGUID": surrogate_key("water_requests", "unitID", "_now"),
-        "modeID": F.col("block.mode"),
-        "modeGUID": surrogate_key("water_modes", "block.mode"),
+        "modeID": F.col("block.mode").try_cast("int"),
+        "modeGUID": surrogate_key("water_modes", F.col("block.mode").try_cast("int")),
     })
 
     def children(array: str, id_column: str, table: str) -> DataFrame:
@@ -132,20 +132,21 @@ def tables(polls: DataFrame, use_unit_zone: bool = False) -> dict[str, DataFrame
         ).withColumn(id_column, surrogate_key(table, "requestGUID", "pos"))
 
     item = F.col("item")
+
+    def number(name: str, kind: str = "int") -> Column:
+        return item.getField(name).try_cast(kind)
+
     analogs = children("analogs", "readingGUID", "water_readings").withColumns({
         "mUnitGUID": surrogate_key("water_measure_units", "item.units"),
         "sensorGUID": surrogate_key("water_sensors", "item.name")})
     outputs = children("outputs", "outputGUID", "water_outputs").withColumns({
-        "modeGUID": surrogate_key("water_modes", "item.mode"),
-        "statusGUID": surrogate_key("water_statuses", "item.status")})
+        "modeGUID": surrogate_key("water_modes", number("mode")),
+        "statusGUID": surrogate_key("water_statuses", number("status"))})
     alarms = children("alarms", "alarmGUID", "water_alarms").withColumns({
-        "typeGUID": surrogate_key("water_types", "item.type"),
-        "statusGUID": surrogate_key("water_statuses", "item.status"),
+        "typeGUID": surrogate_key("water_types", number("type")),
+        "statusGUID": surrogate_key("water_statuses", number("status")),
         "mUnitGUID": surrogate_key("water_measure_units", "item.pulse_units")})
 
-    def number(name: str, kind: str) -> Column:
-        return item.getField(name).try_cast(kind)
-
     def code(rows: DataFrame, column: Column, stem: str) -> DataFrame:
         return rows.select(column.alias(f"{stem}ID"), F.lit(None).cast("string").alias(f"{stem}Name"))
 
@@ -153,10 +154,10 @@ def tables(polls: DataFrame, use_unit_zone: bool = False) -> dict[str, DataFrame
         "water_units": requests.select("unitID", "unitName", F.col("requestNow").alias("_seen_at"),
                                        F.col("requestGUID").alias("_seen_id")),
         "water_modes": code(requests, F.col("modeID"), "mode").unionByName(
-            code(outputs, item.getField("mode"), "mode")),
-        "water_statuses": code(outputs, item.getField("status"), "status").unionByName(
-            code(alarms, item.getField("status"), "status")),
-        "water_types": code(alarms, item.getField("type"), "type"),
+            code(outputs, number("mode"), "mode")),
+        "water_statuses": code(outputs, number("status"), "status").unionByName(
+            code(alarms, number("status"), "status")),
+        "water_types": code(alarms, number("type"), "type"),
         "water_measure_units": analogs.select(item.getField("units").alias("mUnitName")).unionByName(
             alarms.select(item.getField("pulse_units").alias("mUnitName"))),
         "water_sensors": analogs.select(item.getField("name").alias("sensorName")),

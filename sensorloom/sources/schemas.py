@@ -1,7 +1,7 @@
 """Schemas of the payloads that arrive in the landing folder.
 
-An absent key reads as NULL.  Numbers that may also arrive as text are read as text and converted
-later, so one odd value does not lose its record.
+An absent key reads as NULL.  Senders quote numbers or not as they like, so numbers are read as
+text and converted by the plans; a typed reader would give up the whole record.
 """
 
 from __future__ import annotations
@@ -27,23 +27,23 @@ def schema_of(columns: str) -> T.StructType:
 
 # Indoor sensors: element of ``sensorMessages``, also the columns of the history export.
 INDOOR_MESSAGE = _struct(
-    ("dataMessageGUID", "string"), ("sensorName", "string"), ("networkID", "int"), ("applicationID", "int"),
+    ("dataMessageGUID", "string"), ("sensorName", "string"), ("networkID", "string"), ("applicationID", "string"),
     ("rawData", "string"), ("dataValue", "string"), ("dataType", "string"), ("plotLabels", "string"),
-    ("plotValues", "string"), ("messageDate", "string"), ("signalStrength", "double"), ("voltage", "double"),
-    ("batteryLevel", "int"), ("pendingChange", "string"),
+    ("plotValues", "string"), ("messageDate", "string"), ("signalStrength", "string"), ("voltage", "string"),
+    ("batteryLevel", "string"), ("pendingChange", "string"),
 )
 
 # Indoor sensors: elements of the REST lists.  Fields that the load never uses are not read.
 REST_MESSAGE = _struct(
-    ("MessageDate", "string"), ("SensorID", "bigint"), ("DataMessageGUID", "string"), ("State", "int"),
-    ("SignalStrength", "double"), ("Voltage", "double"), ("Battery", "int"), ("Data", "string"),
-    ("DisplayData", "string"), ("PlotValue", "string"), ("MetNotificationRequirements", "boolean"),
-    ("GatewayID", "bigint"), ("DataValues", "string"), ("DataTypes", "string"), ("PlotValues", "string"),
+    ("MessageDate", "string"), ("SensorID", "string"), ("DataMessageGUID", "string"), ("State", "string"),
+    ("SignalStrength", "string"), ("Voltage", "string"), ("Battery", "string"), ("Data", "string"),
+    ("DisplayData", "string"), ("PlotValue", "string"), ("MetNotificationRequirements", "string"),
+    ("GatewayID", "string"), ("DataValues", "string"), ("DataTypes", "string"), ("PlotValues", "string"),
     ("PlotLabels", "string"),
 )
 REST_SENSOR = _struct(
-    ("SensorID", "bigint"), ("ApplicationID", "int"), ("SensorName", "string"), ("AccountID", "bigint"))
-REST_GATEWAY = _struct(("GatewayID", "bigint"), ("NetworkID", "int"), ("Name", "string"))
+    ("SensorID", "string"), ("ApplicationID", "string"), ("SensorName", "string"), ("AccountID", "string"))
+REST_GATEWAY = _struct(("GatewayID", "string"), ("NetworkID", "string"), ("Name", "string"))
 
 # LoRaWAN uplinks.
 _FORWARDING = (
@@ -63,8 +63,8 @@ LEGACY_FIELDS = {
 }
 RECEIVER = _struct(
     ("gateway_ids", _struct(("gateway_id", "string"))),
-    ("location", _struct(("latitude", "double"), ("longitude", "double"), ("source", "string"))),
-    ("time", "string"), ("timestamp", "bigint"), ("rssi", "int"), ("channel_rssi", "int"), ("snr", "double"),
+    ("location", _struct(("latitude", "string"), ("longitude", "string"), ("source", "string"))),
+    ("time", "string"), ("timestamp", "string"), ("rssi", "string"), ("channel_rssi", "string"), ("snr", "string"),
     ("uplink_token", "string"), *_FORWARDING,
     ("packet_broker", _struct(
         ("sender_address", "string"), ("receiver_name", "string"), ("receiver_agent", "string"),
@@ -77,7 +77,7 @@ UPLINK_DOCUMENT = _struct(
         ("device_id", "string"), ("dev_eui", "string"), ("join_eui", "string"), ("dev_addr", "string"),
         ("application_ids", _struct(("application_id", "string"))))),
     ("uplink_message", _struct(
-        ("received_at", "string"), ("session_key_id", "string"), ("f_port", "int"), ("f_cnt", "int"),
+        ("received_at", "string"), ("session_key_id", "string"), ("f_port", "string"), ("f_cnt", "string"),
         ("frm_payload", "string"), ("consumed_airtime", "string"),
         ("decoded_payload_warnings", "array<string>"),
         ("decoded_payload", _struct(
@@ -86,26 +86,26 @@ UPLINK_DOCUMENT = _struct(
             *[(field, "string") for field in LEGACY_FIELDS])),
         ("rx_metadata", T.ArrayType(RECEIVER)),
         ("settings", _struct(
-            ("data_rate", _struct(("lora", _struct(("bandwidth", "int"), ("spreading_factor", "int"))))),
-            ("data_rate_index", "int"), ("coding_rate", "string"), ("frequency", "bigint"),
-            ("timestamp", "bigint"))))),
+            ("data_rate", _struct(("lora", _struct(("bandwidth", "string"), ("spreading_factor", "string"))))),
+            ("data_rate_index", "string"), ("coding_rate", "string"), ("frequency", "string"),
+            ("timestamp", "string"))))),
 )
 
 # Water controllers: the polled document together with the unit it was polled for.
-WATER_UNIT = _struct(("id", "int"), ("name", "string"))
+WATER_UNIT = _struct(("id", "string"), ("name", "string"))
 WATER_DOCUMENT = _struct(
     ("success", "string"), ("message", "string"), ("now", "string"),
-    ("details", _struct(("name", "string"), ("tz", "string"), ("update_cycle", "int"), ("last_update", "string"))),
+    ("details", _struct(("name", "string"), ("tz", "string"), ("update_cycle", "string"), ("last_update", "string"))),
     ("blocks", T.ArrayType(_struct(
-        ("mode", "int"), ("last_update", "string"),
+        ("mode", "string"), ("last_update", "string"),
         ("analogs", T.ArrayType(_struct(
             ("aid", "string"), ("name", "string"), ("units", "string"), ("value", "string"), ("recharge", "string"),
             ("cycle_pulses", "string"), ("start", "string"), ("stop", "string"), ("dp", "string")))),
         ("outputs", T.ArrayType(_struct(
-            ("oid", "string"), ("name", "string"), ("mode", "int"), ("status", "int"), ("high_state", "string"),
+            ("oid", "string"), ("name", "string"), ("mode", "string"), ("status", "string"), ("high_state", "string"),
             ("low_state", "string"), ("last_update", "string")))),
         ("alarms", T.ArrayType(_struct(
-            ("aid", "string"), ("name", "string"), ("type", "int"), ("status", "int"), ("pulse_units", "string"),
+            ("aid", "string"), ("name", "string"), ("type", "string"), ("status", "string"), ("pulse_units", "string"),
             ("healthy_name", "string"), ("faulty_name", "string"), ("pulse_total", "string"),
             ("last_change", "string")))),
     ))),

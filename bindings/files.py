@@ -9,6 +9,7 @@ from bindings.time_series import _rounded
 from bindings.uplink_feed import UPLINKS_SQL, documents
 from bindings.views import MESSAGES_SQL, messages
 from sensorloom.functions.temporal import lenient_day_first
+from sensorloom.operators.clean import cast_columns
 from sensorloom.plans import logger, uplink
 from sensorloom.session import shared_folder
 from sensorloom.sources import delimited, landing
@@ -32,7 +33,8 @@ def json_envelope_rows(spark, sf_dir):
         F.struct(F.lit("gw").alias("gatewayName")).alias("gatewayMessage"), F.array(message).alias("sensorMessages"),
     ).write.json(f"{folder}/loud")
     sent.filter(quiet).select(F.array(message).alias("sensorMessages")).write.json(f"{folder}/quiet")
-    return read_envelope(spark, f"{folder}/*", INDOOR_MESSAGE, "sensorMessages").select(*columns)
+    read = read_envelope(spark, f"{folder}/*", INDOOR_MESSAGE, "sensorMessages").select(*columns)
+    return cast_columns(read, {"batteryLevel": "int", "signalStrength": "double"}, lenient=True)
 
 
 @query("optional_fields", f"""

@@ -8,32 +8,41 @@ from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.operators.combine import append_by_name
 from sensorloom.operators.quality import (
-    fk_orphans, id_format_violations, length_violations, null_violations, parent_count_violations, pk_violations,
+    badly_formed, fk_orphans, missing, not_one_parent, pk_violations, row_check_counts, too_long,
 )
 from sensorloom.sources.tables import Table
 
 
 def constraint_report(frames: Mapping[str, DataFrame], tables: Mapping[str, Table]) -> DataFrame:
-    """(table_name, check_name, violations), one row per declared constraint."""
+    """(table_name, check_name, violations), one row per declared constraint.
+
+    Each table is read once for the checks of single rows, once for its primary key and once per
+    reference to another of the given tables.
+    """
     found: list[DataFrame] = []
 
-    def add(table: str, check: str, offending: DataFrame) -> None:
-        found.append(offending.agg(F.count("*").alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "violations"))
+    def add(table: str, counts: DataFrame) -> None:
+        found.append(counts.select(F.lit(table).alias("table_name"), "check_name", "violations"))
+
+    def add_count(table: str, check: str, offending: DataFrame) -> None:
+        add(table, offending.agg(F.count("*").alias("violations")).withColumn("check_name", F.lit(check)))
 
     for name, frame in frames.items():
         table = tables[name]
-        if table.primary_key:
-            add(name, "primary key", pk_violations(frame, table.primary_key))
+        conditions = {}
         if table.required:
-            add(name, "not null", null_violations(frame, table.required))
+            conditions["not null"] = missing(table.required)
         if table.max_length:
-            add(name, "length", length_violations(frame, table.max_length))
+            conditions["length"] = too_long(table.max_length)
         if table.generated_id:
-            add(name, "id format", id_format_violations(frame, [table.generated_id]))
+            conditions["id format"] = badly_formed([table.generated_id])
         if table.one_parent_of:
-            add(name, "one parent", parent_count_violations(frame, table.one_parent_of))
+            conditions["one parent"] = not_one_parent(table.one_parent_of)
+        if conditions:
+            add(name, row_check_counts(frame, conditions))
+        if table.primary_key:
+            add_count(name, "primary key", pk_violations(frame, table.primary_key))
         for columns, parent, parent_columns in table.references:
             if parent in frames:
-                add(name, f"reference to {parent}", fk_orphans(frame, frames[parent], columns, parent_columns))
+                add_count(name, f"reference to {parent}", fk_orphans(frame, frames[parent], columns, parent_columns))
     return append_by_name(*found)

@@ -151,7 +151,8 @@ def indoor_flagship(spark, sf_dir):
     twice = sent.unionByName(sent.filter("pendingChange IS NOT NULL"))
     frames = indoor.build(twice, SETTINGS)
     stored = {name: _stored(frames, name) for name in frames}
-    stored["indoor_readings"] = dedupe.drop_identical(stored["indoor_readings"])
+    stored["indoor_readings"] = dedupe.drop_identical(
+        stored["indoor_readings"], indoor.TABLES["indoor_readings"].primary_key)
     report = reports._indoor_rows(stored, None, None)
     numeric = report.select("dataType", "messageDate", F.col("dataValue").try_cast("double").alias("value"))
     grid = resample.resample_grid(numeric, "messageDate", ["value"], "60min", ["dataType"])

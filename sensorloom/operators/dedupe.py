@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def drop_identical(df: DataFrame) -> DataFrame:
+def drop_identical(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """For rows with deterministic ids, where copies are equal in every column.
 
-    Copies are merged inside each task before the shuffle.
+    ``keys`` are columns that already tell rows apart; without them all columns are compared.  Each
+    task drops its own copies before the shuffle.  Copies are few among many rows, so this is
+    planned as a sort with a rank limit, which is faster here than a hash table of all rows.
     """
-    return df.distinct()
+    chosen = list(keys or df.columns)
+    return keep_one_per_key(df, chosen, chosen[:1])
 
 
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str]) -> DataFrame:

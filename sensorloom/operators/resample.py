@@ -94,9 +94,12 @@ def _fill(keyed: DataFrame, timestamp: str, values: Sequence[str], seconds: int)
     span = seconds * GRID_CHUNK
     bounds = _read_once(keyed.groupBy("_series").agg(
         F.min(timestamp).alias("_lo"), F.max(timestamp).alias("_hi"), F.count(F.coalesce(*values)).alias("_tally")))
+    # A given number of partitions is not merged by adaptive execution, which would judge the chunks
+    # by their small size and expand all of them in one task.
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (
         bounds.select("_series", "_hi", F.explode(F.sequence("_lo", "_hi", _interval(span))).alias("_chunk"))
-        .repartition("_series", "_chunk")
+        .repartition(tasks, "_series", "_chunk")
     )
     last = F.least(F.col("_hi"), F.col("_chunk") + _interval(span - seconds))
     grid = chunks.select("_series", F.explode(F.sequence("_chunk", last, _interval(seconds))).alias(timestamp))

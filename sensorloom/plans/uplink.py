@@ -144,8 +144,8 @@ def _uplinks(documents: DataFrame) -> DataFrame:
     return flat.withColumns({
         "application_guid": surrogate_key("uplink_applications", "application_name"),
         "device_guid": surrogate_key("uplink_devices", "device_name"),
-        "warning_guid": F.when(F.col("decoded_payload_warning").isNotNull(),
-                               surrogate_key("uplink_warnings", "decoded_payload_warning")),
+        "warning_guid": surrogate_key(
+            "uplink_warnings", "decoded_payload_warning", where=F.col("decoded_payload_warning").isNotNull()),
         "uplink_guid": surrogate_key(
             "uplink_uplinks", "device_name", "session_key_id", "f_port", "f_cnt", "frm_payload", "_received_text"),
         "_seen_at": F.col("rx_received_at"),
@@ -158,13 +158,14 @@ def _number(struct: Column, name: str, kind: str = "double") -> Column:
 
 def _location_guid(receiver: Column) -> Column:
     place = receiver.getField("location")
-    return F.when(place.isNotNull(), surrogate_key(
-        "uplink_locations", _number(place, "latitude"), _number(place, "longitude"), place.getField("source")))
+    return surrogate_key(
+        "uplink_locations", _number(place, "latitude"), _number(place, "longitude"), place.getField("source"),
+        where=place.isNotNull())
 
 
 def _gateway_guid(receiver: Column) -> Column:
     name = receiver.getField("gateway_ids").getField("gateway_id")
-    return F.when(name.isNotNull(), surrogate_key("uplink_gateways", name))
+    return surrogate_key("uplink_gateways", name, where=name.isNotNull())
 
 
 def _receivers(uplinks: DataFrame) -> DataFrame:

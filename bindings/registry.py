@@ -44,8 +44,9 @@ def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], Non
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, documents: Callable[[], DataFrame]) -> str:
-    """Folder with the documents as JSON lines."""
-    return once(spark, sf_dir, name, lambda folder: documents().write.json(folder))
+    """Folder with the documents as JSON lines, in several files as they would land."""
+    files = spark.sparkContext.defaultParallelism
+    return once(spark, sf_dir, name, lambda folder: documents().repartition(files).write.json(folder))
 
 
 def guid(tag: str, *parts: str) -> str:

@@ -30,7 +30,7 @@ def parallel_split(spark, sf_dir):
 
 @query("parallel_split_rejoin", f"""
 WITH msg AS ({MESSAGES_SQL})
-SELECT "sensorName", sum(len(string_split("rawData", '%7c'))) AS parts, count(*) AS messages FROM msg GROUP BY 1
+SELECT "sensorName", cast(sum(len(string_split("rawData", '%7c'))) AS bigint) AS parts, count(*) AS messages FROM msg GROUP BY 1
 """)
 def parallel_split_rejoin(spark, sf_dir):
     """Row counts of the split, per sensor, without a position column."""

@@ -125,7 +125,7 @@ NEAR = {"gateway_ids": {"gateway_id": "near"}, "location": {"latitude": 53.48, "
         "rssi": -80, "snr": 7.5, "time": "2021-03-29T12:26:09Z"}
 FAR = {"gateway_ids": {"gateway_id": "broker"}, "uplink_token": "t2", "message_id": "m", "forwarder_net_id": 19,
        "packet_broker": {"sender_address": "s", "receiver_name": "r", "receiver_agent": "g",
-                         "received_at": "2021-03-29T12:26:09.9Z", "forwarder_tenant_id": "ttn"}}
+                         "received_at": "2021-03-29T12:26:09.9Z", "forwarder_tenant_id": "tenant"}}
 CURRENT = {"sensor_names": ["t", "h"], "sensor_data": [2.5, "wet", 9], "raw_bytes": "AQ"}
 LEGACY = {"altitude": 1, "battery_voltage": 3.3, "humidity": 40, "pressure": 1000, "rain_detect": 0,
           "solar_voltage": 5, "temp": 20.5, "bytes": "Ag"}
@@ -171,7 +171,7 @@ def test_uplink_tables(uplinks):
     assert (rows[9].raw_bytes, rows[10].raw_bytes, rows[9].warning_guid) == ("AQ", "Ag", None)
     assert [row.decoded_payload_warning for row in stored["uplink_warnings"].collect()] == ['["low","late"]']
     broker = stored["uplink_rx"].filter("message_id = 'm'").first()
-    assert (broker.forwarder_net_id, broker.forwarder_tenant_id) == (19, "ttn")
+    assert (broker.forwarder_net_id, broker.forwarder_tenant_id) == (19, "tenant")
     assert stored["uplink_hops"].count() == 1 and stored["uplink_rx"].count() == 4
     assert sorted(row.uplink_token for row in stored["uplink_tokens"].collect()) == ["t1", "t2"]
     assert stored["uplink_locations"].count() == 2 and stored["uplink_gateways"].count() == 2

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import line_dedup, mixing, quality_rules
-from sensorloom.llm.common import reachable, sha256
+from sensorloom.llm import byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, token_counts
+from sensorloom.llm.common import reachable, sha256, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKEN_LIMIT = 512
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -111,3 +114,50 @@ def line_windows(spark, sf_dir):
     """Line counts and the digest of what is left of every document."""
     deduped = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
     return deduped.select("doc_id", "n_lines", "n_removed_lines", sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
+@query("op4_byte_encoding")
+def byte_encoding(spark, sf_dir):
+    """Ids of every document, and the digests of the ids and of the decoded bytes."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_encoding_.encode(documents(spark, sf_dir, "doc_id", "text"), path)
+    return byte_encoding_.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_token_counts")
+def token_count(spark, sf_dir):
+    """Bytes and tokens of every document, and whether they are over the limit."""
+    texts = documents(spark, sf_dir, "doc_id", "text")
+    sized = texts.select("doc_id", F.octet_length(text_of()).cast("long").alias("n_bytes"), "text")
+    counted = token_counts.count_tokens(sized, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op5_secret_scan")
+def secrets(spark, sf_dir):
+    """Spans of the base patterns and of the models in every document."""
+    texts = documents(spark, sf_dir, "doc_id", "text")
+    spans = F.col("spans")
+    return secret_scan.scan(texts, secret_scan.train(texts)).select(
+        "doc_id", *[secret_scan.counted(spans, kind).alias(f"n_{secret_scan.KINDS[kind]}") for kind in range(3)],
+        sha256(secret_scan.written(spans, (0, 1, 2))).alias("base_sha256"), secret_scan.written(spans).alias("spans"))
+
+
+@query("op9_quality_ranking")
+def ranking(spark, sf_dir):
+    """Quality score of every document, learned outside the held-out fold."""
+    texts = documents(spark, sf_dir, "doc_id", "text")
+    learned = quality_ranking.train(texts, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = F.coalesce(quality_ranking.remainder() == 0, F.lit(False))
+    return quality_ranking.score(texts, learned).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= quality_ranking.CUT).cast("int").alias("predicted"))
+
+
+@query("op1_ngram_join")
+def ngrams(spark, sf_dir):
+    """Shingle count and component of every document."""
+    return ngram_join.join_components(documents(spark, sf_dir, "doc_id", "text"))

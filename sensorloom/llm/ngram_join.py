@@ -28,7 +28,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.llm import blobs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, token_counts
+from sensorloom.llm import byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, simhash, token_counts
 from sensorloom.llm.common import reachable, sha256, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,14 @@ def ranking(spark, sf_dir):
 def ngrams(spark, sf_dir):
     """Shingle count and component of every document."""
     return ngram_join.join_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op2_simhash")
+def prints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, and how many others are near."""
+    found = simhash.fingerprints(documents(spark, sf_dir, "doc_id", "text"))
+    near = simhash.near_counts(found)
+    return found.join(near, "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
+        F.coalesce("n_near", F.lit(0)).alias("n_near"))

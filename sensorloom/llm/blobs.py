@@ -29,12 +29,6 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(unpack(blob), dtype=np.uint64)
 
 
-def parts(route: np.ndarray, count: int) -> list[np.ndarray]:
-    """Places of each route from 0 to ``count``, in their order."""
-    order = np.argsort(route, kind="stable")
-    return np.split(order, np.searchsorted(route[order], np.arange(1, count)))
-
-
 def bucket(hashes: np.ndarray, count: int, bits: int = 64) -> np.ndarray:
     """Which of ``count`` equal ranges of hash values each one falls into."""
     return ((hashes >> np.uint64(bits - 32)) * np.uint64(count)) >> np.uint64(32)

@@ -30,16 +30,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.llm import blobs
+from sensorloom.llm import blobs, shared_features
 from sensorloom.llm.common import partitions, stored
 from sensorloom.llm.components import components
+from sensorloom.llm.shared_features import BITS, PARCEL
 
 WORDS, PERCENT = 5, 75
-#: A shingle counts as common when one of so many documents has it, and at least COMMON_LEAST do.
-COMMON, COMMON_LEAST = 1024, 64
-
-BITS = 56
-_PARCEL = "route int, a binary, b binary, c binary, d binary"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,32 +75,30 @@ def _needed(n, percent: int):
 
 
 def document_sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per document its doc_id, n_shingles and class key; and rows with a shingle and how many classes of
-    one batch have it, for shingles that many of them have."""
+    """Per document its doc_id, n_shingles and class key; and rows with a feature that may be common,
+    and in n_shingles how many classes of one batch have it."""
 
     def measured(batches):
         for batch in batches:
             ids = batch.column(0)
             sets = [shingles(text, words) for text in batch.column(1).to_pylist()]
             keys = [class_key(one) for one in sets]
-            classes = list(dict(zip(keys, sets)).values())
-            seen, counts = np.unique(np.concatenate(classes), return_counts=True)
-            often = counts >= max(2, len(sets) // (2 * COMMON))
+            seen, counts = shared_features.often_seen(list(dict(zip(keys, sets)).values()))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(one) for one in sets], pa.int64()), pa.array(keys, pa.int64()),
-                 pa.nulls(len(sets), pa.int64())], ["doc_id", "n_shingles", "key", "often"])
+                 pa.nulls(len(sets), pa.int64())], ["doc_id", "n_shingles", "key", "feature"])
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(int(often.sum()), ids.type), pa.array(counts[often], pa.int64()),
-                 pa.nulls(int(often.sum()), pa.int64()), pa.array(seen[often].astype(np.int64))],
-                ["doc_id", "n_shingles", "key", "often"])
+                [pa.nulls(len(seen), ids.type), pa.array(counts, pa.int64()), pa.nulls(len(seen), pa.int64()),
+                 pa.array(seen.astype(np.int64))], ["doc_id", "n_shingles", "key", "feature"])
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
     return stored(documents.select("doc_id", "text").mapInArrow(
-        measured, f"doc_id {id_type}, n_shingles long, key long, often long"), "sets")
+        measured, f"doc_id {id_type}, n_shingles long, key long, feature long"), "sets")
 
 
 def _parcels(common: np.ndarray, routes: int, words: int):
-    """Sends shingles to ranges of hash values, and classes with their common shingles to theirs."""
+    """Parcels of shingles, and of classes: a the sorted keys, b their sizes, c how many common shingles
+    each has, d these."""
 
     def sent(batches):
         for batch in batches:
@@ -118,71 +112,19 @@ def _parcels(common: np.ndarray, routes: int, words: int):
             keys = np.array(list(sets), np.int64).view(np.uint64)
             order = np.argsort(keys)
             keys, members = keys[order], [list(sets.values())[i] for i in order]
-            sizes = np.array([len(one) for one in members])
-            flat, owner = np.concatenate(members), np.repeat(np.arange(len(keys)), sizes)
-            place = np.searchsorted(common, flat)
-            known = common[np.minimum(place, len(common) - 1)] == flat if len(common) else np.zeros(len(flat), bool)
-            rows = []
-            for route, at in enumerate(blobs.parts(blobs.bucket(keys, routes).astype(np.int64), routes)):
-                if len(at):
-                    mine = known & np.isin(owner, at) if known.any() else known
-                    rows.append((routes + route, blobs.pack_sorted(keys[at]), blobs.pack(sizes[at]),
-                                 blobs.pack(np.bincount(owner[mine], minlength=len(keys))[at]), blobs.pack(flat[mine])))
-            order = np.argsort(flat[~known], kind="stable")
-            flat, owner = flat[~known][order], owner[~known][order]
-            cuts = np.searchsorted(blobs.bucket(flat, routes, BITS), np.arange(routes + 1))
-            for route in range(routes):
-                part = slice(cuts[route], cuts[route + 1])
-                if cuts[route] < cuts[route + 1]:
-                    who, index = np.unique(owner[part], return_inverse=True)
-                    rows.append((route, blobs.pack_sorted(flat[part]), blobs.pack(index), blobs.pack_sorted(keys[who]), b""))
-            columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *[pa.array(column, pa.binary()) for column in columns[1:]]],
-                ["route", "a", "b", "c", "d"])
+            rows = shared_features.send(keys, members, common, routes)
+            known = [one[shared_features.is_in(common, one)] for one in members]
+            cuts = np.searchsorted(blobs.bucket(keys, routes), np.arange(routes + 1)).tolist()
+            for route, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:
+                    rows.append((
+                        routes + route, blobs.pack_sorted(keys[a:b]), blobs.pack(np.array([len(one) for one in members[a:b]])),
+                        blobs.pack(np.array([len(one) for one in known[a:b]])), blobs.pack(np.concatenate(known[a:b]))))
+            yield shared_features.batch_of(rows)
 
     return sent
 
 
-def _shared(routes: int):
-    """Per range of hash values: the lists of two classes or more, sent to the ranges of their classes."""
-
-    def reduced(table: pa.Table) -> pa.Table:
-        route = table.column("route")[0].as_py()
-        if route >= routes:
-            return table
-        hashes, keys = [], []
-        for row in table.to_pylist():
-            hashes.append(blobs.unpack_sorted(row["a"]))
-            keys.append(blobs.unpack_sorted(row["c"])[blobs.unpack(row["b"]).astype(np.int64)])
-        hashes, keys = np.concatenate(hashes), np.concatenate(keys)
-        order = np.argsort(hashes, kind="stable")
-        hashes, keys = hashes[order], keys[order]
-        start = np.r_[True, hashes[1:] != hashes[:-1]]
-        several = ~(start & np.r_[start[1:], True])
-        hashes, keys = hashes[several], keys[several]
-        order = np.lexsort((keys, hashes))
-        hashes, keys = hashes[order], keys[order]
-        fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (keys[1:] != keys[:-1])][: len(hashes)]
-        hashes, keys = hashes[fresh], keys[fresh]
-        start = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
-        counts = np.repeat(np.diff(np.r_[start, len(hashes)]), np.diff(np.r_[start, len(hashes)]))
-        several = counts > 1
-        hashes, keys, counts = hashes[several], keys[several], counts[several]
-        order = np.argsort(keys, kind="stable")
-        hashes, keys, counts = hashes[order], keys[order], counts[order]
-        cuts = np.searchsorted(blobs.bucket(keys, routes), np.arange(routes + 1))
-        rows = []
-        for to in range(routes):
-            part = slice(cuts[to], cuts[to + 1])
-            if cuts[to] < cuts[to + 1]:
-                rows.append({"route": routes + to, "a": blobs.pack_sorted(keys[part]), "b": blobs.pack(hashes[part]),
-                             "c": None, "d": blobs.pack(counts[part])})
-        return pa.Table.from_pylist(rows, schema=table.schema)
-
-    return reduced
-
-
 def _candidates(percent: int):
     """Per range of classes: those with enough shared shingles, which are in order of list length."""
 
@@ -294,13 +236,11 @@ def join_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     spark = documents.sparkSession
     routes = partitions(spark)
     sets = document_sets(documents, words)
-    ids = sets.filter("often IS NULL").drop("often")
-    often = sets.filter("often IS NOT NULL").groupBy("often").agg(F.sum("n_shingles").alias("classes"))
-    # Each batch counts a shingle once for a class, so the sum of all counts bounds how many are common.
-    least = max(COMMON_LEAST, ids.count() // COMMON)
-    common = np.sort(np.array([row["often"] for row in often.filter(F.col("classes") >= least).collect()], np.uint64))
-    parcels = documents.select("text").mapInArrow(_parcels(common, routes, words), _PARCEL)
-    replies = parcels.groupBy("route").applyInArrow(_shared(routes), _PARCEL)
+    ids = sets.filter("feature IS NULL").drop("feature")
+    reports = sets.filter("feature IS NOT NULL").select("feature", F.col("n_shingles").alias("owners"))
+    common = shared_features.common_features(reports, ids.count())
+    parcels = documents.select("text").mapInArrow(_parcels(common, routes, words), PARCEL)
+    replies = parcels.groupBy("route").applyInArrow(shared_features.shared(routes), PARCEL)
     classes = stored(replies.groupBy("route").applyInArrow(
         _candidates(percent), "key long, n long, shared binary, short array<long>"), "classes")
     labels = linked_components(classes, percent)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorloom.llm import byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, simhash, token_counts
+from sensorloom.llm import (
+    byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, simhash,
+    suffix_dedup, token_counts)
 from sensorloom.llm.common import reachable, sha256, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,7 +67,8 @@ taken AS (
   SELECT *, greatest(0, least(size, floor(target)::bigint - start)) AS first_words,
          greatest(0, least(size, floor(target)::bigint - start - source_size)) AS again_words FROM placed)
 SELECT doc_id, size, source_size, target, (first_words + again_words)::bigint AS taken,
-       CASE WHEN first_words > 0 THEN round(2 * (start / target) / (1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * (start / target))), 9) END AS position
+       CASE WHEN first_words > 0 THEN round(2 * (start / target) / (
+         1 - slope + sqrt((1 - slope) * (1 - slope) + 4 * slope * (start / target))), 9) END AS position
 FROM taken
 """
 
@@ -113,7 +116,7 @@ FROM numbered LEFT JOIN covered USING (doc_id, line) GROUP BY doc_id
 def line_windows(spark, sf_dir):
     """Line counts and the digest of what is left of every document."""
     deduped = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
-    return deduped.select("doc_id", "n_lines", "n_removed_lines", sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+    return deduped.select("doc_id", "n_lines", "n_removed_lines", sha256(text_of()).alias("kept_sha256"))
 
 
 @query("op4_byte_encoding")
@@ -172,3 +175,10 @@ def prints(spark, sf_dir):
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
         F.coalesce("n_near", F.lit(0)).alias("n_near"))
+
+
+@query("op6_suffix_dedup")
+def suffixes(spark, sf_dir):
+    """Bytes that every document loses to earlier ones, and the digest of what it keeps."""
+    return suffix_dedup.dedup(documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

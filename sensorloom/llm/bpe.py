@@ -124,7 +124,7 @@ class Vocabulary:
     """
 
     def __init__(self, merges: Merges, whole: dict[bytes, int] | None, tokens: dict[int, bytes],
-                 specials: dict[str, int], limit: int = 400_000):
+                 specials: dict[str, int], limit: int = 200_000):
         self.merges, self.whole, self.tokens, self.specials, self.limit = merges, whole, tokens, specials, limit
         self._forget()
 
@@ -241,19 +241,6 @@ def load(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
-def portions(texts, characters: int = 1 << 21):
-    """Runs of texts that hold about so many characters, to bound what Python keeps at once."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text or "")
-        size += len(run[-1])
-        if size >= characters:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def flattened(lists: list[list[str]]) -> tuple[list[str], np.ndarray]:
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
     return list(itertools.chain.from_iterable(lists)), sizes

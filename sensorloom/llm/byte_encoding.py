@@ -15,12 +15,12 @@ from __future__ import annotations
 import bisect
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from sensorloom.llm import bpe
+from sensorloom.llm.arrow_rows import columns_of, portions
 from sensorloom.llm.common import stored
 
 CHUNK, OVERLAP = 1 << 16, 1 << 9
@@ -82,26 +82,19 @@ def encode(documents: DataFrame, path: str, text: str = "text", into: str = "ids
 
     def whole(batches):
         """Texts of one chunk: all their boundaries are sure."""
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
-            parts = [_encoded([bpe.SPLIT.findall(one) for one in run], path) for run in bpe.portions(texts)]
-            ids = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
-            columns = [batch.column(batch.schema.get_field_index(name)) for name in names]
-            yield pa.RecordBatch.from_arrays([*columns, ids], [*names, into])
+        for batch, texts in portions(batches, "__text"):
+            ids = _encoded([bpe.SPLIT.findall(one) for one in texts], path)
+            yield pa.RecordBatch.from_arrays([*columns_of(batch, names), ids], [*names, into])
 
     def split(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__chunk")).to_pylist()
+        for batch, texts in portions(batches, "__chunk"):
             yield batch.append_column("__ends", pa.array([chunk_ends(one) for one in texts], pa.list_(pa.int32())))
 
-    def stitched(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("__place")
-        text_ = "".join(part[:chunk] for part in rows["__chunk"])
-        pieces = stitch(text_, [list(ends) for ends in rows["__ends"]], chunk, overlap)
-        vocabulary = bpe.load(path)
-        out = rows.iloc[:1][names].copy()
-        out[into] = [vocabulary.gather(vocabulary.slots(pieces))]
-        return out
+    def stitched(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("__place")
+        whole_text = "".join(part[:chunk] for part in rows.column("__chunk").to_pylist())
+        ids = _encoded([stitch(whole_text, rows.column("__ends").to_pylist(), chunk, overlap)], path)
+        return rows.slice(0, 1).select(names).append_column(into, ids)
 
     one = F.length("__text") <= chunk
     short = plain.filter(one).mapInArrow(whole, schema)
@@ -114,23 +107,30 @@ def encode(documents: DataFrame, path: str, text: str = "text", into: str = "ids
         .withColumn("__chunk", F.substring("__text", F.col("__place") * chunk + 1, F.lit(chunk + overlap)))
         .drop("__text"), "chunks")
     chunk_schema = T.StructType([*chunks.schema.fields, T.StructField("__ends", T.ArrayType(T.IntegerType()))])
-    long = chunks.mapInArrow(split, chunk_schema).groupBy(_ROW).applyInPandas(stitched, schema)
+    long = chunks.mapInArrow(split, chunk_schema).groupBy(_ROW).applyInArrow(stitched, schema)
     return short.unionByName(long)
 
 
+def _some_ids(batch: pa.RecordBatch, ids: str, size: int = 1 << 17):
+    """Runs of rows with about so many ids."""
+    lists = batch.column(batch.schema.get_field_index(ids))
+    group = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    cuts = np.r_[0, np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)].tolist() if len(group) else [0]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """The rows with the bytes of their ids in the binary column ``into``."""
     schema = T.StructType([*[f for f in encoded.schema.fields if f.name != into], T.StructField(into, T.BinaryType())])
 
     def joined(batches):
         vocabulary = bpe.load(path)
-        for batch in batches:
+        for batch in (part for one in batches for part in _some_ids(one, ids)):
             lists = batch.column(batch.schema.get_field_index(ids))
             raw, sizes = vocabulary.raw(lists.flatten().to_numpy(zero_copy_only=False))
-            ends = np.cumsum(bpe.sums(sizes, pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)))
-            binary = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(np.r_[0, ends].astype(np.int64)), pa.py_buffer(raw)])
-            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in schema.fields[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, binary.cast(pa.binary())], schema.names)
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = np.r_[0, np.cumsum(bpe.sums(sizes, counts))].astype(np.int32)
+            binary = pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+            yield pa.RecordBatch.from_arrays([*columns_of(batch, schema.names[:-1]), binary], schema.names)
 
     return encoded.mapInArrow(joined, schema)

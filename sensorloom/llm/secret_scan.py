@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from sensorloom.llm.arrow_rows import columns_of, portions
+
 KINDS = ("assign", "access", "hex", "random")
 
 # The base patterns and their least lengths.
@@ -127,14 +129,14 @@ def scan(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD,
     arrow = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
     def scanned(batches):
-        for batch in batches:
+        for batch, texts in portions(batches, "__text"):
             found = []
-            for one in batch.column(batch.schema.get_field_index("__text")).to_pylist():
-                base = base_spans(one or "")
-                spans = sorted([*base, *model_spans(one or "", base, ratio, threshold)])
+            for one in texts:
+                base = base_spans(one)
+                spans = sorted([*base, *model_spans(one, base, ratio, threshold)])
                 found.append([{"start": start, "kind": kind, "end": end} for start, kind, end in spans])
-            columns = [batch.column(batch.schema.get_field_index(field.name)) for field in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, arrow)], schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [*columns_of(batch, schema.names[:-1]), pa.array(found, arrow)], schema.names)
 
     return documents.select(*[f"`{field.name}`" for field in kept], documents[text].alias("__text")).mapInArrow(
         scanned, schema)

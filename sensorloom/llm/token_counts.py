@@ -12,20 +12,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 from sensorloom.llm import bpe
+from sensorloom.llm.arrow_rows import columns_of, portions
 
 
-def counts(texts: list[str | None], path: str) -> np.ndarray:
+def counts(texts: list[str], path: str) -> np.ndarray:
     """Number of tokens of each text."""
-    vocabulary, found = bpe.load(path), [np.zeros(0, np.int64)]
-    for run in bpe.portions(texts):
-        pieces, sizes = bpe.flattened([vocabulary.parts(text) for text in run])
-        special = vocabulary.specials
-        plain = ["" if piece in special else piece for piece in pieces] if special else pieces
-        lengths = vocabulary.lengths_of(plain)
-        if special:
-            lengths = np.where(np.fromiter((piece in special for piece in pieces), bool, len(pieces)), 1, lengths)
-        found.append(bpe.sums(lengths, sizes))
-    return np.concatenate(found)
+    vocabulary = bpe.load(path)
+    special = vocabulary.specials
+    pieces, sizes = bpe.flattened([vocabulary.parts(text) for text in texts])
+    lengths = vocabulary.lengths_of([("" if piece in special else piece) for piece in pieces])
+    if any(one in text for text in texts for one in special):
+        lengths = np.where(np.fromiter((piece in special for piece in pieces), bool, len(pieces)), 1, lengths)
+    return bpe.sums(lengths, sizes)
 
 
 def count_tokens(documents: DataFrame, path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
@@ -34,11 +32,9 @@ def count_tokens(documents: DataFrame, path: str, text: str = "text", into: str
     schema = T.StructType([*kept, T.StructField(into, T.LongType())])
 
     def counted(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text")).to_pylist()
-            columns = [batch.column(batch.schema.get_field_index(field.name)) for field in kept]
+        for batch, texts in portions(batches, "__text"):
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(counts(texts, path), pa.int64())], [*[f.name for f in kept], into])
+                [*columns_of(batch, schema.names[:-1]), pa.array(counts(texts, path), pa.int64())], schema.names)
 
     return documents.select(*[f"`{field.name}`" for field in kept], documents[text].alias("__text")).mapInArrow(
         counted, schema)

@@ -28,20 +28,23 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorloom.llm import blobs, shared_features
+from sensorloom.llm.arrow_rows import PARCEL_PORTION, portions
 from sensorloom.llm.common import partitions, stored
 from sensorloom.llm.components import components
 from sensorloom.llm.shared_features import BITS, PARCEL
 
 WORDS, PERCENT = 5, 75
+#: Classes that meet in one task at most, from each of two sides; weight of merging against probing.
+CELL, WEIGH = 2048, 0.3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -75,25 +78,27 @@ def _needed(n, percent: int):
 
 
 def document_sets(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per document its doc_id, n_shingles and class key; and rows with a feature that may be common,
-    and in n_shingles how many classes of one batch have it."""
+    """Per document its doc_id, n_shingles, class key and a hash of its text; and rows with a feature that
+    may be common, and in n_shingles how many classes of one batch have it."""
 
     def measured(batches):
-        for batch in batches:
+        for batch, texts in portions(batches, "text", PARCEL_PORTION):
             ids = batch.column(0)
-            sets = [shingles(text, words) for text in batch.column(1).to_pylist()]
+            sets = [shingles(text, words) for text in texts]
             keys = [class_key(one) for one in sets]
             seen, counts = shared_features.often_seen(list(dict(zip(keys, sets)).values()))
+            names = ["doc_id", "n_shingles", "key", "text_hash", "feature"]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(one) for one in sets], pa.int64()), pa.array(keys, pa.int64()),
-                 pa.nulls(len(sets), pa.int64())], ["doc_id", "n_shingles", "key", "feature"])
+                [ids, pa.array([len(one) for one in sets], pa.int64()), pa.array(keys, pa.int64()), batch.column(2),
+                 pa.nulls(len(sets), pa.int64())], names)
+            nothing = pa.nulls(len(seen), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(seen), ids.type), pa.array(counts, pa.int64()), pa.nulls(len(seen), pa.int64()),
-                 pa.array(seen.astype(np.int64))], ["doc_id", "n_shingles", "key", "feature"])
+                [pa.nulls(len(seen), ids.type), pa.array(counts, pa.int64()), nothing, nothing,
+                 pa.array(seen.astype(np.int64))], names)
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return stored(documents.select("doc_id", "text").mapInArrow(
-        measured, f"doc_id {id_type}, n_shingles long, key long, feature long"), "sets")
+    return stored(documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        measured, f"doc_id {id_type}, n_shingles long, key long, text_hash long, feature long"), "sets")
 
 
 def _parcels(common: np.ndarray, routes: int, words: int):
@@ -101,9 +106,9 @@ def _parcels(common: np.ndarray, routes: int, words: int):
     each has, d these."""
 
     def sent(batches):
-        for batch in batches:
+        for _, texts in portions(batches, "text", PARCEL_PORTION):
             sets = {}
-            for text in batch.column(0).to_pylist():
+            for text in texts:
                 one = shingles(text, words)
                 if len(one):
                     sets[class_key(one)] = one
@@ -194,45 +199,119 @@ def _fitting(percent: int):
         100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n"))
 
 
-def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return postings.withColumn("c", F.col("key"))
+def _linking(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings of the lists that hold two components or more, with the component of each class."""
     known = labels.select(F.col("node").alias("key"), "label")
-    return postings.join(known, "key", "left").withColumn("c", F.coalesce("label", "key")).drop("label")
-
-
-def linked_components(classes: DataFrame, percent: int) -> DataFrame | None:
+    labelled = stored(postings.select("key", "list").join(known, "key", "left").select(
+        "key", "list", F.coalesce("label", "key").alias("c")), "labelled")
+    mixed = labelled.groupBy("list").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.min("key").alias("first")).filter("low <> high")
+    return stored(labelled.join(mixed.select("list", "first"), "list"), "mixed")
+
+
+def _cells(open_: DataFrame, classes: DataFrame, cell: int) -> DataFrame:
+    """The classes that are still to be compared, dealt to cells.
+
+    Lists that have a class in common make a block.  A block's classes are cut into parts of about
+    ``cell`` classes, large components into parts of their own; every two parts make a cell, except two
+    parts of one component.
+    """
+    blocks = components(open_.select(F.col("key").alias("a"), F.col("first").alias("b")))
+    members = stored(open_.select("key", "c").distinct().join(
+        blocks.select(F.col("node").alias("key"), F.col("label").alias("block")), "key"), "members")
+    sizes = members.groupBy("block", "c").agg(F.count("*").alias("size"))
+    small = F.when(F.col("size") < cell, F.col("size")).otherwise(0)
+    small_sizes = sizes.groupBy("block").agg(F.sum(small).alias("small"))
+    parts = lambda size: F.ceil(F.col(size) / cell)
+    large = F.col("size") >= cell
+    placed = members.join(sizes, ["block", "c"]).join(small_sizes, "block").select(
+        "key", "c", "block", F.when(large, F.col("c")).alias("whole"),
+        F.when(large, F.xxhash64("c", F.pmod(F.xxhash64("key"), parts("size")))).otherwise(
+            F.pmod(F.xxhash64("c"), F.greatest(F.lit(1), parts("small")))).alias("part"))
+    known = stored(placed, "parts")
+    every = known.select("block", "part", "whole").distinct()
+    others = every.select("block", F.col("part").alias("with"), F.col("whole").alias("with_whole"))
+    pairs = every.join(others, "block").filter(
+        "part <= with AND NOT (whole IS NOT NULL AND whole <=> with_whole)").select(
+        "block", "part", "with", F.xxhash64("block", "part", "with").alias("cell"))
+    sides = pairs.select("block", "part", "cell", F.when(F.col("part") == F.col("with"), 0).otherwise(1).alias("side")).unionAll(
+        pairs.filter("part <> with").select("block", "with", "cell", F.lit(2)))
+    return known.join(sides, ["block", "part"]).join(classes.select("key", "n", "shared"), "key").select(
+        "cell", "side", "key", "c", "n", "shared")
+
+
+def divide_skip(lists: list[np.ndarray], needed: int, members: int, weigh: float = WEIGH) -> tuple[np.ndarray, np.ndarray]:
+    """Members (places from 0 to ``members``) that occur in ``needed`` of the sorted lists or more, and in how many.
+
+    The longer the longest list, the fewer lists are long: the short ones are merged, which costs
+    their length, and the long ones probed for what the merge leaves, which costs its logarithm.
+    """
+    lists = sorted(lists, key=len)
+    if len(lists) < needed:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    long = min(needed - 1, int(needed / (weigh * np.log2(len(lists[-1]) + 1) + 1)))
+    short = lists[: len(lists) - long]
+    count = np.bincount(np.concatenate(short), minlength=members)
+    found = np.flatnonzero(count >= max(1, needed - long))
+    count = count[found]
+    for one in lists[len(lists) - long:]:
+        if not len(found):
+            break
+        at = np.minimum(np.searchsorted(one, found), len(one) - 1)
+        count = count + (one[at] == found)
+    return found[count >= needed], count[count >= needed]
+
+
+def _searched(percent: int):
+    """Links between different components of one cell, as few as join them."""
+
+    def searched(table: pa.Table) -> pa.Table:
+        side, key, n = (table.column(name).to_numpy() for name in ("side", "key", "n"))
+        _, root = np.unique(table.column("c").to_numpy(), return_inverse=True)
+        sets = [np.frombuffer(one, np.uint64) for one in table.column("shared").to_pylist()]
+        indexed = np.flatnonzero(side != 2)
+        flat = np.concatenate([sets[i] for i in indexed])
+        owner = np.repeat(indexed, [len(sets[i]) for i in indexed])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        start = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        values, ends = flat[start], np.r_[start[1:], len(flat)]
+        links = []
+        for query in np.flatnonzero(side != 1).tolist():
+            at = np.minimum(np.searchsorted(values, sets[query]), len(values) - 1)
+            at = at[values[at] == sets[query]]
+            lists = [owner[a:b] for a, b in zip(start[at].tolist(), ends[at].tolist())]
+            found, common = divide_skip(lists, int(_needed(n[query], percent)), len(sets))
+            linked = found[100 * common >= percent * (n[query] + n[found] - common)]
+            for other in linked.tolist():
+                if root[other] != root[query]:
+                    links.append((key[query], key[other]))
+                    root[root == root[other]] = root[query]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return searched
+
+
+def linked_components(classes: DataFrame, percent: int, cell: int = CELL) -> DataFrame:
     """(node, label) of the classes that link to another one."""
     postings = classes.select("key", "n", F.octet_length("shared").alias("bytes"), F.posexplode("short").alias("i", "list"))
     postings = stored(postings.select(
         "key", "n", "list", (F.col("bytes") / 8 - F.col("i")).cast("long").alias("rest")), "postings")
-    links, labels = None, None
-    other = lambda name: [F.col(f"{name}.{c}").alias(f"o_{c}") for c in ("key", "n", "rest", "c")]
-    for middle in (F.min, F.max, None):
-        here = stored(_labelled(postings, labels), "labelled")
-        member = F.struct("key", "n", "rest", "c")
-        lists = here.groupBy("list").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), *([middle(member).alias("p")] if middle else [])
-        ).filter("low <> high").drop("low", "high")
-        if middle:
-            pairs = here.join(lists, "list").select(*here.columns, *other("p")).filter("c <> o_c")
-        else:
-            # Parts of different components of a list: first the pairs of components, then their members.
-            mixed = stored(here.join(lists, "list"), "mixed")
-            parts = mixed.select("list", "c").distinct()
-            pairs_of = parts.join(parts.select("list", F.col("c").alias("o_c")), "list").filter("c < o_c")
-            renamed = mixed.select("list", *[F.col(c).alias(f"o_{c}") for c in ("key", "n", "rest", "c")])
-            pairs = pairs_of.join(mixed, ["list", "c"]).join(renamed, ["list", "o_c"])
-        pairs = pairs.filter(_fitting(percent)).select(
-            F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b"))
-        new = stored(_verified(pairs, classes, percent), "verified")
-        links = new if links is None else links.unionAll(new)
-        labels = components(links)
-    return labels
+    member = F.struct("key", "n", "rest")
+    firsts = postings.groupBy("list").agg(F.min(member).alias("p"), F.count("*").alias("size")).filter("size > 1")
+    pairs = postings.join(firsts, "list").select(
+        "key", "n", "rest", *[F.col(f"p.{name}").alias(f"o_{name}") for name in ("key", "n", "rest")]
+    ).filter(F.col("key") != F.col("o_key")).filter(_fitting(percent)).select(
+        F.least("key", "o_key").alias("a"), F.greatest("key", "o_key").alias("b"))
+    first = stored(_verified(pairs, classes, percent), "verified")
+    cells = _cells(_linking(postings, components(first)), classes, cell)
+    rest = stored(cells.groupBy("cell").applyInArrow(_searched(percent), "a long, b long"), "verified")
+    return components(first.unionAll(rest))
 
 
 def join_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id, the least doc_id that links reach, of every row."""
+    """doc_id, text_hash, n_shingles and component_id, the least doc_id that links reach, of every row."""
     spark = documents.sparkSession
     routes = partitions(spark)
     sets = document_sets(documents, words)
@@ -250,5 +329,24 @@ def join_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     component = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     named = labelled.select("key", "label").join(component, "label").select("key", "component_id")
     return ids.join(named, "key", "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "text_hash", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def first_of_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, as it was: that with the least doc_id, and the least hash of its text.
+
+    Rows without shingles, which no other links to, all stay; so does a null doc_id unless a row of its
+    component has one.
+    """
+    found = join_components(documents, words, percent)
+    blank = F.col("n_shingles") == 0
+    leading = found.filter(blank | F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = F.when(blank | F.col("doc_id").isNull(), F.col("text_hash"))
+    chosen = leading.groupBy("doc_id", alone.alias("alone")).agg(
+        F.min("text_hash").alias("text_hash"), F.min("n_shingles").alias("n_shingles"))
+    marked = documents.withColumn("_hash", F.xxhash64("text")).alias("d").join(
+        chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("_hash") == F.col("text_hash")))
+    turn = F.row_number().over(Window.partitionBy("d.doc_id", "_hash").orderBy(F.lit(0)))
+    return marked.select("d.*", "n_shingles", turn.alias("_turn")).filter("n_shingles = 0 OR _turn = 1").drop(
+        "_hash", "_turn", "n_shingles")

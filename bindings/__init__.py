@@ -2,7 +2,7 @@
 
 from bindings.registry import ORACLES, QUERIES
 from bindings import (  # noqa: F401  (each module registers its queries)
-    cleaning, conforming, files, indoor_feed, joining, quality_checks, reshaping, streams, time_series,
+    cleaning, conforming, files, indoor_feed, joining, quality_checks, reshaping, stored, streams, time_series,
     uplink_feed, water_feed,
 )
 

@@ -225,3 +225,33 @@ def parse_fixed_formats(spark, sf_dir):
         .alias("with_offset"),
         temporal.day_text(F.col("ts")).alias("day"),
         F.date_add(F.to_date("ts"), 1).alias("next_day"))
+
+
+@query("parse_early_epoch", """
+SELECT o_orderkey, o_orderdate - INTERVAL 25 YEAR AS parsed FROM orders
+""")
+def parse_early_epoch(spark, sf_dir):
+    """Epochs with fewer digits, and negative ones, of devices whose clock was reset; with a zone offset behind."""
+    date = F.col("o_orderdate").cast("timestamp") - F.expr("INTERVAL 25 YEAR")
+    millis = F.unix_millis(date).cast("string")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        temporal.epoch_wrapper_to_timestamp(F.concat(F.lit("/Date("), millis, F.lit("+0100)/")))
+        .cast("timestamp_ntz").alias("parsed"))
+
+
+@query("parse_date_spellings", """
+SELECT event_id, CASE event_type WHEN 'click' THEN date_trunc('minute', ts) WHEN 'view' THEN date_trunc('day', ts)
+                                 WHEN 'signup' THEN date_trunc('millisecond', ts) ELSE date_trunc('second', ts) END AS parsed
+FROM events
+""")
+def parse_date_spellings(spark, sf_dir):
+    """Five spellings: without seconds, without a time, year first, two-digit years, and with a fraction."""
+    kind = F.col("event_type")
+    date = (F.when(kind == "click", F.date_format("ts", "dd/MM/yyyy")).when(kind == "view", F.date_format("ts", "d-M-yyyy"))
+            .when(kind == "error", F.date_format("ts", "yyyy-MM-dd")).when(kind == "purchase", F.date_format("ts", "d.M.yy"))
+            .otherwise(F.date_format("ts", "d/M/yyyy")))
+    time = (F.when(kind == "click", F.date_format("ts", "H:mm")).when(kind == "signup", F.date_format("ts", "HH:mm:ss.SSS"))
+            .when(kind != "view", F.date_format("ts", "H:mm:ss")))
+    return table(spark, sf_dir, "events").select(
+        "event_id", temporal.lenient_day_first(date, time).cast("timestamp_ntz").alias("parsed"))

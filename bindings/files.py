@@ -189,3 +189,38 @@ def logger_known_layout(spark, sf_dir):
         spark, f"{_write_logger_files(spark, sf_dir)}/plain", ["DATE", "TIME", "10670", "10671"])
     return rows.select(
         lenient_day_first(F.col("DATE"), F.col("TIME")).cast("timestamp_ntz").alias("date_time"), "10670")
+
+
+@query("logger_rejects", """
+SELECT CASE WHEN event_type = 'signup' THEN 'unreadable date' WHEN event_type = 'error' THEN 'no header with date and time' END
+         AS reject_reason, count(*) + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS line_count
+FROM events WHERE event_type IN ('signup', 'error') GROUP BY event_type
+""")
+def logger_rejects(spark, sf_dir):
+    """Lines that the readers leave out: of a file whose header has other names, and with unreadable dates."""
+    folder = shared_folder(spark, "logger")
+    kind = F.col("event_type")
+    rows = table(spark, sf_dir, "events").select(
+        "event_type", F.when(kind == "signup", "soon").otherwise(F.date_format("ts", "d/M/yyyy")).alias("DATE"),
+        F.date_format("ts", "H:mm:ss").alias("TIME"), F.col("user_id").cast("string").alias("10668"))
+    writer = lambda chosen: chosen.coalesce(1).write.option("sep", ";").option("header", True)
+    writer(rows.filter("event_type <> 'error'").drop("event_type")).csv(f"{folder}/known")
+    writer(rows.filter("event_type = 'error'").drop("event_type").withColumnsRenamed({"DATE": "Date", "TIME": "Time"})).csv(
+        f"{folder}/other")
+    rejected = delimited.read_logger_rejects(spark, f"{folder}/*")
+    return rejected.groupBy("reject_reason").agg(F.count("*").alias("line_count"))
+
+
+@query("day_slice_refetched", """
+SELECT event_id, cast(ts AS date) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'
+""")
+def day_slice_refetched(spark, sf_dir):
+    """Days of a range that have not landed are found in the folder, fetched again, and the range is read whole."""
+    folder = shared_folder(spark, "days")
+    events = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("day"))
+    events.filter(F.dayofmonth("day") % 3 != 0).hint("rebalance", "day").write.partitionBy("day").json(folder)
+    schema = T.StructType([T.StructField("event_id", T.LongType())])
+    landed = landing.read_days(spark, folder, schema, "2024-01-05", "2024-01-25")
+    missing = landing.missing_days(landed, "day", "2024-01-05", "2024-01-25")
+    events.join(missing, "day").hint("rebalance", "day").write.mode("append").partitionBy("day").json(folder)
+    return landing.read_days(spark, folder, schema, "2024-01-05", "2024-01-25")

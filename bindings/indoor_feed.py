@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
-from bindings.registry import guid, query, table
+from bindings.constraints import constraints_sql
+from bindings.registry import guid, landed, once, query, table
 from bindings.time_series import _rounded
-from bindings.views import MESSAGES_SQL, messages
-from sensorloom.operators import dedupe, resample
+from bindings.views import MESSAGES_SQL, as_text, messages
+from sensorloom.operators import metrics, resample
 from sensorloom.plans import checks, indoor, reports
-from sensorloom.sources.tables import dimension_rows
+from sensorloom.plans.load import load_batch
+from sensorloom.session import shared_folder
+from sensorloom.sources.documents import read_envelope
+from sensorloom.sources.schemas import INDOOR_MESSAGE, REST_GATEWAY, REST_MESSAGE, REST_SENSOR
+from sensorloom.sources.tables import dimension_rows, read_table
 
 SETTINGS = indoor.IndoorSettings(sensor_types=("Click",))
 
@@ -48,7 +54,30 @@ def _frames(spark, sf_dir) -> dict[str, DataFrame]:
 def _stored(frames: dict[str, DataFrame], name: str) -> DataFrame:
     """The rows that the load would leave in the table."""
     spec = indoor.TABLES[name]
-    return dimension_rows(frames[name], spec) if spec.is_dimension else frames[name]
+    return dimension_rows(frames[name], spec) if spec.is_dimension else frames[name].select(*spec.schema.names)
+
+
+def landed_messages(spark, sf_dir) -> DataFrame:
+    """Messages that landed as JSON documents."""
+    def documents() -> DataFrame:
+        sent = as_text(messages(spark, sf_dir), "messageDate")
+        return sent.select(F.array(F.struct(*sent.columns)).alias("sensorMessages"))
+
+    return read_envelope(spark, landed(spark, sf_dir, "indoor", documents), INDOOR_MESSAGE)
+
+
+def load_indoor(spark, sf_dir, root: str) -> None:
+    """All messages as one load; then those with a flag are delivered once more, as another load."""
+    sent, staging = landed_messages(spark, sf_dir), shared_folder(spark, "staging")
+    prepare = partial(indoor.prepare, settings=SETTINGS)
+    load_batch(sent, prepare, indoor.tables, indoor.TABLES, root, "first", staging)
+    again = sent.filter("pendingChange IS NOT NULL")
+    load_batch(again, prepare, indoor.tables, indoor.TABLES, root, "again", staging)
+
+
+def stored_indoor(spark, sf_dir) -> dict[str, DataFrame]:
+    root = once(spark, sf_dir, "indoor_tables", lambda folder: load_indoor(spark, sf_dir, folder))
+    return {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
 
 
 _TABLE_SQL = {
@@ -93,9 +122,7 @@ WITH {ROWS_SQL} {_REPORT_SQL}
 WHERE "messageDate" > TIMESTAMP '2024-01-05' AND "messageDate" < TIMESTAMP '2024-01-20' ORDER BY "messageDate" DESC
 """)
 def indoor_report(spark, sf_dir):
-    frames = _frames(spark, sf_dir)
-    report = reports.indoor_report(
-        {name: _stored(frames, name) for name in frames}, dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20))
+    report = reports.indoor_report(stored_indoor(spark, sf_dir), dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20))
     return report.withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))
 
 
@@ -104,34 +131,93 @@ WITH {ROWS_SQL} {_REPORT_SQL}
 ORDER BY "messageDate" DESC, "sensorName", "rawData", "dataValue", "dataType", "plotValue", "plotLabel" LIMIT 1000
 """)
 def indoor_newest_1000(spark, sf_dir):
-    frames = _frames(spark, sf_dir)
-    rows = reports.indoor_sample({name: _stored(frames, name) for name in frames}, 1000, ordered=True)
+    rows = reports.indoor_sample(stored_indoor(spark, sf_dir), 1000, ordered=True)
     return rows.withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))
 
 
-@query("indoor_constraints", f"""
+@query("indoor_constraints", constraints_sql(ROWS_SQL, indoor.TABLES, _TABLE_SQL))
+def indoor_constraints(spark, sf_dir):
+    """All declared constraints of the ten stored tables."""
+    return checks.constraint_report(stored_indoor(spark, sf_dir), indoor.TABLES)
+
+
+@query("indoor_load", f"""
 WITH {ROWS_SQL}
-SELECT 'indoor_readings' AS table_name, 'length' AS check_name,
-       count(*) FILTER (length("rawData") > 10 OR length("dataValue") > 10 OR length("plotValue") > 10) AS violations
-FROM readings
-UNION ALL SELECT 'indoor_readings', 'not null', 0
-UNION ALL SELECT 'indoor_readings', 'primary key', (SELECT count(*) FROM (
-    SELECT "readingID", "dataMessageGUID" FROM readings GROUP BY 1, 2 HAVING count(*) > 1))
-UNION ALL SELECT 'indoor_readings', 'reference to indoor_sensors', 0
-UNION ALL SELECT 'indoor_readings', 'reference to indoor_plot_labels', 0
-UNION ALL SELECT 'indoor_sensors', 'primary key', 0
-UNION ALL SELECT 'indoor_sensors', 'not null', 0
-UNION ALL SELECT 'indoor_sensors', 'id format', 0
-UNION ALL SELECT 'indoor_plot_labels', 'primary key', 0
-UNION ALL SELECT 'indoor_plot_labels', 'not null', 0
-UNION ALL SELECT 'indoor_plot_labels', 'id format', 0
-UNION ALL SELECT 'indoor_plot_labels', 'length', (SELECT count(DISTINCT "plotLabel") FROM readings
-                                                  WHERE length("plotLabel") > 20)
+SELECT count(*) AS readings, count(DISTINCT "sensorName") AS sensors, count(*) AS voltages
+FROM (SELECT DISTINCT "readingID", "sensorName" FROM readings)
 """)
-def indoor_constraints(spark, sf_dir):
-    frames = _frames(spark, sf_dir)
-    chosen = ("indoor_readings", "indoor_sensors", "indoor_plot_labels")
-    return checks.constraint_report({name: _stored(frames, name) for name in chosen}, indoor.TABLES)
+def indoor_load(spark, sf_dir):
+    """The two loads themselves, into new tables; the second delivery adds nothing."""
+    root = shared_folder(spark, "tables")
+    load_indoor(spark, sf_dir, root)
+    counts = [read_table(spark, root, indoor.TABLES[name]).agg(F.count("*").alias(alias)) for name, alias in (
+        ("indoor_readings", "readings"), ("indoor_sensors", "sensors"), ("indoor_sensor_voltage", "voltages"))]
+    return counts[0].crossJoin(counts[1]).crossJoin(counts[2])
+
+
+@query("redelivered_indoor_children", f"""
+WITH {ROWS_SQL}
+SELECT "readingID", "dataMessageGUID", "voltage", "pendingChange", "signalStrength" FROM readings
+""")
+def redelivered_indoor_children(spark, sf_dir):
+    """Readings with three children after messages came twice: one row each."""
+    tables = stored_indoor(spark, sf_dir)
+    keys = ["readingID", "dataMessageGUID"]
+    rows = tables["indoor_readings"].select(*keys)
+    for name in ("indoor_sensor_voltage", "indoor_pending_changes", "indoor_signal_status"):
+        rows = rows.join(tables[name].drop("batch", "day"), keys)
+    return rows
+
+
+@query("any_1000", f"WITH {ROWS_SQL} SELECT least(1000, count(*)) AS row_count, 0 AS strangers FROM readings")
+def any_1000(spark, sf_dir):
+    """Some thousand rows in no order: how many there are, and how many of them the report does not have."""
+    tables = stored_indoor(spark, sf_dir)
+    some = reports.indoor_sample(tables, 1000)
+    strangers = some.exceptAll(reports.indoor_report(tables)).count()
+    return some.agg(F.count("*").alias("row_count")).withColumn("strangers", F.lit(strangers))
+
+
+@query("observed_load", "SELECT count(*) AS seen, count(DISTINCT event_id) AS messages FROM events")
+def observed_load(spark, sf_dir):
+    """Progress counts that a load takes on its way."""
+    sent, observation = metrics.counted(landed_messages(spark, sf_dir), "landed")
+    root, staging = shared_folder(spark, "tables"), shared_folder(spark, "staging")
+    load_batch(sent, partial(indoor.prepare, settings=SETTINGS), indoor.tables, indoor.TABLES, root, "first", staging)
+    stored = read_table(spark, root, indoor.TABLES["indoor_readings"])
+    return stored.agg(F.countDistinct("dataMessageGUID").alias("messages")).withColumn(
+        "seen", F.lit(observation.get["rows"]).cast("bigint"))
+
+
+@query("one_sided_range", f"""
+WITH {ROWS_SQL}
+SELECT 'from' AS side, count(*) AS row_count FROM readings WHERE "messageDate" > TIMESTAMP '2024-01-10'
+UNION ALL SELECT 'until', count(*) FROM readings WHERE "messageDate" < TIMESTAMP '2024-01-10'
+""")
+def one_sided_range(spark, sf_dir):
+    """Reports with one bound only."""
+    tables, day = stored_indoor(spark, sf_dir), dt.datetime(2024, 1, 10)
+    sides = {"from": reports.indoor_report(tables, start=day), "until": reports.indoor_report(tables, end=day)}
+    first, second = (
+        report.agg(F.count("*").alias("row_count")).withColumn("side", F.lit(side)) for side, report in sides.items())
+    return first.unionByName(second)
+
+
+@query("indoor_rejects", """
+SELECT CASE event_type WHEN 'view' THEN 'unreadable message date' ELSE 'networkID is not int' END AS reject_reason,
+       count(*) AS messages
+FROM events WHERE event_type IN ('view', 'error') GROUP BY 1
+""")
+def indoor_rejects(spark, sf_dir):
+    """Messages with unreadable dates and numbers, read back from a load."""
+    kind = F.element_at(F.split("sensorName", " "), 1)
+    sent = as_text(messages(spark, sf_dir), "messageDate").withColumns({
+        "networkID": F.when(kind == "error", F.lit("none")).otherwise(F.col("networkID").cast("string")),
+        "messageDate": F.when(kind == "view", F.lit("soon")).otherwise(F.col("messageDate"))})
+    rejected = load_batch(
+        sent, partial(indoor.prepare, settings=SETTINGS), indoor.tables, indoor.TABLES, shared_folder(spark, "tables"),
+        "first", shared_folder(spark, "staging"))
+    return rejected.groupBy("reject_reason").agg(F.count("*").alias("messages"))
 
 
 @query("indoor_flagship", f"""
@@ -146,14 +232,8 @@ SELECT grid."dataType", grid."messageDate", means.value
 FROM grid LEFT JOIN means ON means."dataType" = grid."dataType" AND means."messageDate" = grid."messageDate"
 """)
 def indoor_flagship(spark, sf_dir):
-    """Messages, half of them sent twice, to conformed tables, deduplicated, joined and resampled."""
-    sent = messages(spark, sf_dir)
-    twice = sent.unionByName(sent.filter("pendingChange IS NOT NULL"))
-    frames = indoor.build(twice, SETTINGS)
-    stored = {name: _stored(frames, name) for name in frames}
-    stored["indoor_readings"] = dedupe.drop_identical(
-        stored["indoor_readings"], indoor.TABLES["indoor_readings"].primary_key)
-    report = reports._indoor_rows(stored, None, None)
+    """Messages, many of them delivered twice, in conformed tables; their report is resampled."""
+    report = reports._indoor_rows(stored_indoor(spark, sf_dir), None, None)
     numeric = report.select("dataType", "messageDate", F.col("dataValue").try_cast("double").alias("value"))
     grid = resample.resample_grid(numeric, "messageDate", ["value"], "60min", ["dataType"])
     return _rounded(grid, "value").withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))
@@ -191,3 +271,45 @@ def indoor_from_rest(spark, sf_dir):
     return indoor.from_rest(listed, sensors, gateways).select(
         "dataMessageGUID", "sensorID", "gatewayID", F.col("messageDate").cast("timestamp_ntz").alias("messageDate"),
         "voltage", "sensorName", "gatewayName")
+
+
+@query("rest_readings", f"""
+WITH {ROWS_SQL}
+SELECT "dataMessageGUID", c_name AS "sensorName", date_trunc('second', "messageDate") AS "messageDate", "rawData",
+       "dataValue", "dataType", "plotValue", "plotLabel"
+FROM (SELECT * REPLACE (CASE WHEN "rawData" <> '' THEN "rawData" END AS "rawData") FROM (
+        SELECT "dataMessageGUID", "networkID" AS n, "messageDate", coalesce(a2[i + 1], '') AS "rawData",
+               coalesce(b[i + 1], '') AS "dataValue", coalesce(c[i + 1], '') AS "dataType",
+               coalesce(d[i + 1], '') AS "plotValue", coalesce(e[i + 1], '') AS "plotLabel"
+        FROM (SELECT *, unnest(range(greatest(len(a2), len(b), len(c), len(d), len(e)))) AS i
+              FROM (SELECT *, string_split("rawData", '%7c') AS a2, string_split("dataValue", '|') AS b,
+                           string_split("dataType", '|') AS c, string_split("plotValues", '|') AS d,
+                           string_split("plotLabels", '|') AS e FROM msg)))) r
+JOIN customer ON c_custkey = n
+""")
+def rest_readings(spark, sf_dir):
+    """REST lists as JSON with a ``Result`` each, joined, split into readings and read back from the tables."""
+    folder = shared_folder(spark, "rest")
+    sent = messages(spark, sf_dir)
+    listed = sent.select(
+        F.col("dataMessageGUID").alias("DataMessageGUID"), F.col("networkID").alias("SensorID"),
+        F.lit("g").alias("GatewayID"), F.col("rawData").alias("Data"), F.col("dataValue").alias("DataValues"),
+        F.col("dataType").alias("DataTypes"), F.col("plotValues").alias("PlotValues"), F.col("plotLabels").alias("PlotLabels"),
+        F.concat(F.lit("/Date("), F.unix_millis(F.col("messageDate").cast("timestamp")).cast("string"), F.lit(")/"))
+        .alias("MessageDate"), F.col("voltage").alias("Voltage"), F.col("signalStrength").alias("SignalStrength"),
+        F.col("batteryLevel").alias("Battery"))
+    sensors = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("SensorID"), F.lit(1).alias("ApplicationID"), F.col("c_name").alias("SensorName"))
+    gateways = spark.range(1).select(F.lit("g").alias("GatewayID"), F.lit(7).alias("NetworkID"), F.lit("hall").alias("Name"))
+    read = {}
+    for name, rows, schema in (
+            ("messages", listed, REST_MESSAGE), ("sensors", sensors, REST_SENSOR), ("gateways", gateways, REST_GATEWAY)):
+        rows.select(F.array(F.struct(*rows.columns)).alias("Result")).write.json(f"{folder}/{name}")
+        read[name] = read_envelope(spark, f"{folder}/{name}", schema, "Result")
+    joined = indoor.from_rest(read["messages"], read["sensors"], read["gateways"])
+    root = shared_folder(spark, "tables")
+    load_batch(joined, indoor.prepare, indoor.tables, indoor.TABLES, root, "rest", shared_folder(spark, "staging"))
+    tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
+    rows = tables["indoor_readings"].select("dataMessageGUID", "readingID").join(
+        reports._indoor_rows({**tables}, None, None, ("readingID",)), "readingID").drop("readingID")
+    return rows.withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))

@@ -5,15 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from functools import partial
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import functions as F, types as T
 
 from bindings.indoor_feed import ROWS_SQL, SETTINGS
 from bindings.registry import once, query, table
-from bindings.views import messages
+from bindings.views import as_text, messages
+from sensorloom.operators import resample
 from sensorloom.plans import indoor, reports
 from sensorloom.session import shared_folder
 from sensorloom.sources import landing
-from sensorloom.sources.documents import UNREADABLE, read_documents, unwrap, readable
+from sensorloom.sources.documents import UNREADABLE, read_documents, unwrap
 from sensorloom.sources.schemas import INDOOR_MESSAGE
 from sensorloom.sources.tables import read_table
 from sensorloom.streaming import events as event_streams
@@ -22,26 +23,29 @@ from sensorloom.streaming.ingest import ingest
 _ENVELOPE = T.StructType([T.StructField("sensorMessages", T.ArrayType(INDOOR_MESSAGE))])
 
 
-def as_text(df: DataFrame, timestamp: str) -> DataFrame:
-    """Timestamps as text with microseconds, as they arrive in JSON."""
-    return df.withColumn(timestamp, F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-
-
 def _ingested(spark, sf_dir) -> str:
     return once(spark, sf_dir, "tables", lambda root: _run_ingest(spark, sf_dir, root))
 
 
 def _run_ingest(spark, sf_dir, root: str) -> None:
-    """Messages landed as two drops, ingested by two runs of the same stream."""
+    """Messages landed as three drops, the last one a repeat, ingested by three runs of the same stream."""
     landed, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
     sent = messages(spark, sf_dir)
     loud = F.col("pendingChange").isNotNull()
-    prepare, build = partial(indoor.prepare, settings=SETTINGS), indoor.tables
-    for drop in (sent.filter(loud), sent.filter(~loud)):
-        body = F.struct(*[name for name in drop.columns if name in INDOOR_MESSAGE.names])
-        as_text(drop, "messageDate").select(F.array(body).alias("sensorMessages")).write.mode("append").json(landed)
-        arriving = unwrap(readable(read_documents(spark, landed, _ENVELOPE, stream=True)), "sensorMessages")
-        ingest(arriving, prepare, build, indoor.TABLES, root, checkpoint).awaitTermination()
+    for drop in (sent.filter(loud), sent.filter(~loud), sent.filter(loud)):
+        _land(drop, landed)
+        _ingest(spark, landed, root, checkpoint).awaitTermination()
+
+
+def _land(drop, folder: str) -> None:
+    body = F.struct(*[name for name in drop.columns if name in INDOOR_MESSAGE.names])
+    as_text(drop, "messageDate").select(F.array(body).alias("sensorMessages")).write.mode("append").json(folder)
+
+
+def _ingest(spark, landed: str, root: str, checkpoint: str, **options):
+    return ingest(
+        read_documents(spark, landed, _ENVELOPE, stream=True), partial(indoor.prepare, settings=SETTINGS), indoor.tables,
+        indoor.TABLES, root, checkpoint, unwrapped=lambda documents: unwrap(documents, "sensorMessages"), **options)
 
 
 @query("stream_ingest", f"""
@@ -59,8 +63,8 @@ def stream_ingest(spark, sf_dir):
         tables["indoor_readings"]
         .join(tables["indoor_sensors"].select("sensorID", "sensorName"), "sensorID")
         .join(tables["indoor_data_types"], "dataTypeID").join(tables["indoor_plot_labels"], "plotLabelID")
-        .join(tables["indoor_sensor_voltage"].drop("batch"), keys)
-        .join(tables["indoor_pending_changes"].drop("batch"), keys))
+        .join(tables["indoor_sensor_voltage"].drop("batch", "day"), keys)
+        .join(tables["indoor_pending_changes"].drop("batch", "day"), keys))
     return rows.select(
         "readingID", "sensorName", F.col("messageDate").cast("timestamp_ntz").alias("messageDate"), "rawData",
         "dataValue", "dataType", "plotValue", "plotLabel", "voltage", "pendingChange")
@@ -126,3 +130,53 @@ def stream_archive(spark, sf_dir):
     return spark.read.parquet(out).agg(
         F.count("*").alias("lines"),
         F.countDistinct(F.get_json_object("payload", "$.event_id")).alias("events"))
+
+
+@query("stream_resample_complete", """
+SELECT event_type, time_bucket(INTERVAL '10 minutes', ts) AS ts, round(avg(value), 6) AS value FROM events GROUP BY 1, 2
+""")
+def stream_resample_complete(spark, sf_dir):
+    """All bins, the last and late ones too: the batch operator over the raw archive that a stream wrote."""
+    landed, out, checkpoint = (shared_folder(spark, name) for name in ("landing", "archive", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    as_text(events, "ts").write.json(landed)
+    event_streams.append_parquet(landing.raw_lines(spark, landed, stream=True), out, checkpoint).awaitTermination()
+    schema = "event_type string, ts timestamp_ntz, value double"
+    rows = spark.read.parquet(out).select(F.from_json("payload", schema).alias("row")).select("row.*")
+    bins = resample.resample_mean(rows, "ts", ["value"], "10min", ["event_type"])
+    return bins.withColumn("value", F.round("value", 6))
+
+
+@query("stream_rejects", """
+SELECT 'unreadable record' AS reject_reason, count(*) AS records FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'unreadable message date', count(*) FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'accepted', count(*) FROM events WHERE event_type NOT IN ('error', 'view')
+""")
+def stream_rejects(spark, sf_dir):
+    """A stream with broken lines and unreadable dates: what it keeps of them, and the messages it accepts."""
+    landed, root, checkpoint = (shared_folder(spark, name) for name in ("landing", "tables", "checkpoint"))
+    kind = F.element_at(F.split("sensorName", " "), 1)
+    sent = as_text(messages(spark, sf_dir), "messageDate").withColumn(
+        "messageDate", F.when(kind == "view", F.lit("soon")).otherwise(F.col("messageDate")))
+    line = F.to_json(F.struct(F.array(F.struct(*[c for c in sent.columns])).alias("sensorMessages")))
+    sent.select(F.when(kind == "error", F.left(line, F.length(line) - 2)).otherwise(line).alias("value")).write.text(landed)
+    _ingest(spark, landed, root, checkpoint).awaitTermination()
+    unreadable, rejected = (
+        spark.read.schema("reject_reason string").json(f"{root}/rejects/{name}").select("reject_reason")
+        for name in ("unreadable", "rejected"))
+    lost = unreadable.unionAll(rejected)
+    stored = read_table(spark, root, indoor.TABLES["indoor_readings"]).select("dataMessageGUID").distinct()
+    return lost.groupBy("reject_reason").agg(F.count("*").alias("records")).unionByName(
+        stored.agg(F.count("*").alias("records")).withColumn("reject_reason", F.lit("accepted")))
+
+
+@query("stream_polled", "SELECT count(*) AS messages FROM events")
+def stream_polled(spark, sf_dir):
+    """The feed polled on a timer, stopped after its first batch."""
+    landed, root, checkpoint = (shared_folder(spark, name) for name in ("landing", "tables", "checkpoint"))
+    _land(messages(spark, sf_dir), landed)
+    running = _ingest(spark, landed, root, checkpoint, period="15 minutes")
+    running.processAllAvailable()
+    running.stop()
+    stored = read_table(spark, root, indoor.TABLES["indoor_readings"])
+    return stored.agg(F.countDistinct("dataMessageGUID").alias("messages"))

@@ -175,7 +175,7 @@ _TABLE_SQL = {
 
 def stored(frames: dict[str, DataFrame], name: str) -> DataFrame:
     spec = uplink.TABLES[name]
-    rows = dimension_rows(frames[name], spec) if spec.is_dimension else frames[name]
+    rows = dimension_rows(frames[name], spec) if spec.is_dimension else frames[name].select(*spec.schema.names)
     times = [field.name for field in rows.schema if field.dataType.typeName() == "timestamp"]
     return rows.withColumns({column: F.col(column).cast("timestamp_ntz") for column in times})
 

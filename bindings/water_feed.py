@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, functions as F
 
 from bindings.registry import guid, landed, query, table
 from sensorloom.functions.keys import surrogate_key
-from sensorloom.plans import reports, water
+from sensorloom.plans import water
 from sensorloom.sources.documents import read_documents, readable
 from sensorloom.sources.schemas import WATER_POLL
 from sensorloom.sources.tables import dimension_rows
@@ -120,7 +118,7 @@ _TABLE_SQL = {
 
 def stored(frames: dict[str, DataFrame], name: str) -> DataFrame:
     spec = water.TABLES[name]
-    rows = dimension_rows(frames[name], spec) if spec.is_dimension else frames[name]
+    rows = dimension_rows(frames[name], spec) if spec.is_dimension else frames[name].select(*spec.schema.names)
     times = [field.name for field in rows.schema if field.dataType.typeName() == "timestamp"]
     return rows.withColumns({column: F.col(column).cast("timestamp_ntz") for column in times})
 
@@ -135,22 +133,6 @@ for _name in _TABLE_SQL:
     _register(_name)
 
 
-@query("water_report", f"""
-WITH {WATER_SQL}, updates AS ({_TABLE_SQL['water_updates']})
-SELECT name AS "sensorName", 'unit ' || u AS "unitName", units AS "mUnitName", cast(u AS varchar) AS "readingValue",
-       "lastUpdate"
-FROM analogs JOIN updates ON updates."readingGUID" = analogs."readingGUID"
-WHERE name = 'flow' AND "lastUpdate" > TIMESTAMP '1996-01-01' AND "lastUpdate" < TIMESTAMP '2000-01-01'
-ORDER BY "lastUpdate" DESC
-""")
-def water_report(spark, sf_dir):
-    frames = water.build(polls(spark, sf_dir))
-    rows = reports.water_report(
-        {name: stored(frames, name) for name in frames}, sensor="flow",
-        start=dt.datetime(1996, 1, 1), end=dt.datetime(2000, 1, 1))
-    return rows
-
-
 # History: events as wide rows of three channels; orders say which sensors a unit's channels have.
 _HISTORY_SQL = f"""
   wide AS (SELECT event_id AS "ID", user_id AS "INTERFACE_ID", ts AS "DATETIME", event_id AS "AI1", user_id AS "AI2",
@@ -163,7 +145,8 @@ _HISTORY_SQL = f"""
   catalogue AS (SELECT DISTINCT {guid('water_sensors', 'o_orderstatus')} AS "sensorGUID",
                        {guid('water_units', 'o_custkey')} AS "unitGUID",
                        cast(left(o_orderpriority, 1) AS bigint) AS "analogID",
-                       {guid('water_measure_units', "'l'")} AS "mUnitGUID", 'sensor ' || o_orderstatus AS "sensorName"
+                       {guid('water_measure_units', 'o_orderstatus')} AS "mUnitGUID",
+                       'sensor ' || o_orderstatus AS "sensorName"
                 FROM orders)
 """
 
@@ -183,7 +166,7 @@ def _history(spark, sf_dir):
         surrogate_key("water_sensors", "o_orderstatus").alias("sensorGUID"),
         surrogate_key("water_units", "o_custkey").alias("unitGUID"),
         F.left("o_orderpriority", F.lit(1)).cast("bigint").alias("analogID"),
-        surrogate_key("water_measure_units", F.lit("l")).alias("mUnitGUID"))
+        surrogate_key("water_measure_units", "o_orderstatus").alias("mUnitGUID"))
     sensors = orders.select(
         surrogate_key("water_sensors", "o_orderstatus").alias("sensorGUID"),
         F.concat(F.lit("sensor "), "o_orderstatus").alias("sensorName"))
@@ -192,27 +175,30 @@ def _history(spark, sf_dir):
 
 @query("history_rekey", f"""
 WITH {_HISTORY_SQL}
-SELECT "ID", "DATETIME", long."analogID", "readingValue", "unitName", "sensorName", 'l' AS "mUnitName",
-       units."unitGUID", "sensorGUID", "mUnitGUID"
+SELECT "ID", "DATETIME", long."analogID", "readingValue", "unitName", "sensorName",
+       replace("sensorName", 'sensor', 'unit') AS "mUnitName", units."unitGUID", "sensorGUID", "mUnitGUID"
 FROM long JOIN units ON long."unitID" = units."unitID"
      JOIN catalogue ON catalogue."unitGUID" = units."unitGUID" AND catalogue."analogID" = long."analogID"
 """)
 def history_rekey(spark, sf_dir):
     long, units, catalogue = _history(spark, sf_dir)
     names = table(spark, sf_dir, "orders").select(
-        surrogate_key("water_measure_units", F.lit("l")).alias("mUnitGUID"), F.lit("l").alias("mUnitName"))
+        surrogate_key("water_measure_units", "o_orderstatus").alias("mUnitGUID"),
+        F.concat(F.lit("unit "), "o_orderstatus").alias("mUnitName"))
     return water.rekey_history(long, units, catalogue, names).select(
         "ID", "DATETIME", "analogID", "readingValue", "unitName", "sensorName", "mUnitName", "unitGUID", "sensorGUID",
         "mUnitGUID")
 
 
-_LOADED_SQL = f"""
+_LOADED_SQL = """
   loaded AS (
     SELECT "ID", "unitID", "DATETIME", long."analogID", "readingValue", units."unitGUID", s."sensorGUID",
-           CASE WHEN s."sensorGUID" IS NOT NULL THEN {guid('water_measure_units', "'l'")} END AS "mUnitGUID"
+           m."mUnitGUID"
     FROM long JOIN units USING ("unitID")
     LEFT JOIN (SELECT "unitGUID", "analogID", min("sensorGUID") AS "sensorGUID" FROM catalogue GROUP BY 1, 2) s
-      ON s."unitGUID" = units."unitGUID" AND s."analogID" = long."analogID")
+      ON s."unitGUID" = units."unitGUID" AND s."analogID" = long."analogID"
+    LEFT JOIN (SELECT "unitGUID", "sensorGUID", min("mUnitGUID") AS "mUnitGUID" FROM catalogue GROUP BY 1, 2) m
+      ON m."unitGUID" = units."unitGUID" AND m."sensorGUID" = s."sensorGUID")
 """
 
 

@@ -10,14 +10,30 @@ DAY_SECONDS = 86_400
 
 
 def epoch_wrapper_to_timestamp(column: Column) -> Column:
-    """``/Date(1604188800123)/`` -> timestamp, cut to whole seconds."""
-    digits = F.substring(F.regexp_extract(column, r"\((.*?)\)", 1), 1, 10)
-    return F.timestamp_seconds(digits.try_cast("bigint"))
+    """``/Date(1604188800123)/`` -> timestamp, cut to whole seconds; a zone offset after the number is no part of it."""
+    millis = F.regexp_extract(column, r"\(\s*(-?\d+)", 1)
+    return F.date_trunc("second", F.timestamp_millis(millis.try_cast("bigint")))
+
+
+# Spellings of a date, after its separators have become slashes, with the digits that tell them apart.
+DAY_FIRST = ((r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"), (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{1,2}/\d{1,2}/\d{2}$", "d/M/yy"))
 
 
 def lenient_day_first(date: Column, time: Column) -> Column:
-    """Day-first date and time texts -> timestamp; anything unreadable -> NULL."""
-    return F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit("d/M/yyyy H:mm:ss"))
+    """Date and time texts -> timestamp; anything unreadable -> NULL.
+
+    Dates have their day first, or their year if it has four digits; parts are separated by slashes,
+    hyphens or dots.  The time may lack its seconds, or all of it, and may have a fraction.
+    """
+    day = F.regexp_replace(F.trim(date), r"[-./]", "/")
+    clock = F.coalesce(F.nullif(F.trim(time), F.lit("")), F.lit("0:00:00"))
+    whole = F.when(clock.rlike(r"^\d{1,2}:\d{2}$"), F.concat(clock, F.lit(":00"))).otherwise(
+        F.regexp_replace(clock, r"\.\d*$", ""))
+    fraction = F.rpad(F.left(F.regexp_extract(clock, r"\.(\d+)$", 1), F.lit(6)), 6, "0").try_cast("bigint")
+    parsed = F.coalesce(*[
+        F.when(day.rlike(form), F.try_to_timestamp(F.concat_ws(" ", day, whole), F.lit(f"{pattern} H:mm:ss")))
+        for form, pattern in DAY_FIRST])
+    return F.timestamp_micros(F.unix_micros(parsed) + F.coalesce(fraction, F.lit(0)))
 
 
 def iso_timestamp(column: Column) -> Column:
@@ -45,10 +61,7 @@ def day_text(column: Column, pattern: str = "yyyy/MM/dd") -> Column:
 
 def seconds_of(period: str | int) -> int:
     """``'10min'``, ``'60 minutes'`` or a number of seconds -> seconds."""
-    if isinstance(period, int):
-        seconds = period
-    else:
-        seconds = int(pd.Timedelta(period).total_seconds())
-    if seconds <= 0:
-        raise ValueError(f"period must be at least one second: {period!r}")
-    return seconds
+    exact = period if isinstance(period, int) else pd.Timedelta(period).total_seconds()
+    if exact < 1 or exact != int(exact):
+        raise ValueError(f"period must be whole seconds: {period!r}")
+    return int(exact)

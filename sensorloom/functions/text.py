@@ -69,5 +69,9 @@ def text_or_none_word(column: Column) -> Column:
 
 
 def truthy(column: Column) -> Column:
-    """Boolean from JSON text: empty, zero and false words are false, NULL stays NULL."""
+    """Boolean from JSON text: empty, zero and false words are false, NULL stays NULL.
+
+    JSON ``false`` and the text ``"false"`` cannot be told apart once read as text, and both are taken as
+    false: a sender that quotes its flags means them.
+    """
     return ~F.lower(F.trim(column)).isin("false", "0", "", "none", "null")

@@ -60,6 +60,12 @@ def flag_words_to_boolean(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, flag)
 
 
+def flag_word_unknown(column: str) -> Column:
+    """True for words that are no flag, which would become NULL."""
+    words = F.col(column).cast("string")
+    return words.isNotNull() & ~words.isin("True", "False") & words.try_cast("boolean").isNull()
+
+
 def trim_suffix_by_prefix(
     df: DataFrame, prefixes: Sequence[str], name: str = "sensorName", value: str = "rawData", count: int = 4
 ) -> DataFrame:

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 def drop_identical(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """For rows with deterministic ids, where copies are equal in every column.
 
-    ``keys`` are columns that already tell rows apart; without them all columns are compared.  Each
-    task drops its own copies before the shuffle.  Copies are few among many rows, so this is
-    planned as a sort with a rank limit, which is faster here than a hash table of all rows.
+    ``keys`` are columns that already tell rows apart; of rows that differ elsewhere all the same, the
+    smallest stays.  Each task drops its own copies before the shuffle.  Without keys all columns are
+    compared, which is a plain distinct.
     """
-    chosen = list(keys or df.columns)
-    return keep_one_per_key(df, chosen, chosen[:1])
+    if not keys or set(keys) == set(df.columns):
+        return df.distinct()
+    return keep_one_per_key(df, keys, [name for name in df.columns if name not in keys])
 
 
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str]) -> DataFrame:

@@ -25,8 +25,10 @@ def drop_null_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def between_exclusive(df: DataFrame, column: str, start: Any, end: Any) -> DataFrame:
-    """Both ends excluded.  The bounds are literals, so the range reaches the scan."""
-    return df.filter((F.col(column) > F.lit(start)) & (F.col(column) < F.lit(end)))
+    """Both ends excluded; an end left as None is open.  The bounds are literals, so the range reaches the scan."""
+    if start is not None:
+        df = df.filter(F.col(column) > F.lit(start))
+    return df if end is None else df.filter(F.col(column) < F.lit(end))
 
 
 def matching(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:

@@ -68,7 +68,10 @@ def _exists(df: DataFrame, registry: DataFrame, on: str, registry_key: str | Non
 
 
 def with_parent_timestamp(parents: DataFrame, updates: DataFrame, parent_key: str, timestamp: str) -> DataFrame:
-    """Join parents with the rows of a many-parent timestamp table that belong to this kind of parent."""
+    """Join parents with the rows of a many-parent timestamp table that belong to this kind of parent.
+
+    Every row of the timestamp table counts; the load stores repeated ones once.
+    """
     own = updates.filter(F.col(parent_key).isNotNull()).select(parent_key, timestamp)
     return parents.join(own, parent_key, "inner")
 
@@ -83,18 +86,46 @@ def longest_literal(pattern: Column) -> Column:
 def like_lookup(patterns: DataFrame, names: DataFrame, pattern: str, name: str) -> DataFrame:
     """For each distinct LIKE pattern the smallest name that it matches: (pattern, name).
 
-    Both sides are reduced to their distinct texts.  A pattern can only match names that contain
-    its longest literal piece, so the join is an equality: every name offers its substrings of the
-    lengths that occur among the pieces, and LIKE only checks names that share the piece.  Patterns
-    of wildcards alone depend on the length of a name, so the smallest name per length decides.
+    Both sides are reduced to their distinct texts, and patterns are told apart by their form.  One literal
+    with or without ``%`` around it is an equality with whole names, beginnings, ends or
+    substrings, of which the smallest name is found first: as many rows as there are names, however
+    many patterns share a literal.  Patterns of wildcards alone depend on the length of a name.
+    Only patterns with wildcards inside are checked by LIKE, against the names that have their
+    longest literal piece.
     """
-    asked = (
-        patterns.select(pattern).distinct().filter(F.col(pattern).isNotNull())
-        .withColumn("_piece", longest_literal(F.col(pattern)))
-    )
+    asked = patterns.select(pattern).distinct().filter(F.col(pattern).isNotNull()).withColumn(
+        "_piece", longest_literal(F.col(pattern)))
+    piece = F.col("_piece")
+    begins, ends = F.concat(piece, F.lit("%")), F.concat(F.lit("%"), piece)
+    form = (
+        F.when(piece == "", "length").when(F.col(pattern) == piece, "whole").when(F.col(pattern) == begins, "start")
+        .when(F.col(pattern) == ends, "end").when(F.col(pattern) == F.concat(ends, F.lit("%")), "inside").otherwise("other"))
+    asked = asked.withColumn("_form", form)
     offered = names.select(name).distinct().filter(F.col(name).isNotNull())
-    with_literal = _like_by_piece(asked.filter("_piece <> ''"), offered, pattern, name)
-    return with_literal.unionByName(_like_by_length(asked.filter("_piece = ''"), offered, pattern, name))
+    simple = asked.filter("_form IN ('whole', 'start', 'end', 'inside')")
+    smallest = _pieces(simple, offered, name).groupBy("_form", "_piece").agg(F.min(name).alias(name))
+    found = simple.hint("merge").join(smallest, ["_form", "_piece"]).select(pattern, name)
+    general = _like_by_piece(asked.filter("_form = 'other'"), offered, pattern, name)
+    lengths = _like_by_length(asked.filter("_form = 'length'"), offered, pattern, name)
+    return found.unionByName(general).unionByName(lengths)
+
+
+def _pieces(asked: DataFrame, offered: DataFrame, name: str) -> DataFrame:
+    """What each name offers to patterns of one literal, in the lengths that are asked for."""
+    def offers(form: str, pieces: Column) -> DataFrame:
+        # The lengths of the pieces of one form are one value of the query.
+        sizes = asked.filter(F.col("_form") == form).agg(F.collect_set(F.length("_piece")).alias("_sizes"))
+        fitting = F.array_intersect(F.sequence(F.lit(1), F.length(name)), sizes.scalar())
+        sized = offered.filter(F.length(name) > 0).withColumn("_fitting", fitting)
+        return sized.select(name, F.lit(form).alias("_form"), F.explode(pieces).alias("_piece"))
+
+    inside = F.array_distinct(F.flatten(F.transform("_fitting", lambda size: F.transform(
+        F.sequence(F.lit(1), F.length(name) - size + 1), lambda start: F.substring(F.col(name), start, size)))))
+    return (
+        offered.select(name, F.lit("whole").alias("_form"), F.col(name).alias("_piece"))
+        .unionAll(offers("start", F.transform("_fitting", lambda size: F.left(F.col(name), size))))
+        .unionAll(offers("end", F.transform("_fitting", lambda size: F.right(F.col(name), size))))
+        .unionAll(offers("inside", inside)))
 
 
 def _like_by_piece(asked: DataFrame, offered: DataFrame, pattern: str, name: str) -> DataFrame:

@@ -11,8 +11,8 @@ from sensorloom.functions.keys import micros_key, surrogate_key
 from sensorloom.functions.temporal import epoch_wrapper_to_timestamp
 from sensorloom.functions.text import literal_alternation
 from sensorloom.operators.clean import (
-    align_particulate, cast_columns, cast_failures, flag_words_to_boolean, particulate_too_short, rename_columns,
-    split_rejects, trim_suffix_by_prefix, with_reject_reason,
+    align_particulate, cast_columns, cast_failures, flag_word_unknown, flag_words_to_boolean, particulate_too_short,
+    rename_columns, split_rejects, trim_suffix_by_prefix, with_reject_reason,
 )
 from sensorloom.operators.conform import child_rows
 from sensorloom.operators.filters import drop_null_keys
@@ -26,7 +26,7 @@ _READING_REF = ((("readingID", "dataMessageGUID"), "indoor_readings", ("readingI
 def _status(name: str, column: str) -> Table:
     return Table(
         name, f"readingID string, dataMessageGUID string, {column}",
-        required=("readingID", "dataMessageGUID"), references=_READING_REF)
+        required=("readingID", "dataMessageGUID"), references=_READING_REF, day_of="messageDate")
 
 
 TABLES = {table.name: table for table in (
@@ -125,12 +125,12 @@ def prepare(messages: DataFrame, settings: IndoorSettings = IndoorSettings()) ->
     if settings.sensor_types:
         dated = trim_suffix_by_prefix(dated, settings.sensor_types)
     numbers = {name: kind for name, kind in NUMBERS.items() if name in dated.columns}
-    keys = {name: kind for name, kind in numbers.items() if name in ("networkID", "applicationID")}
+    flags = {"pendingChange is no flag": flag_word_unknown("pendingChange")} if "pendingChange" in dated.columns else {}
     judged = with_reject_reason(dated, {
         "no message id": F.col("dataMessageGUID").isNull(),
         "unreadable message date": F.col("messageDate").isNull(),
         "too few particulate values": particulate_too_short(),
-        **cast_failures(dated, keys),
+        **cast_failures(dated, numbers), **flags,
     })
     accepted, rejected = split_rejects(judged)
     typed = cast_columns(accepted, numbers, lenient=True)
@@ -157,21 +157,21 @@ def with_keys(rows: DataFrame) -> DataFrame:
 
 
 def tables(rows: DataFrame) -> dict[str, DataFrame]:
-    """The rows of :func:`prepare` as rows of the stored tables."""
+    """The rows of :func:`prepare` as rows of the stored tables; children carry the day of their reading."""
     seen = rows.withColumns({"_seen_at": F.col("messageDate"), "_seen_id": F.col("dataMessageGUID")})
     frames = {
-        "indoor_networks": rows.select("networkID", F.lit(None).cast("string").alias("networkName")),
-        "indoor_applications": rows.select("applicationID", F.lit(None).cast("string").alias("applicationName")),
+        "indoor_networks": rows.select("networkID"),
+        "indoor_applications": rows.select("applicationID"),
         "indoor_sensors": seen.select("sensorName", "applicationID", "networkID", "_seen_at", "_seen_id"),
         "indoor_data_types": rows.select("dataType"),
         "indoor_plot_labels": rows.select("plotLabel"),
         "indoor_readings": rows.select(*TABLES["indoor_readings"].schema.names),
-        "indoor_signal_status": child_rows(rows, "readingID", "dataMessageGUID", "signalStrength"),
-        "indoor_battery_status": child_rows(rows, "readingID", "dataMessageGUID", "batteryLevel"),
-        "indoor_sensor_voltage": child_rows(rows, "readingID", "dataMessageGUID", "voltage"),
+        "indoor_signal_status": child_rows(rows, "readingID", "dataMessageGUID", "messageDate", "signalStrength"),
+        "indoor_battery_status": child_rows(rows, "readingID", "dataMessageGUID", "messageDate", "batteryLevel"),
+        "indoor_sensor_voltage": child_rows(rows, "readingID", "dataMessageGUID", "messageDate", "voltage"),
     }
     if "pendingChange" in rows.columns:
-        frames["indoor_pending_changes"] = child_rows(rows, "readingID", "dataMessageGUID", "pendingChange")
+        frames["indoor_pending_changes"] = child_rows(rows, "readingID", "dataMessageGUID", "messageDate", "pendingChange")
     return frames
 
 

@@ -16,13 +16,15 @@ def load_batch(
 ) -> DataFrame:
     """Load documents into the feed's tables and return the rejected ones.
 
-    The accepted and rejected documents are first written to ``staging`` as Parquet.  Each table is
-    then cut from the columns it needs, the source is parsed once, and a lost executor costs a
-    re-read instead of a re-parse.  Repeating a batch replaces its rows.
+    The source is parsed once: the documents are first written to ``staging`` as Parquet, and accepted and
+    rejected ones, and each table from the columns it needs, are cut from there.  A lost executor costs a
+    re-read instead of a re-parse.  Repeating a batch replaces its rows; facts that another batch
+    has stored are not stored again.
     """
     spark = documents.sparkSession
-    accepted, rejected = prepare(documents)
-    accepted.write.mode("overwrite").parquet(f"{staging}/{batch}/accepted")
-    rejected.write.mode("overwrite").parquet(f"{staging}/{batch}/rejected")
-    load_tables(build(spark.read.parquet(f"{staging}/{batch}/accepted")), tables, root, batch)
-    return spark.read.parquet(f"{staging}/{batch}/rejected")
+    folder = f"{staging}/{batch}"
+    documents.write.mode("overwrite").parquet(f"{folder}/documents")
+    accepted, rejected = prepare(spark.read.schema(documents.schema).parquet(f"{folder}/documents"))
+    accepted.write.mode("overwrite").parquet(f"{folder}/accepted")
+    load_tables(build(spark.read.schema(accepted.schema).parquet(f"{folder}/accepted")), tables, root, batch)
+    return rejected

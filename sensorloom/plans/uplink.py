@@ -60,7 +60,7 @@ TABLES = {table.name: table for table in (
           "rssi int, channel_rssi int, snr double, message_id string, forwarder_net_id int, "
           "forwarder_tenant_id string, forwarder_cluster_id string, home_network_net_id int, "
           "home_network_tenant_id string, home_network_cluster_id string",
-          primary_key=("rx_guid",), required=("rx_guid", "uplink_guid"),
+          primary_key=("rx_guid",), day_of="rx_received_at", required=("rx_guid", "uplink_guid"),
           max_length={"message_id": 30, "forwarder_tenant_id": 8, "forwarder_cluster_id": 15,
                       "home_network_tenant_id": 8, "home_network_cluster_id": 12},
           references=(_ref("gateway_guid", "uplink_gateways"), _ref("uplink_guid", "uplink_uplinks"))),
@@ -80,7 +80,7 @@ TABLES = {table.name: table for table in (
           required=("rx_guid", "uplink_token"),
           references=(_ref("rx_guid", "uplink_rx"), _ref("gateway_guid", "uplink_gateways"))),
     Table("uplink_readings", "uplink_guid string, sensor_guid string, sensor_value string",
-          required=("uplink_guid", "sensor_guid"),
+          required=("uplink_guid", "sensor_guid"), day_of="uplink_received_at",
           references=(_ref("uplink_guid", "uplink_uplinks"), _ref("sensor_guid", "uplink_sensors"))),
     Table("uplink_settings",
           "uplink_setting_guid string, uplink_guid string, bandwidth int, spreading_factor int, "
@@ -217,7 +217,7 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
     nothing = F.lit(None).cast("string")
     place = rx.getField("location")
     lora = F.col("settings.data_rate.lora")
-    readings = uplinks.select("uplink_guid", F.inline("readings")).withColumnsRenamed(
+    readings = uplinks.select("uplink_guid", "uplink_received_at", F.inline("readings")).withColumnsRenamed(
         {"name": "sensor_name", "value": "sensor_value"})
     return {
         "uplink_applications": uplinks.select("application_name"),
@@ -228,12 +228,9 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
         "uplink_gateways": every.filter("gateway_guid IS NOT NULL").select(
             rx.getField("gateway_ids").getField("gateway_id").alias("gateway_name"),
             _location_guid(rx).alias("location_guid"), *seen),
-        "uplink_sensors": readings.select(
-            "sensor_name", nothing.alias("sensor_type"), nothing.alias("sensor_location"),
-            nothing.alias("measurement_unit")),
+        "uplink_sensors": readings.select("sensor_name"),
         "uplink_devices": uplinks.select(
-            "device_name", "application_guid", nothing.alias("device_location"), "dev_eui", "join_eui", "dev_addr",
-            *seen),
+            "device_name", "application_guid", "dev_eui", "join_eui", "dev_addr", *seen),
         "uplink_uplinks": uplinks.select(*TABLES["uplink_uplinks"].schema.names),
         "uplink_rx": stored.select(
             "rx_guid", "gateway_guid", "uplink_guid",
@@ -241,7 +238,7 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
             _number(rx, "timestamp", "bigint").alias("rx_timestamp"), _number(rx, "rssi", "int").alias("rssi"),
             _number(rx, "channel_rssi", "int").alias("channel_rssi"), _number(rx, "snr").alias("snr"),
             F.coalesce(rx.getField("message_id"), hop.getField("message_id")).alias("message_id"),
-            *[_forwarding(rx, name) for name in FORWARDING]),
+            *[_forwarding(rx, name) for name in FORWARDING], "rx_received_at"),
         "uplink_hops": hops.select(
             "hop_guid", "rx_guid", hop.getField("sender_address").alias("sender_address"),
             hop.getField("receiver_name").alias("receiver_name"),
@@ -262,7 +259,8 @@ def tables(documents: DataFrame, rx_mode: str = "all") -> dict[str, DataFrame]:
         "uplink_tokens": stored.filter(rx.getField("uplink_token").isNotNull()).select(
             "rx_guid", "gateway_guid", rx.getField("uplink_token").alias("uplink_token")),
         "uplink_readings": readings.select(
-            "uplink_guid", surrogate_key("uplink_sensors", "sensor_name").alias("sensor_guid"), "sensor_value"),
+            "uplink_guid", surrogate_key("uplink_sensors", "sensor_name").alias("sensor_guid"), "sensor_value",
+            "uplink_received_at"),
         "uplink_settings": uplinks.filter(F.col("settings").isNotNull()).select(
             surrogate_key("uplink_settings", "uplink_guid").alias("uplink_setting_guid"), "uplink_guid",
             _number(lora, "bandwidth", "int").alias("bandwidth"),

@@ -51,7 +51,7 @@ TABLES = {table.name: table for table in (
     Table("water_requests",
           "requestGUID string, unitGUID string, modeGUID string, success boolean, requestMessage string, "
           "requestNow timestamp, requestName string, tz string, updateCycle int",
-          primary_key=("requestGUID",), day_of="requestNow",
+          primary_key=("requestGUID",), day_of="requestNow", period="month",
           required=("requestGUID", "unitGUID", "modeGUID", "success", "requestMessage", "requestNow",
                     "requestName", "tz", "updateCycle"),
           max_length={"requestMessage": 35, "requestName": 50, "tz": 25},
@@ -69,13 +69,13 @@ TABLES = {table.name: table for table in (
     Table("water_readings",
           "readingGUID string, unitGUID string, mUnitGUID string, sensorGUID string, analogID int, "
           "readingValue string, recharge int, cyclePulses double, readingStart double, readingStop double, dp int",
-          primary_key=("readingGUID",), required=("readingGUID", "unitGUID", "analogID"),
+          primary_key=("readingGUID",), day_of="updated", period="month", required=("readingGUID", "unitGUID", "analogID"),
           max_length={"readingValue": 10},
           references=(_ref("unitGUID", "water_units"), _ref("mUnitGUID", "water_measure_units"),
                       _ref("sensorGUID", "water_sensors"))),
     Table("water_updates",
           "requestGUID string, alarmGUID string, readingGUID string, outputGUID string, lastUpdate timestamp",
-          required=("lastUpdate",), day_of="lastUpdate",
+          required=("lastUpdate",), day_of="lastUpdate", period="month",
           one_parent_of=("requestGUID", "alarmGUID", "readingGUID", "outputGUID"),
           references=(_ref("requestGUID", "water_requests"), _ref("alarmGUID", "water_alarms"),
                       _ref("readingGUID", "water_readings"), _ref("outputGUID", "water_outputs"))),
@@ -127,7 +127,7 @@ def tables(polls: DataFrame, use_unit_zone: bool = False) -> dict[str, DataFrame
 
     def children(array: str, id_column: str, table: str) -> DataFrame:
         return requests.select(
-            "unitGUID", "requestGUID", "tz", F.col("block.last_update").alias("_block_update"),
+            "unitGUID", "requestGUID", "tz", "requestNow", F.col("block.last_update").alias("_block_update"),
             F.posexplode(f"block.{array}").alias("pos", "item"),
         ).withColumn(id_column, surrogate_key(table, "requestGUID", "pos"))
 
@@ -148,7 +148,7 @@ def tables(polls: DataFrame, use_unit_zone: bool = False) -> dict[str, DataFrame
         "mUnitGUID": surrogate_key("water_measure_units", "item.pulse_units")})
 
     def code(rows: DataFrame, column: Column, stem: str) -> DataFrame:
-        return rows.select(column.alias(f"{stem}ID"), F.lit(None).cast("string").alias(f"{stem}Name"))
+        return rows.select(column.alias(f"{stem}ID"))
 
     return {
         "water_units": requests.select("unitID", "unitName", F.col("requestNow").alias("_seen_at"),
@@ -166,7 +166,9 @@ def tables(polls: DataFrame, use_unit_zone: bool = False) -> dict[str, DataFrame
             "readingGUID", "unitGUID", "mUnitGUID", "sensorGUID", number("aid", "int").alias("analogID"),
             item.getField("value").alias("readingValue"), number("recharge", "int").alias("recharge"),
             number("cycle_pulses", "double").alias("cyclePulses"), number("start", "double").alias("readingStart"),
-            number("stop", "double").alias("readingStop"), number("dp", "int").alias("dp")),
+            number("stop", "double").alias("readingStop"), number("dp", "int").alias("dp"),
+            # Readings are kept by the time of their update, so that a range of updates finds them.
+            F.coalesce(plain_timestamp(F.col("_block_update"), zone), "requestNow").alias("updated")),
         "water_outputs": outputs.select(
             "outputGUID", "unitGUID", "modeGUID", "statusGUID", number("oid", "int").alias("outputID"),
             item.getField("name").alias("outputName"), item.getField("high_state").alias("highState"),
@@ -235,6 +237,6 @@ def load_history(long: DataFrame, units: DataFrame, catalogue: DataFrame) -> tup
         F.col("readingValue").cast("string").alias("readingValue"),
         *[F.lit(None).cast(kind).alias(name) for name, kind in (
             ("recharge", "int"), ("cyclePulses", "double"), ("readingStart", "double"),
-            ("readingStop", "double"), ("dp", "int"))])
+            ("readingStop", "double"), ("dp", "int"))], F.col("DATETIME").try_cast("timestamp").alias("updated"))
     updates = _updates(measured, "readingGUID", F.col("DATETIME").try_cast("timestamp"))
     return {"water_readings": readings, "water_updates": updates}, rejected

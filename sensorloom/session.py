@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Tables kept by day have many folders: they are listed by a bounded number of tasks.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -38,13 +42,20 @@ def build_session(app_name: str = "sensorloom", master: str | None = None, **ext
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder that every executor can reach.
 
-    Lies under ``spark.checkpoint.dir``.  A local session without that setting uses the
-    machine's temporary folder; a cluster session without it is refused.
+    Lies under ``spark.checkpoint.dir``.  A local session without that setting uses a temporary folder
+    that is removed when Python ends; a cluster session without it is refused.
     """
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = os.path.join(tempfile.gettempdir(), "sensorloom")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_scratch() -> str:
+    folder = tempfile.mkdtemp(prefix="sensorloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

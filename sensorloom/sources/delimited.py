@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sensorloom.functions.temporal import lenient_day_first
 from sensorloom.functions.text import remove_quotes
+from sensorloom.operators.clean import REJECT, split_rejects, with_reject_reason
 from sensorloom.operators.filters import drop_null_keys
 
 LOGGER_SEPARATOR = ";"
@@ -34,21 +35,45 @@ def _cell(name: str) -> Column:
     return F.get(F.col("cells"), (place - 1).cast("int"))
 
 
-def read_logger_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header cells, line cells) of semicolon files whose headers may differ per file.
-
-    The reader of Spark would take the header of one file for all.  Here each line is paired with
-    the header of its own file; the headers are one row per file.
-    """
-    lines = (
+def _logger_lines(spark: SparkSession, path: str) -> DataFrame:
+    return (
         spark.read.text(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("_line"))
         .filter(F.trim("_line") != "")
         .select("file", _cells("_line").alias("cells"))
     )
+
+
+def read_logger_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header cells, line cells) of semicolon files whose headers may differ per file.
+
+    The reader of Spark would take the header of one file for all.  Here each line is paired with
+    the header of its own file; the headers are one row per file.  Lines of files without a header, or
+    with different ones, are in :func:`read_logger_rejects`.
+    """
+    lines = _logger_lines(spark, path)
+    return _with_header(lines)[0]
+
+
+def _with_header(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines with the header of their file, and the lines of files without exactly one, with a reason."""
     is_header = F.array_contains("cells", DATE_COLUMN) & F.array_contains("cells", TIME_COLUMN)
-    headers = lines.filter(is_header).groupBy("file").agg(F.min("cells").alias("header"))
-    return lines.filter(~is_header).join(headers, "file")
+    headers = lines.filter(is_header).groupBy("file").agg(
+        F.min("cells").alias("header"), F.max("cells").alias("_other"))
+    rows = lines.filter(~is_header).join(headers, "file", "left")
+    return split_rejects(with_reject_reason(rows, {
+        "no header with date and time": F.col("header").isNull(),
+        "several headers in one file": F.col("header") != F.col("_other"),
+    }).drop("_other"))
+
+
+def read_logger_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, cells, reject_reason) of the lines that the other readers leave out."""
+    accepted, rejected = _with_header(_logger_lines(spark, path))
+    dated = accepted.withColumn("date_time", lenient_day_first(_cell(DATE_COLUMN), _cell(TIME_COLUMN)))
+    undated = split_rejects(with_reject_reason(dated, {"unreadable date": F.col("date_time").isNull()}))[1]
+    columns = ["file", "cells", REJECT]
+    return rejected.select(*columns).unionByName(undated.select(*columns))
 
 
 def read_logger_long(spark: SparkSession, path: str) -> DataFrame:

@@ -1,17 +1,29 @@
-"""Parquet tables: reading, appending facts, adding dimension rows."""
+"""Parquet tables: reading, appending facts, adding dimension rows, compaction and clean-up.
+
+A fact table has one folder per load, ``batch=...``, and inside it one per day where the table is kept by
+day.  A repeated load replaces its own folder as a whole, and a fact that another load has stored
+is not stored again.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.keys import surrogate_key
 from sensorloom.operators.conform import absent_from, first_per_key
+from sensorloom.operators.dedupe import drop_identical, keep_one_per_key
 from sensorloom.sources.schemas import schema_of
 
+# Days of one load that are named in the scan of what is stored; more are not worth a filter.
+MAX_NAMED_DAYS = 1000
+TABLES_AT_ONCE = 4
+
 SEEN = ("_seen_at", "_seen_id")  # order in which a dimension's rows arrived
 
 
@@ -20,7 +32,9 @@ class Table:
     """What the engine needs to know about a stored table.
 
     ``natural_key`` makes it a dimension.  ``generated_id`` is its computed id column, if its
-    natural key is not its id.  ``day_of`` is the timestamp that a fact table is partitioned by.
+    natural key is not its id.  ``day_of`` is the column, of the table or only of the frames that
+    are loaded, whose day a fact table is partitioned by; with ``period="month"`` a folder is named by
+    the first day of its month, for feeds with few rows a day.
     """
 
     name: str
@@ -33,6 +47,7 @@ class Table:
     references: tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...] = ()
     one_parent_of: tuple[str, ...] = ()
     day_of: str | None = None
+    period: str = "day"
 
     @property
     def schema(self) -> T.StructType:
@@ -42,6 +57,11 @@ class Table:
     def attributes(self) -> list[str]:
         return [name for name in self.schema.names if name not in self.natural_key and name != self.generated_id]
 
+    @property
+    def row_key(self) -> list[str]:
+        """Columns that tell facts apart: ids are computed, so equal rows are copies."""
+        return list(self.primary_key or self.schema.names)
+
     @property
     def is_dimension(self) -> bool:
         return bool(self.natural_key)
@@ -51,13 +71,18 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     """The table, or an empty frame while nothing has been written."""
     schema = table.schema
     if not table.is_dimension:
+        schema = schema.add("batch", T.StringType())
         if table.day_of:
             schema = schema.add("day", T.DateType())
-        schema = schema.add("batch", T.StringType())
     try:
         return spark.read.schema(schema).parquet(table_path(root, table.name))
     except AnalysisException as error:
@@ -67,17 +92,26 @@ def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
 
 
 def dimension_rows(batch: DataFrame, table: Table) -> DataFrame:
-    """The batch reduced to one row per natural key, with ids, in the table's column order."""
-    rows = first_per_key(batch, table.natural_key, table.attributes, [name for name in SEEN if name in batch.columns])
+    """The batch reduced to one row per natural key, with ids, in the table's column order.
+
+    Attributes that the batch has no column for are NULL; without any it is a plain distinct.
+    """
+    attributes = [name for name in table.attributes if name in batch.columns]
+    rows = first_per_key(batch, table.natural_key, attributes, [name for name in SEEN if name in batch.columns])
+    rows = rows.withColumns({
+        name: F.lit(None).cast(table.schema[name].dataType) for name in table.attributes if name not in attributes})
     if table.generated_id:
         rows = rows.withColumn(table.generated_id, surrogate_key(table.name, *table.natural_key))
     return rows.select(*table.schema.names)
 
 
 def add_dimension_rows(batch: DataFrame, root: str, table: Table) -> None:
-    """Append the rows whose natural key is new.  Repeating it adds nothing."""
+    """Append the rows whose natural key is new.  Repeating it adds nothing.
+
+    Known keys leave before the rows are reduced: on a running system these are almost all rows.
+    """
     existing = read_table(batch.sparkSession, root, table)
-    rows = absent_from(dimension_rows(batch, table), existing, table.natural_key).persist()
+    rows = dimension_rows(absent_from(batch, existing, table.natural_key), table).persist()
     try:
         if not rows.isEmpty():
             rows.hint("rebalance").write.mode("append").parquet(table_path(root, table.name))
@@ -85,30 +119,111 @@ def add_dimension_rows(batch: DataFrame, root: str, table: Table) -> None:
         rows.unpersist()
 
 
+def new_facts(rows: DataFrame, root: str, table: Table, batch: str) -> DataFrame:
+    """Rows of a load once each, without those that another load has stored.
+
+    A stored copy is looked for in the folder of the row's own day: what is delivered again has its day again.
+    """
+    once = drop_identical(rows, table.primary_key or None)
+    keys = list(table.row_key)
+    stored = read_table(rows.sparkSession, root, table).filter(F.col("batch") != batch)
+    if table.day_of:
+        keys.append("day")
+        days = [row["day"] for row in rows.select("day").distinct().limit(MAX_NAMED_DAYS + 1).collect()]
+        if len(days) <= MAX_NAMED_DAYS:
+            stored = stored.filter(F.col("day").isin(days) | F.lit(None in days) & F.col("day").isNull())
+    return absent_from(once, stored, keys)
+
+
 def write_facts(rows: DataFrame, root: str, table: Table, batch: str) -> None:
-    """Write the rows of one load.  Repeating a load replaces its own rows and no others.
+    """Write the rows of one load that are not stored yet.  Repeating a load replaces its own rows and no others.
 
     Rows of a table kept by day are spread by day before the write, with large days split, so tasks
     neither write into every day's folder nor wait for one huge day.  Other tables are written
-    without a shuffle.
+    without a shuffle of their own.
     """
-    out = rows.select(*table.schema.names)
+    names = table.schema.names
     if table.day_of:
-        out = out.withColumn("day", F.to_date(table.day_of))
-    partitions = ["day", "batch"] if table.day_of else ["batch"]
-    out = out.withColumn("batch", F.lit(batch))
+        rows = rows.withColumn("day", F.to_date(F.date_trunc(table.period, table.day_of)))
+        names = [*names, "day"]
+    out = new_facts(rows.select(*names), root, table, batch)
+    folder = f"{table_path(root, table.name)}/batch={batch}"
     if table.day_of:
-        out = out.hint("rebalance", "day")
-    (
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions).parquet(table_path(root, table.name))
-    )
+        out.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(folder)
+    else:
+        out.write.mode("overwrite").parquet(folder)
+
+
+def _in_thread(function: Callable[[str], None], frame: DataFrame) -> Callable[[str], None]:
+    """The function for another thread, which gets the job properties of this one."""
+    return inheritable_thread_target(frame.sparkSession)(function)
 
 
 def load_tables(frames: Mapping[str, DataFrame], tables: Mapping[str, Table], root: str, batch: str) -> None:
-    """Write one load of a feed: dimensions first, then facts."""
-    for name in sorted(frames, key=lambda item: not tables[item].is_dimension):
+    """Write one load of a feed: dimensions first, then facts, a few tables at a time."""
+    def write(name: str) -> None:
         if tables[name].is_dimension:
             add_dimension_rows(frames[name], root, tables[name])
         else:
             write_facts(frames[name], root, tables[name], batch)
+
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        for dimensions in (True, False):
+            names = [name for name in frames if tables[name].is_dimension == dimensions]
+            for done in [pool.submit(_in_thread(write, frames[name]), name) for name in names]:
+                done.result()
+
+
+def batches_of(spark: SparkSession, root: str, table: Table) -> list[str]:
+    """Names of the stored loads."""
+    return sorted(row["batch"] for row in read_table(spark, root, table).select("batch").distinct().collect())
+
+
+def _replace(rows: DataFrame, root: str, table: Table, batches: list[str], into: str, staging: str) -> None:
+    """Put the rows in the place of some loads, as one load."""
+    spark = rows.sparkSession
+    rows = rows.drop("batch")
+    by_day = rows.hint("rebalance", "day").write.partitionBy("day") if table.day_of else rows.write
+    by_day.mode("overwrite").parquet(staging)
+    path = table_path(root, table.name)
+    for batch in batches:
+        _delete(spark, f"{path}/batch={batch}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.rename(spark._jvm.org.apache.hadoop.fs.Path(staging), spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={into}"))
+
+
+def compact(spark: SparkSession, root: str, table: Table, into: str, staging: str) -> None:
+    """Put all stored loads of a fact table together as the load ``into``, a few files for each day.
+
+    For loads that are final: a later repeat of one adds what is missing and can take nothing away.
+    ``staging`` is a new folder on the same file system.  One writer per table is assumed.
+    """
+    batches = batches_of(spark, root, table)
+    _replace(read_table(spark, root, table), root, table, batches, into, staging)
+
+
+def remove_duplicates(
+    spark: SparkSession, root: str, table: Table, business_key: tuple[str, ...], tie_break: tuple[str, ...],
+    children: Mapping[str, tuple[Table, tuple[str, ...]]], into: str, staging: str,
+) -> None:
+    """Delete stored copies, rows with one business key, and what hangs below the deleted rows.
+
+    For tables with rows whose ids are not computed, as another system may have left them.  The first row by
+    ``tie_break`` stays.  ``children`` maps names to (table, columns that refer to ``tie_break``).  A table
+    without copies is left untouched.
+    """
+    stored = read_table(spark, root, table)
+    kept = keep_one_per_key(stored, business_key, [*tie_break, "batch"])
+    batches = batches_of(spark, root, table)
+    before, after = stored.count(), kept.count()
+    if before == after:
+        return
+    _replace(kept, root, table, batches, into, f"{staging}/{table.name}")
+    survivors = read_table(spark, root, table).select(*tie_break).distinct()
+    for name, (child, columns) in children.items():
+        rows = read_table(spark, root, child)
+        renamed = survivors.select(*[F.col(a).alias(b) for a, b in zip(tie_break, columns)])
+        kept = drop_identical(rows, child.row_key).join(renamed, list(columns), "left_semi").select(*rows.columns)
+        _replace(kept, root, child, batches_of(spark, root, child), into, f"{staging}/{name}")

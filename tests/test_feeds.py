@@ -276,8 +276,16 @@ def test_batch_load_twice_changes_nothing(spark, indoor_messages, tmp_path):
     load("one", indoor_messages)
     assert counts() == first
     load("two", indoor_messages)
-    second = counts()
-    assert second["indoor_readings"] == 2 * first["indoor_readings"]
-    assert second["indoor_sensors"] == first["indoor_sensors"]
-    readings = read_table(spark, root, indoor.TABLES["indoor_readings"]).drop("batch", "day")
-    assert readings.distinct().count() == readings.select("readingID").distinct().count()
+    assert counts() == first
+    readings = read_table(spark, root, indoor.TABLES["indoor_readings"])
+    assert readings.count() == readings.select("readingID").distinct().count()
+    assert {row["batch"] for row in readings.select("batch").distinct().collect()} == {"one"}
+
+
+def test_a_replay_with_fewer_days_leaves_nothing_stale(spark, indoor_messages, tmp_path):
+    root, staging = str(tmp_path / "tables"), str(tmp_path / "staging")
+    for messages in (indoor_messages, indoor_messages.filter("messageDate < '2021-03-30'")):
+        load_batch(messages, indoor.prepare, indoor.tables, indoor.TABLES, root, "one", staging)
+    for name in ("indoor_readings", "indoor_sensor_voltage"):
+        days = {str(row["day"]) for row in read_table(spark, root, indoor.TABLES[name]).select("day").distinct().collect()}
+        assert days == {"2021-03-29"}

@@ -5,10 +5,10 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 import __spark_entry__ as entry
+from bindings import ORACLES, QUERIES
 from comparing import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,7 @@ def outcomes(spark):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(ORACLES))

@@ -10,7 +10,7 @@ from sensorloom.sources.documents import read_documents, readable
 from sensorloom.sources.schemas import UPLINK_DOCUMENT, WATER_POLL
 from sensorloom.sources.tables import read_table
 from sensorloom.streaming.events import append_parquet, dedupe_stream, resample_stream
-from sensorloom.streaming.ingest import ingest, ingest_readable, trigger_options
+from sensorloom.streaming.ingest import ingest, trigger_options
 from test_feeds import CURRENT, FAR, NEAR, _block, _uplink
 
 
@@ -24,8 +24,8 @@ def test_uplink_stream_resumes_and_repeats_nothing(spark, tmp_path):
 
     def run():
         documents = read_documents(spark, str(landing), UPLINK_DOCUMENT, stream=True)
-        ingest_readable(documents, uplink.prepare, uplink.tables, uplink.TABLES, str(root), str(checkpoint),
-                        rejects=str(rejects)).awaitTermination()
+        ingest(documents, uplink.prepare, uplink.tables, uplink.TABLES, str(root), str(checkpoint),
+               rejects=str(rejects)).awaitTermination()
         return {name: read_table(spark, str(root), spec).count() for name, spec in uplink.TABLES.items()}
 
     _land(landing, "1.json", _uplink(CURRENT, [NEAR, FAR]), _uplink({}, [NEAR], f_cnt=3))
@@ -36,7 +36,8 @@ def test_uplink_stream_resumes_and_repeats_nothing(spark, tmp_path):
     second = run()
     assert second["uplink_uplinks"] == 2 and second["uplink_rx"] == 3
     assert second["uplink_gateways"] == 2 and second["uplink_devices"] == 1
-    assert spark.read.parquet(str(rejects)).count() == 1
+    assert spark.read.json(str(rejects / "rejected")).count() == 1
+    assert (rejects / "unreadable").is_dir()
 
 
 def test_a_repeated_micro_batch_replaces_its_rows(spark, tmp_path):

@@ -36,6 +36,9 @@ CORE, STEPS, MEDIAN, CUTOFF = 0.75, 3, 4.3515, 25.745
 #: The vector and the fixed scale of each statistic.
 SCALES = {"log_length": 0.1, "symbol_rate": 0.15, "upper_share": 0.1, "line_share": 0.15, "repeat_share": 0.15}
 
+#: Estimates of so many groups, of about 200 bytes each, are broadcast; more are joined by shuffles.
+MAX_BROADCAST_GROUPS = 10_000
+
 _GROUP = ["lang", "source"]
 _GRID, _FARTHEST = 256, 1 << 16
 
@@ -83,9 +86,9 @@ def base_failed() -> Column:
 
 def vectors(counted: DataFrame) -> DataFrame:
     """Adds the transformed statistics; documents that fail the base rules may hold nulls."""
-    share = lambda part, whole: F.sqrt(F.col(part) / F.col(whole))
+    share = lambda part, whole: F.sqrt(F.try_divide(F.col(part), F.col(whole)))
     return counted.withColumns({
-        "log_length": F.log(F.col("word_chars") / F.col("n_words")),
+        "log_length": F.log(F.try_divide(F.col("word_chars"), F.col("n_words"))),
         "symbol_rate": share("n_symbols", "n_words"),
         "upper_share": share("n_upper", "word_chars"),
         "line_share": share("n_dup_lines", "n_lines"),
@@ -106,20 +109,22 @@ def _quantile(df: DataFrame, keys: list[str], value: Column, share: float) -> Da
         ((F.min("cell") + 1) / _GRID).alias("quantile"))
 
 
-def _per_group(df: DataFrame, estimates: DataFrame) -> DataFrame:
+def _per_group(df: DataFrame, estimates: DataFrame, few: bool) -> DataFrame:
+    """Rows with what is known of their group; few groups are broadcast, others joined by shuffles."""
+    estimates = F.broadcast(estimates) if few else estimates
     same = [F.col(f"d.{name}").eqNullSafe(F.col(f"e.{name}")) for name in _GROUP]
     return df.alias("d").join(estimates.alias("e"), same, "left").drop(*[F.col(f"e.{name}") for name in _GROUP])
 
 
 def _start(fitting: DataFrame) -> DataFrame:
-    """Per group: the coordinate-wise medians and the fixed scales as covariance."""
+    """Per group: the coordinate-wise medians, and the fixed scales as covariance."""
     unpivoted = fitting.select(*_GROUP, F.explode(F.map_from_arrays(
         F.array(*map(F.lit, SCALES)), F.array(*map(F.col, SCALES)))).alias("name", "value"))
     medians = _quantile(unpivoted, [*_GROUP, "name"], F.col("value"), 0.5)
     return medians.groupBy(*_GROUP).agg(
         *[F.max(F.when(F.col("name") == name, F.col("quantile"))).alias(f"m_{name}") for name in SCALES],
-        *[F.lit(scale * scale if a == b else 0.0).alias(f"c_{a}_{b}")
-          for a, b in combinations_with_replacement(SCALES, 2) for scale in [SCALES[a]]])
+        *[F.lit(SCALES[a] ** 2 if a == b else 0.0).alias(f"c_{a}_{b}")
+          for a, b in combinations_with_replacement(SCALES, 2)])
 
 
 def _moments(core: DataFrame) -> DataFrame:
@@ -130,40 +135,59 @@ def _moments(core: DataFrame) -> DataFrame:
           for a, b in combinations_with_replacement(SCALES, 2)])
 
 
-def _distance(df: DataFrame) -> DataFrame:
-    """Adds ``distance``, the squared Mahalanobis distance, through the Cholesky factor of each group."""
-    names = list(SCALES)
+def _whitening(moments: DataFrame) -> DataFrame:
+    """Per group: the mean, and the inverse ``w`` of the Cholesky factor ``l`` of the covariance."""
+    names, width = list(SCALES), len(SCALES)
+    df = moments
+
+    def dot(left, right, places) -> Column:
+        return sum((F.col(left(k)) * F.col(right(k)) for k in places), F.lit(0.0))
+
     for j, b in enumerate(names):
-        inner = sum((F.col(f"l_{j}_{k}") ** 2 for k in range(j)), F.lit(0.0))
+        inner = dot(lambda k: f"l_{j}_{k}", lambda k: f"l_{j}_{k}", range(j))
         df = df.withColumn(f"l_{j}_{j}", F.sqrt(F.col(f"c_{b}_{b}") - inner))
-        if j + 1 < len(names):
-            df = df.withColumns({
-                f"l_{i}_{j}": (F.col(f"c_{b}_{names[i]}") - sum(
-                    (F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l_{j}_{j}")
-                for i in range(j + 1, len(names))})
-    for i, name in enumerate(names):
-        df = df.withColumn(f"z_{i}", (F.col(name) - F.col(f"m_{name}") - sum(
-            (F.col(f"l_{i}_{k}") * F.col(f"z_{k}") for k in range(i)), F.lit(0.0))) / F.col(f"l_{i}_{i}"))
-    return df.withColumn("distance", sum((F.col(f"z_{i}") ** 2 for i in range(len(names))), F.lit(0.0)))
+        below = {
+            f"l_{i}_{j}": (F.col(f"c_{b}_{names[i]}") - dot(
+                lambda k, i=i: f"l_{i}_{k}", lambda k: f"l_{j}_{k}", range(j))) / F.col(f"l_{j}_{j}")
+            for i in range(j + 1, width)}
+        df = df.withColumns(below) if below else df
+    for gap in range(width):
+        df = df.withColumns({
+            f"w_{j + gap}_{j}": (F.lit(1.0) if gap == 0 else -dot(
+                lambda k, i=j + gap: f"l_{i}_{k}", lambda k, j=j: f"w_{k}_{j}", range(j, j + gap)))
+            / F.col(f"l_{j + gap}_{j + gap}")
+            for j in range(width - gap)})
+    return df.select(
+        *_GROUP, *[f"m_{name}" for name in names], *[f"w_{i}_{j}" for i in range(width) for j in range(i + 1)])
+
+
+def _distance() -> Column:
+    """The squared Mahalanobis distance of a row that has its group's estimates."""
+    names = list(SCALES)
+    whitened = [
+        sum((F.col(f"w_{i}_{j}") * (F.col(names[j]) - F.col(f"m_{names[j]}")) for j in range(i + 1)), F.lit(0.0))
+        for i in range(len(names))]
+    return sum((value * value for value in whitened), F.lit(0.0))
 
 
 def outliers(measured: DataFrame, cutoff: float = CUTOFF, core: float = CORE, steps: int = STEPS) -> DataFrame:
     """Adds ``distance`` and ``outlier``, false where the base rules fail.  Reads ``measured`` several times."""
     columns = measured.columns
     fitting = measured.filter(~base_failed()).select(*_GROUP, *SCALES)
-    estimates = stored(_start(fitting), "mcd")
+    estimates = stored(_whitening(_start(fitting)), "mcd")
+    few = estimates.count() <= MAX_BROADCAST_GROUPS
+    # sqrt(distance) is what the grid is laid over: near points are told apart better.
+    away = F.sqrt(_distance())
     for _ in range(steps):
-        # sqrt(distance) is what the grid is laid over: near points are told apart better.
-        distances = _distance(_per_group(fitting, estimates)).select(
-            *_GROUP, *SCALES, F.sqrt("distance").alias("away"))
-        edge = _quantile(distances, _GROUP, F.col("away"), core)
-        nearest = _per_group(distances, edge).filter(F.col("away") < F.col("quantile"))
-        estimates = stored(_moments(nearest), "mcd")
-    distances = _distance(_per_group(fitting, estimates)).select(*_GROUP, F.sqrt("distance").alias("away"))
-    typical = _quantile(distances, _GROUP, F.col("away"), 0.5).withColumn(
-        "stretch", F.greatest(F.lit(1.0), F.col("quantile") ** 2 / MEDIAN)).drop("quantile")
-    judged = _per_group(_distance(_per_group(measured, estimates)), typical)
-    distance = F.when(~base_failed(), F.col("distance") / F.col("stretch"))
+        distances = _per_group(fitting, estimates, few).select(*_GROUP, *SCALES, away.alias("away"))
+        edge = stored(_quantile(distances, _GROUP, F.col("away"), core), "mcd")
+        nearest = _per_group(distances, edge, few).filter(F.col("away") < F.col("quantile"))
+        estimates = stored(_whitening(_moments(nearest)), "mcd")
+    distances = _per_group(fitting, estimates, few).select(*_GROUP, away.alias("away"))
+    typical = stored(_quantile(distances, _GROUP, F.col("away"), 0.5).withColumn(
+        "stretch", F.greatest(F.lit(1.0), F.col("quantile") ** 2 / MEDIAN)).drop("quantile"), "mcd")
+    judged = _per_group(_per_group(measured, estimates, few), typical, few)
+    distance = F.when(~base_failed(), _distance() / F.col("stretch"))
     return judged.select(*columns, distance.alias("distance"), F.coalesce(distance > cutoff, F.lit(False)).alias("outlier"))
 
 

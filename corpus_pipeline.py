@@ -34,8 +34,11 @@ def _sized(documents: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    judged = rules.judge(documents.select(*COLUMNS), "doc_id", "text", "n_chars")
-    return judged.filter("kept").select(*COLUMNS)
+    # Rows that are equal in all columns get one verdict; only its key is joined back to the texts.
+    keyed = documents.select(
+        *COLUMNS, F.xxhash64(*COLUMNS).alias("row_a"), F.xxhash64(F.lit(1), *COLUMNS).alias("row_b"))
+    kept = rules.judge(keyed, "row_a", "row_b").filter("kept").select("row_a", "row_b").distinct()
+    return keyed.join(kept, ["row_a", "row_b"], "left_semi").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:

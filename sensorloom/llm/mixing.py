@@ -15,11 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sensorloom.llm.common import text_of, words
+from sensorloom.llm.common import stored, text_of, words
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SLOPES = (-0.5, 0.0, 0.5)
 SHARE, CAP = 1.5, 2.0
+#: Targets of so many sources, of about 100 bytes each, are broadcast; more are joined by shuffles.
+MAX_BROADCAST_SOURCES = 10_000
 
 _SPREAD = 2.0 ** 32
 
@@ -75,7 +77,9 @@ def mix(sized: DataFrame, weights=WEIGHTS, slopes=SLOPES, share=SHARE, cap=CAP,
     over slices of the shuffled order, then inside each slice, so that a source that holds most rows
     is spread over many tasks.  Only one row per source, and one per slice, meet in one task.
     """
-    sources = targets(sized, weights, slopes, share, cap)
+    sources = stored(targets(sized, weights, slopes, share, cap), "targets")
+    if sources.count() <= MAX_BROADCAST_SOURCES:
+        sources = F.broadcast(sources)
     shuffled = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     place = F.conv(F.substring(shuffled, 1, 8), 16, 10).cast("double") / F.lit(_SPREAD)
     slices = F.ceil(F.col("source_rows") / F.greatest(F.lit(512.0), F.sqrt("source_rows")))

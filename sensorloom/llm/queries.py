@@ -163,18 +163,17 @@ def ranking(spark, sf_dir):
 @query("op1_ngram_join")
 def ngrams(spark, sf_dir):
     """Shingle count and component of every document."""
-    return ngram_join.join_components(documents(spark, sf_dir, "doc_id", "text"))
+    return ngram_join.join_components(documents(spark, sf_dir, "doc_id", "text")).drop("text_hash")
 
 
 @query("op2_simhash")
 def prints(spark, sf_dir):
     """Fingerprints of every document and of its edited text, and how many others are near."""
-    found = simhash.fingerprints(documents(spark, sf_dir, "doc_id", "text"))
-    near = simhash.near_counts(found)
-    return found.join(near, "fingerprint", "left").select(
+    found = simhash.with_near_counts(simhash.fingerprints(documents(spark, sf_dir, "doc_id", "text")))
+    return found.select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
         F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
-        F.coalesce("n_near", F.lit(0)).alias("n_near"))
+        "n_near")
 
 
 @query("op6_suffix_dedup")

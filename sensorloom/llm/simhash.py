@@ -31,6 +31,8 @@ BITS, RADIUS = 128, 3
 SINGLE = 0.5
 #: Fingerprints of one table key that are compared in one task; more are cut into cells.
 CELL = 2048
+#: Parts that the rows of one fingerprint are spread over.
+SALTS = 32
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _COLUMN = np.arange(BITS // 8) * 256
@@ -40,7 +42,7 @@ _VOTES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(n
 
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -268,3 +270,11 @@ def near_counts(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> Da
     spread = dealt.repartition(partitions(prints.sparkSession), "key", "cell").sortWithinPartitions("key", "cell", "table")
     found = spread.mapInArrow(_neighbours(radius), "fingerprint binary, n long")
     return found.groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
+
+
+def with_near_counts(prints: DataFrame, radius: int = RADIUS, salts: int = SALTS) -> DataFrame:
+    """The rows with ``n_near``.  Rows of one fingerprint, which may be many, are spread over the salts."""
+    near = near_counts(prints, radius).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = prints.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "n_chars"), F.lit(salts)).cast("int"))
+    return salted.join(near, ["fingerprint", "_salt"], "left").drop("_salt").withColumn(
+        "n_near", F.coalesce("n_near", F.lit(0)))

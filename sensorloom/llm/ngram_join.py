@@ -322,7 +322,7 @@ def join_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     replies = parcels.groupBy("route").applyInArrow(shared_features.shared(routes), PARCEL)
     classes = stored(replies.groupBy("route").applyInArrow(
         _candidates(percent), "key long, n long, shared binary, short array<long>"), "classes")
-    labels = linked_components(classes, percent)
+    labels = linked_components(classes, percent, CELL)
     first = ids.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
     labelled = first.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "label", F.coalesce("label", "key"))

@@ -18,6 +18,8 @@ from sensorloom.llm import blobs
 BITS = 56
 #: A feature counts as common when one of so many documents has it, and at least COMMON_LEAST do.
 COMMON, COMMON_LEAST = 1024, 64
+#: Parts of a range of features that are worked on one after the other, to bound memory.
+SLICES = 8
 PARCEL = "route int, a binary, b binary, c binary, d binary"
 PARCEL_FIELDS = pa.schema([("route", pa.int32()), *[(name, pa.binary()) for name in "abcd"]])
 
@@ -53,6 +55,16 @@ def common_features(reports: DataFrame, documents: int) -> np.ndarray:
     return np.sort(np.array([row["feature"] for row in found.collect()], np.uint64))
 
 
+def common_with_least(reports: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with the least of the numbers that the reports give for each feature, as 64-bit features."""
+    least = max(COMMON_LEAST, documents // COMMON)
+    found = reports.groupBy("feature").agg(F.sum("owners").alias("owners"), F.min("least").alias("least")).filter(
+        F.col("owners") >= least).collect()
+    features = np.array([row["feature"] for row in found], np.int64).view(np.uint64)
+    order = np.argsort(features)
+    return features[order], np.array([row["least"] for row in found], np.int64)[order]
+
+
 def is_in(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(len(values), bool)
@@ -85,6 +97,22 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return fresh
 
 
+def _several(hashes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of two owners or more, once for each owner, and how many owners each has."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, keys = hashes[order], keys[order]
+    start = _starts(hashes)
+    several = ~(start & np.r_[start[1:], True])
+    hashes, keys = hashes[several], keys[several]
+    order = np.lexsort((keys, hashes))
+    hashes, keys = hashes[order], keys[order]
+    fresh = _starts(hashes, keys)
+    hashes, keys = hashes[fresh], keys[fresh]
+    sizes = np.diff(np.r_[np.flatnonzero(_starts(hashes)), len(hashes)])
+    counts = np.repeat(sizes, sizes)
+    return hashes[counts > 1], keys[counts > 1], counts[counts > 1]
+
+
 def shared(routes: int):
     """For one range: parcels with the features of two owners or more, for each range of owners.
 
@@ -95,24 +123,17 @@ def shared(routes: int):
     def reduced(table: pa.Table) -> pa.Table:
         if table.column("route")[0].as_py() >= routes:
             return table
-        hashes, keys = [], []
-        for a, b, c in zip(*(table.column(name).to_pylist() for name in "abc")):
-            hashes.append(blobs.unpack_sorted(a))
-            keys.append(blobs.unpack_sorted(c)[blobs.unpack(b).astype(np.int64)])
-        hashes, keys = np.concatenate(hashes), np.concatenate(keys)
-        order = np.argsort(hashes, kind="stable")
-        hashes, keys = hashes[order], keys[order]
-        start = _starts(hashes)
-        several = ~(start & np.r_[start[1:], True])
-        hashes, keys = hashes[several], keys[several]
-        order = np.lexsort((keys, hashes))
-        hashes, keys = hashes[order], keys[order]
-        fresh = _starts(hashes, keys)
-        hashes, keys = hashes[fresh], keys[fresh]
-        sizes = np.diff(np.r_[np.flatnonzero(_starts(hashes)), len(hashes)])
-        counts = np.repeat(sizes, sizes)
-        several = counts > 1
-        hashes, keys, counts = hashes[several], keys[several], counts[several]
+        sent = [
+            (blobs.unpack_sorted(a), blobs.unpack_sorted(c)[blobs.unpack(b).astype(np.int64)])
+            for a, b, c in zip(*(table.column(name).to_pylist() for name in "abc"))]
+        low, high = (edge(values[place] for values, _ in sent) for edge, place in ((min, 0), (max, -1)))
+        steps = np.linspace(float(low), float(high), SLICES + 1)[1:-1].astype(np.uint64)
+        cuts = [[0, *np.searchsorted(values, steps).tolist(), len(values)] for values, _ in sent]
+        found = [
+            _several(*(np.concatenate([part[cut[i]: cut[i + 1]] for part, cut in zip(column, cuts)])
+                       for column in zip(*sent)))
+            for i in range(SLICES)]
+        hashes, keys, counts = map(np.concatenate, zip(*found))
         order = np.argsort(keys, kind="stable")
         hashes, keys, counts = hashes[order], keys[order], counts[order]
         cuts = np.searchsorted(blobs.bucket(keys, routes), np.arange(routes + 1))

@@ -43,8 +43,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows and bytes that go to Python at once: texts have some kilobytes each, and Arrow buffers lie outside
+#: the heap.
+AT_ONCE = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
 def reachable(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it."""
+    """Python workers find this package where the driver found it, and get texts in batches of bounded size."""
+    for key, most in AT_ONCE.items():
+        present = spark.conf.get(key)
+        if not (present.isdigit() and 0 < int(present) <= most):
+            spark.conf.set(key, str(most))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:

@@ -31,11 +31,12 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-@pytest.mark.parametrize("commonest", [64, 2])
-def test_join_of_many_near_copies(spark, monkeypatch, commonest):
+@pytest.mark.parametrize("commonest, cell", [(64, 2048), (2, 2048), (64, 4)])
+def test_join_of_many_near_copies(spark, monkeypatch, commonest, cell):
     """Copies that differ in ever more words, and texts that share a long passage; with and without
-    common shingles."""
+    common shingles, in one cell and in many."""
     monkeypatch.setattr(shared_features, "COMMON_LEAST", commonest)
+    monkeypatch.setattr(ngram_join, "CELL", cell)
     draw, rows = random.Random(3), []
     base = prose(1, 60).split()
     for i in range(60):
@@ -49,6 +50,17 @@ def test_join_of_many_near_copies(spark, monkeypatch, commonest):
     assert sorted(map(tuple, found.drop("text_hash").collect())) == sorted(plain.component_ids(rows))
 
 
+def test_divide_skip_counts_as_a_full_merge_does():
+    draw = random.Random(9)
+    for weigh in (0.01, 0.3, 10):
+        for _ in range(200):
+            lists = [np.array(sorted(draw.sample(range(40), draw.randint(1, 40)))) for _ in range(draw.randint(1, 12))]
+            needed = draw.randint(1, 8)
+            count = np.bincount(np.concatenate(lists), minlength=40)
+            found, common = ngram_join.divide_skip(lists, needed, 40, weigh)
+            assert found.tolist() == np.flatnonzero(count >= needed).tolist() and (common == count[found]).all()
+
+
 def test_first_of_components_keeps_one_row(spark):
     rows = [(3, "a b c d e f", "x"), (1, "A B c d e f", "y"), (1, "A B c d e f", "y"), (1, "a  b c d e f", "z"),
             (7, "other words are here", "x"), (8, None, "x"), (9, "", "x"), (None, "", "x"), (None, "a b c d e f", "x")]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from functools import partial
 
 from pyspark.sql import functions as F, types as T
@@ -176,7 +177,8 @@ def stream_polled(spark, sf_dir):
     landed, root, checkpoint = (shared_folder(spark, name) for name in ("landing", "tables", "checkpoint"))
     _land(messages(spark, sf_dir), landed)
     running = _ingest(spark, landed, root, checkpoint, period="15 minutes")
-    running.processAllAvailable()
+    while running.isActive and running.lastProgress is None:  # the first batch starts at once
+        time.sleep(0.1)
     running.stop()
     stored = read_table(spark, root, indoor.TABLES["indoor_readings"])
     return stored.agg(F.countDistinct("dataMessageGUID").alias("messages"))

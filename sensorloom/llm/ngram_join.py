@@ -310,8 +310,8 @@ def linked_components(classes: DataFrame, percent: int, cell: int = CELL) -> Dat
     return components(first.unionAll(rest))
 
 
-def join_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_hash, n_shingles and component_id, the least doc_id that links reach, of every row."""
+def _labelled(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their class key, and (node, label) of the classes that link to another one."""
     spark = documents.sparkSession
     routes = partitions(spark)
     sets = document_sets(documents, words)
@@ -322,7 +322,12 @@ def join_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     replies = parcels.groupBy("route").applyInArrow(shared_features.shared(routes), PARCEL)
     classes = stored(replies.groupBy("route").applyInArrow(
         _candidates(percent), "key long, n long, shared binary, short array<long>"), "classes")
-    labels = linked_components(classes, percent, CELL)
+    return ids, linked_components(classes, percent, CELL)
+
+
+def join_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """doc_id, text_hash, n_shingles and component_id, the least doc_id that links reach, of every row."""
+    ids, labels = _labelled(documents, words, percent)
     first = ids.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
     labelled = first.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "label", F.coalesce("label", "key"))
@@ -334,19 +339,21 @@ def join_components(documents: DataFrame, words: int = WORDS, percent: int = PER
 
 
 def first_of_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row of each component, as it was: that with the least doc_id, and the least hash of its text.
+    """One row of each component, as it was: that with the least doc_id, nulls last, and the least hash of its text.
 
-    Rows without shingles, which no other links to, all stay; so does a null doc_id unless a row of its
-    component has one.
+    Components are told apart by their label, so rows that share a doc_id and do not link both stay.  Rows
+    without shingles, which no other links to, all stay.
     """
-    found = join_components(documents, words, percent)
-    blank = F.col("n_shingles") == 0
-    leading = found.filter(blank | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    alone = F.when(blank | F.col("doc_id").isNull(), F.col("text_hash"))
-    chosen = leading.groupBy("doc_id", alone.alias("alone")).agg(
-        F.min("text_hash").alias("text_hash"), F.min("n_shingles").alias("n_shingles"))
+    ids, labels = _labelled(documents, words, percent)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = ids.filter("n_shingles > 0").groupBy("key").agg(F.min(row).alias("first"))
+    leading = first.join(labels.withColumnRenamed("node", "key"), "key", "left").groupBy(
+        F.coalesce("label", "key").alias("label")).agg(F.min("first").alias("first"))
+    blank = ids.filter("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    chosen = leading.select("first.doc_id", "first.text_hash", F.lit(False).alias("blank")).unionAll(
+        blank.withColumn("blank", F.lit(True)))
     marked = documents.withColumn("_hash", F.xxhash64("text")).alias("d").join(
         chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("_hash") == F.col("text_hash")))
     turn = F.row_number().over(Window.partitionBy("d.doc_id", "_hash").orderBy(F.lit(0)))
-    return marked.select("d.*", "n_shingles", turn.alias("_turn")).filter("n_shingles = 0 OR _turn = 1").drop(
-        "_hash", "_turn", "n_shingles")
+    return marked.select("d.*", "_hash", F.col("c.blank").alias("_blank"), turn.alias("_turn")).filter(
+        "_blank OR _turn = 1").drop("_hash", "_turn", "_blank")

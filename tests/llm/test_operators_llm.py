@@ -69,6 +69,17 @@ def test_first_of_components_keeps_one_row(spark):
     assert sorted(row[0] is not None and row[0] or 0 for row in found) == [0, 1, 7, 8, 9]
 
 
+def test_first_of_components_tells_components_apart_by_label(spark):
+    """A doc_id that leads two components keeps both; a group whose ids are all null keeps one row."""
+    copy = prose(41, 40)
+    rows = [(5, prose(31, 40)), (5, prose(32, 40)), (6, prose(32, 40) + " more"), (5, prose(33, 40)), (2, prose(33, 40)),
+            (None, copy), (None, copy), (None, copy + " end")]
+    kept = ngram_join.first_of_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((row["doc_id"] or 0, row["text"]) for row in kept)
+    assert found[1:] == sorted([(2, rows[4][1]), (5, rows[0][1]), (5, rows[1][1])])
+    assert found[0] in ((0, copy), (0, copy + " end"))
+
+
 def test_near_counts_with_crowded_keys(spark):
     draw = random.Random(4)
     base = [draw.getrandbits(128) for _ in range(6)]

@@ -33,8 +33,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Share of a group that the estimate rests on; concentration steps; chi-square quantiles for five
 #: statistics: the median, and 0.9999.
 CORE, STEPS, MEDIAN, CUTOFF = 0.75, 3, 4.3515, 25.745
-#: The vector and the fixed scale of each statistic.
-SCALES = {"log_length": 0.1, "symbol_rate": 0.15, "upper_share": 0.1, "line_share": 0.15, "repeat_share": 0.15}
+#: The vector and the fixed scale of each statistic.  The first three are of the size of real groups' own
+#: deviations or below what junk has; repeated lines and words are 0 in most rows of any group, so that their
+#: scale alone says how much of them is ordinary.
+SCALES = {"log_length": 0.03, "symbol_rate": 0.05, "upper_share": 0.03, "line_share": 0.15, "repeat_share": 0.15}
 
 #: Estimates of so many groups, of about 200 bytes each, are broadcast; more are joined by shuffles.
 MAX_BROADCAST_GROUPS = 10_000

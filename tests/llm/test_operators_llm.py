@@ -227,6 +227,18 @@ def test_robust_distances(spark):
         assert part["outlier"].sum() <= 20
 
 
+def test_outliers_agree_with_labels(spark):
+    """Junk that passes the base rules is rejected, and good documents stay."""
+    folder = "/root/testdata/sf0.1"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    judged = quality_rules.judge(documents.select("doc_id", "text", "lang", "source"), "doc_id").filter("NOT base_failed")
+    found = judged.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").groupBy("quality").agg(
+        F.count("*").alias("n"), F.sum(F.col("outlier").cast("int")).alias("rejected"))
+    counts = {row["quality"]: (row["n"], row["rejected"]) for row in found.collect()}
+    assert counts[0][1] == counts[0][0] > 200
+    assert counts[1][1] <= 0.005 * counts[1][0]
+
+
 def test_ranking_without_two_labels():
     ranking = quality_ranking.fit(np.zeros((3, len(quality_ranking.FEATURES))), np.array([True] * 3), 0.0)
     assert ranking.scores(np.zeros((2, len(quality_ranking.FEATURES)))).tolist() == [0.5, 0.5]

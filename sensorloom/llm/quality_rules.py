@@ -30,9 +30,10 @@ MAX_REPEATED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Share of a group that the estimate rests on; concentration steps; chi-square quantiles for five
+#: Share of a group that the estimate rests on, half of it so that copies of one junk text cannot enter unless
+#: they are as many as all others; concentration steps; chi-square quantiles for five
 #: statistics: the median, and 0.9999.
-CORE, STEPS, MEDIAN, CUTOFF = 0.75, 3, 4.3515, 25.745
+CORE, STEPS, MEDIAN, CUTOFF = 0.5, 3, 4.3515, 25.745
 #: The vector and the fixed scale of each statistic.  The first three are of the size of real groups' own
 #: deviations or below what junk has; repeated lines and words are 0 in most rows of any group, so that their
 #: scale alone says how much of them is ordinary.

@@ -239,6 +239,18 @@ def test_outliers_agree_with_labels(spark):
     assert counts[1][1] <= 0.005 * counts[1][0]
 
 
+def test_a_third_of_identical_junk_is_rejected(spark):
+    draw = np.random.default_rng(5)
+    rows = [(i, int(draw.integers(60, 400)), float(draw.uniform(4.8, 5.2))) for i in range(300)]
+    rows = [(i, n, int(n * long), 0, int(n * long * 0.02), 10, 0, 0) if i % 3 else (i, 100, 500, 200, 10, 10, 0, 0)
+            for i, n, long in rows]
+    names = ["n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines", "n_repeat_words"]
+    counted = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{name} long" for name in names))
+    vectors = quality_rules.vectors(counted.withColumns({"lang": F.lit("en"), "source": F.lit("g")}))
+    judged = quality_rules.outliers(vectors).collect()
+    assert {row["doc_id"] for row in judged if row["outlier"]} == set(range(0, 300, 3))
+
+
 def test_ranking_without_two_labels():
     ranking = quality_ranking.fit(np.zeros((3, len(quality_ranking.FEATURES))), np.array([True] * 3), 0.0)
     assert ranking.scores(np.zeros((2, len(quality_ranking.FEATURES)))).tolist() == [0.5, 0.5]

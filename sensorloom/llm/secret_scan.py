@@ -1,9 +1,8 @@
 """Secret scans: fixed patterns, then character Markov models compared by log-likelihood ratio.
 
 Two first-order character models are trained from labelled samples of the table itself: strings that
-the fixed patterns found (random), and words without a digit (ordinary identifiers).  The samples come
-from about ``SAMPLES`` documents, chosen by hash.  A candidate is a
-run of letters, digits and ``+/_=-`` that has letters and digits; it becomes a span of kind ``random``
+the fixed patterns found (random), and words without a digit (ordinary identifiers).  All documents are
+counted.  A candidate is a run of letters, digits and ``+/_=-`` that has letters and digits; it becomes a span of kind ``random``
 when the ratio of its likelihoods, per character, is over the threshold.  Spans of the fixed patterns
 are never changed, and a candidate that touches one is dropped.
 
@@ -30,8 +29,8 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _KEYWORDS = ("passw", "secret", "token", "api_key", "apikey")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
-#: Documents that samples come from, least length of samples and candidates, threshold per character.
-SAMPLES, LEAST, THRESHOLD = 50_000, 20, 0.5
+#: Least length of candidates, threshold per character.
+LEAST, THRESHOLD = 20, 0.5
 
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 _ORDINARY = re.compile(r"[A-Za-z_]{5,}")
@@ -58,41 +57,41 @@ def _codes(string: str) -> np.ndarray:
 
 
 def _transitions(strings: list[str]) -> np.ndarray:
-    counts = np.zeros(_STATES * _STATES, np.int64)
-    for string in strings:
-        codes = _codes(string)
-        counts += np.bincount(codes[:-1] * _STATES + codes[1:], minlength=len(counts))
-    return counts
+    """Counts of the character pairs inside the strings."""
+    strings = [string for string in strings if string]
+    if not strings:
+        return np.zeros(_STATES * _STATES, np.int64)
+    codes = _codes("".join(strings))
+    pairs = codes[:-1] * _STATES + codes[1:]
+    between = np.cumsum([len(string) for string in strings])[:-1] - 1
+    return np.bincount(np.delete(pairs, between), minlength=_STATES * _STATES)
 
 
 def _pairs(batches):
     """Character pairs of the samples with their label: 1 for found secrets, 0 for ordinary words."""
     for batch in batches:
-        strings: tuple[list[str], list[str]] = ([], [])
-        for text, wordy in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        counts = np.zeros((2, _STATES * _STATES), np.int64)
+        for text in batch.column(0).to_pylist():
+            random = []
             for start, kind, end in base_spans(text):
                 found = text[start:end]
-                strings[1].append(_ASSIGN.match(found).group(2) if kind == 0 else found)
-            if wordy:
-                strings[0].extend(_ORDINARY.findall(text))
-        counts = [_transitions(part) for part in strings]
-        seen = [np.flatnonzero(count) for count in counts]
+                random.append(_ASSIGN.match(found).group(2) if kind == 0 else found)
+            counts[0] += _transitions(_ORDINARY.findall(text))
+            if random:
+                counts[1] += _transitions(random)
+        label, pair = np.nonzero(counts)
         yield pa.RecordBatch.from_pydict({
-            "label": pa.array(np.repeat([0, 1], [len(one) for one in seen]), pa.int32()),
-            "pair": pa.array(np.concatenate(seen), pa.int32()),
-            "n": pa.array(np.concatenate([count[one] for count, one in zip(counts, seen)]), pa.int64())})
+            "label": pa.array(label, pa.int32()), "pair": pa.array(pair, pa.int32()),
+            "n": pa.array(counts[label, pair], pa.int64())})
 
 
-def train(documents: DataFrame, samples: int = SAMPLES) -> np.ndarray:
+def train(documents: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of every character pair, random against ordinary.
 
-    About ``samples`` documents, those with the least hashes of their text, give random strings, and
-    every fiftieth of them its ordinary words.  The counts are added up by Spark; the driver gets one
-    number for each label and character pair.
+    All documents are counted.  The counts are added up by Spark; the driver gets one number for each label
+    and character pair.
     """
-    share = min(1.0, samples / max(1, documents.count()))
-    place = (F.xxhash64("text") / F.lit(2.0 ** 64) + 0.5)
-    chosen = documents.filter(F.col("text").isNotNull() & (place <= share)).select("text", (place <= share / 50).alias("wordy"))
+    chosen = documents.filter(F.col("text").isNotNull()).select("text")
     summed = chosen.mapInArrow(_pairs, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n"))
     totals = np.zeros((2, _STATES * _STATES))
     for row in summed.collect():

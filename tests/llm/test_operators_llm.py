@@ -1,6 +1,7 @@
 """The operators beyond what their queries show."""
 
 import random
+import re
 from itertools import combinations
 
 import numpy as np
@@ -157,6 +158,20 @@ def test_models_find_random_strings(spark):
     assert (secret_scan.train(frame.limit(0)) == 0).all()
 
 
+def test_models_count_all_documents(spark):
+    texts = [prose(i, 30) + (" token=Zq9xK2vB7wLm4tRs" if i == 17 else " end") for i in range(80)]
+    totals = np.zeros((2, secret_scan._STATES, secret_scan._STATES))
+    for text in texts:
+        ordinary = re.findall("[A-Za-z_]{5,}", text)
+        for label, strings in enumerate((ordinary, re.findall("token=([A-Za-z0-9]+)", text))):
+            for string in strings:
+                for a, b in zip(string, string[1:]):
+                    totals[label, secret_scan._LETTERS.index(a), secret_scan._LETTERS.index(b)] += 1
+    likely = np.log((totals + 0.5) / (totals + 0.5).sum(axis=2, keepdims=True))
+    ratio = secret_scan.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert np.allclose(ratio, (likely[1] - likely[0]).ravel())
+
+
 def test_line_dedup_keeps_other_columns(spark):
     rows = [(1, "a\nb\nc\nd", "p", 1), (2, "x\na\nb\n c\t\ny", "q", 2), (3, None, "r", 3), (2, "a\nb\nc\na\nb\nc", "s", 4)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lines string, first long")

@@ -5,18 +5,22 @@ Terms are single words and runs of two words.  A term votes for or against each
 is the cosine that their differing bits estimate, not below 0.
 
 For a radius r the bits are cut into r + 2 blocks; fingerprints within r bits of each other agree on two
-blocks at least.  There is a table for every two blocks, keyed by their bits, so that every such pair
-meets in one of the tables.  It counts in the first table where it meets.
+blocks at least.  There is a table for every block, keyed by its bits; inside a key, fingerprints are
+compared that agree on a later block too, or all of them where this is less.  A pair counts where its first
+agreeing block is the table's.  Likeness 0.75 of sets of five-word shingles is about 12 differing bits on
+average for 300 words, so the search goes to 16.
+
+A document's near ones are counted as rows: exact copies of it, and all copies of the fingerprints within
+the radius.
 
 Defined results: a null or empty text has no terms and the fingerprint of zero bits; equal texts have equal
-fingerprints; rows with the same doc_id follow each other by their text; a null doc_id comes last; a single
+fingerprints, so that blank ones are near each other; rows with the same doc_id follow each other by their text; a null doc_id comes last; a single
 document is its own next one; no documents give no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +31,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sensorloom.llm.common import partitions, stored
 
 BITS, RADIUS = 128, 3
+#: Radius that the query searches.
+NEAR = 16
 #: Weight of a single word against that of two.
 SINGLE = 0.5
-#: Fingerprints of one table key that are compared in one task; more are cut into cells.
-CELL = 2048
+#: Fingerprints of one table key that are compared in one task at least; this many parts of all fingerprints
+#: may be a cell, when that is more.  A key with more is cut into cells.
+CELL, CELL_SHARE = 2048, 64
+#: Pairs whose bits are compared at once.
+AT_ONCE = 1 << 20
 #: Parts that the rows of one fingerprint are spread over.
 SALTS = 32
 
@@ -170,109 +179,189 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return found.filter("edge IS NULL").select(*closed.columns).unionAll(closed)
 
 
+def _blocks(radius: int) -> list[np.ndarray]:
+    return np.array_split(np.arange(BITS), radius + 2)
+
+
+def _block_keys(bits: np.ndarray, radius: int) -> np.ndarray:
+    """Rows of bits to the number that each block's bits make."""
+    return np.stack([
+        bits[:, block].astype(np.int64) @ (np.int64(1) << np.arange(len(block), dtype=np.int64)) for block in _blocks(radius)],
+        axis=1)
+
+
+def _bits(raw: list[bytes]) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BITS // 8), axis=1)
+
+
 def _keys(radius: int):
     """Each fingerprint with its key in every table."""
-    blocks = np.array_split(np.arange(BITS), radius + 2)
-    pairs = list(combinations(range(radius + 2), 2))
 
     def keyed(batches):
         for batch in batches:
-            raw = batch.column(0)
-            bits = np.unpackbits(np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, BITS // 8), axis=1)
-            for table, (a, b) in enumerate(pairs):
-                chosen = np.packbits(bits[:, np.r_[blocks[a], blocks[b]]], axis=1)
-                keys = [xxhash.xxh3_64_intdigest(bytes([table]) + row.tobytes()) for row in chosen]
+            raw, copies = batch.column(0), batch.column(1)
+            if not len(raw):
+                continue
+            for table, keys in enumerate(_block_keys(_bits(raw.to_pylist()), radius).T):
                 yield pa.RecordBatch.from_arrays(
-                    [raw, pa.array(np.full(len(raw), table, np.int32)), pa.array(np.array(keys, np.uint64).astype(np.int64))],
-                    ["fingerprint", "table", "key"])
+                    [raw, copies, pa.array(np.full(len(raw), table, np.int32)), pa.array(keys)],
+                    ["fingerprint", "copies", "table", "key"])
 
     return keyed
 
 
-def _neighbours(radius: int):
-    """Per cell of a table key: how many others of the cell are within the radius, where the pair meets in
-    no earlier table.  Rows come sorted by key and cell; a cell never spans two batches' output."""
-    blocks = np.array_split(np.arange(BITS), radius + 2)
-    pairs = list(combinations(range(radius + 2), 2))
-    agreeing = np.array([
-        next((table for table, (a, b) in enumerate(pairs) if not mask >> a & 1 and not mask >> b & 1), len(pairs))
-        for mask in range(1 << (radius + 2))])
-    of_bit = np.zeros((BITS, radius + 2), np.uint8)
-    for block, places in enumerate(blocks):
-        of_bit[places, block] = 1
-
-    def compared(prints: np.ndarray, tables: np.ndarray, cells: np.ndarray, sides: np.ndarray) -> np.ndarray:
-        """All rows against the rows after them in the same cell, one distance in places at a time."""
-        count = np.zeros(len(prints), np.int64)
-        start = np.r_[True, cells[1:] != cells[:-1]]
-        size = np.diff(np.r_[np.flatnonzero(start), len(cells)])
-        ends = np.repeat(np.cumsum(size), size)
-        active, step = np.arange(len(prints)), 1
-        while len(active := active[active + step < ends[active]]):
-            other = active + step
-            apart = prints[active] ^ prints[other]
-            near = np.flatnonzero((np.bitwise_count(apart).sum(axis=1) <= radius) & (
-                (sides[active] != sides[other]) | (sides[active] == 0)))
-            if len(near):
-                differ = np.unpackbits(apart[near], axis=1) @ of_bit > 0
-                mask = differ @ (1 << np.arange(radius + 2))
-                near = near[agreeing[mask] == tables[active[near]]]
-                np.add.at(count, active[near], 1)
-                np.add.at(count, other[near], 1)
-            step += 1
-        return count
+def near_pairs(prints: np.ndarray, table: int, sides: np.ndarray, radius: int):
+    """Portions (i, j, apart) of the pairs of one cell within the radius whose first agreeing block is the
+    table's.  Rows of side 0 pair with each other, rows of side 1 with those of side 2."""
+    words = np.ascontiguousarray(prints).view(np.uint64)
+    masks = np.zeros((radius + 2, BITS), np.uint8)
+    for block, places in enumerate(_blocks(radius)):
+        masks[block, places] = 1
+    masks = np.packbits(masks, axis=1).view(np.uint64)
+    size = len(words)
+
+    def judged(i: np.ndarray, j: np.ndarray, later: np.ndarray | None):
+        """``later``: the block that the pair is met by; pairs are taken at the first one."""
+        apart = words[i] ^ words[j]
+        far = np.bitwise_count(apart[:, 0]) + np.bitwise_count(apart[:, 1])
+        near = np.flatnonzero((far <= radius) & ((sides[i] != sides[j]) | (sides[i] == 0)))
+        for block in range(table if later is None else radius + 2):
+            if not len(near):
+                break
+            if block != table:
+                differs = ((apart[near] & masks[block]) != 0).any(axis=1)
+                near = near[differs | (block >= later[near])] if block > table else near[differs]
+        return i[near], j[near], far[near].astype(np.int64)
+
+    keys = _block_keys(np.unpackbits(prints, axis=1), radius)[:, table + 1:]
+    blocks = np.repeat(np.arange(table + 1, radius + 2), size)
+    rows = np.tile(np.arange(size), keys.shape[1])
+    order = np.lexsort((keys.T.ravel(), blocks))
+    blocks, rows, keys = blocks[order], rows[order], keys.T.ravel()[order]
+    start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])][:len(rows)])
+    sizes = np.diff(np.r_[start, len(rows)])
+    if (sizes * (sizes - 1)).sum() >= size * (size - 1):
+        at = 0
+        while at < size - 1:
+            some = min(size - 1 - at, max(1, AT_ONCE // size))
+            i, j = np.nonzero(np.arange(size - at) > np.arange(some)[:, None])
+            yield judged(i + at, j + at, None)
+            at += some
+        return
+    ends = np.repeat(start + sizes, sizes)
+    active, step = np.arange(len(rows)), 1
+    while len(active := active[active + step < ends[active]]):
+        for at in range(0, len(active), AT_ONCE):
+            part = active[at: at + AT_ONCE]
+            yield judged(rows[part], rows[part + step], blocks[part])
+        step += 1
+
+
+def _cells(batches):
+    """The rows of each cell, which come one after another."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cells = np.stack([batch.column(name).to_numpy() for name in ("table", "key", "cell")], axis=1).astype(np.int64)
+        cuts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1).tolist(), len(cells)]
+        for a, b in zip(cuts, cuts[1:]):
+            here = tuple(cells[a])
+            if held and held[0] != here:
+                yield pa.Table.from_batches(held[1])
+                held = []
+            held = held or [here, []]
+            held[1].append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held[1])
+
+
+def _met(radius: int):
+    """Per cell the pairs within the radius, with the rows of the cell: (table, portions)."""
+
+    def met(batches):
+        for cell in _cells(batches):
+            if cell.num_rows > 1:
+                prints = np.frombuffer(b"".join(cell.column("fingerprint").to_pylist()), np.uint8).reshape(-1, BITS // 8)
+                yield cell, near_pairs(prints, cell.column("table")[0].as_py(), cell.column("side").to_numpy(), radius)
+
+    return met
+
+
+def _counted(radius: int):
+    """Per cell: how many rows of others of the cell are near."""
 
     def counted(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks()
-            if not table.num_rows:
-                continue
-            cells = np.stack([table.column(name).to_numpy().astype(np.int64) for name in ("key", "cell", "table")], axis=1)
-            start = np.r_[True, (cells[1:] != cells[:-1]).any(axis=1)]
-            last = int(np.flatnonzero(start)[-1])
-            held = table.slice(last).to_batches()[0]
-            yield from rows(table.slice(0, last), np.cumsum(start)[:last], cells[:last, 2])
-        if held is not None:
-            table = pa.Table.from_batches([held])
-            yield from rows(table, np.zeros(table.num_rows, np.int64), table.column("table").to_numpy())
-
-    def rows(table: pa.Table, cells: np.ndarray, tables: np.ndarray):
-        if table.num_rows:
-            raw = table.column("fingerprint").to_pylist()
-            prints = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BITS // 8)
-            count = compared(prints, tables, cells, table.column("side").to_numpy())
-            yield pa.RecordBatch.from_pydict({
-                "fingerprint": pa.array([raw[i] for i in np.flatnonzero(count)], pa.binary()),
-                "n": pa.array(count[count > 0])})
+        for cell, portions in _met(radius)(batches):
+            copies = cell.column("copies").to_numpy()
+            count = np.zeros(len(copies), np.int64)
+            for i, j, _ in portions:
+                np.add.at(count, i, copies[j])
+                np.add.at(count, j, copies[i])
+            found = np.flatnonzero(count)
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [cell.column("fingerprint").take(found).combine_chunks(), pa.array(count[found])], ["fingerprint", "n"])
 
     return counted
 
 
-def near_counts(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
-    """(fingerprint, n_near): how many other fingerprints lie within the radius, where any do.
+def _linked(radius: int):
+    def linked(batches):
+        for cell, portions in _met(radius)(batches):
+            prints = cell.column("fingerprint").combine_chunks()
+            for i, j, apart in portions:
+                if len(i):
+                    yield pa.RecordBatch.from_arrays(
+                        [prints.take(pa.array(i)), prints.take(pa.array(j)), pa.array(apart)], ["a", "b", "apart"])
+
+    return linked
+
 
-    A key with more than ``cell`` fingerprints is cut into parts by hash, and every two parts make a
-    cell of their own, so that no task holds more than two parts and no pair is left out or emitted.
+def members(prints: DataFrame) -> DataFrame:
+    """(fingerprint, copies): the distinct fingerprints and the number of their rows."""
+    return prints.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+
+
+def _dealt(distinct: DataFrame, radius: int, cell: int | None) -> DataFrame:
+    """The fingerprints in every cell where they are compared, cells together and in order.
+
+    A key with more fingerprints than fit a cell is cut into parts by hash, and every two parts make a
+    cell of their own, so that no task holds more than two parts and no pair is left out.
     """
-    distinct = prints.select("fingerprint").distinct()
-    keyed = stored(distinct.mapInArrow(_keys(radius), "fingerprint binary, table int, key long"), "tables")
-    crowds = keyed.groupBy("key", "table").agg(F.count("*").alias("size")).filter("size > 1").withColumn(
-        "parts", F.ceil(F.col("size") / cell).cast("int"))
+    spark = distinct.sparkSession
+    cell = cell or max(CELL, distinct.count() // CELL_SHARE)
+    keyed = distinct.mapInArrow(_keys(radius), "fingerprint binary, copies long, table int, key long")
+    # So few that they can be broadcast: a table has at most CELL_SHARE keys over the share of a cell.
+    crowds = F.broadcast(keyed.groupBy("key", "table").agg(F.count("*").alias("size")).filter(
+        F.col("size") > cell).select("key", "table", F.ceil(F.col("size") / cell).cast("int").alias("parts")))
     part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
     # The cells of a part: with itself (side 0), and with each other part (side 1 as the smaller one).
     low, high = F.least("part", "with"), F.greatest("part", "with")
-    members = keyed.join(crowds, ["key", "table"]).withColumn("part", part).withColumn(
-        "with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = members.select(
-        "fingerprint", "table", "key", (low * F.col("parts") + high).alias("cell"),
+    parted = keyed.join(crowds, ["key", "table"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn(
+        "part", part).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = parted.select(
+        "fingerprint", "copies", "table", "key", (low * F.col("parts") + high).cast("long").alias("cell"),
         F.when(low == high, 0).when(F.col("part") == low, 1).otherwise(2).alias("side"))
-    spread = dealt.repartition(partitions(prints.sparkSession), "key", "cell").sortWithinPartitions("key", "cell", "table")
-    found = spread.mapInArrow(_neighbours(radius), "fingerprint binary, n long")
-    return found.groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
+    return cells.repartition(partitions(spark), "table", "key", "cell").sortWithinPartitions("table", "key", "cell")
+
+
+def near_links(prints: DataFrame, radius: int = NEAR, cell: int | None = None) -> DataFrame:
+    """(a, b, apart): every two distinct fingerprints within the radius, once.  With ``members`` these are
+    all near rows; there are as many links as pairs, so a large group of near copies has very many."""
+    return _dealt(stored(members(prints), "members"), radius, cell).mapInArrow(
+        _linked(radius), "a binary, b binary, apart long")
+
+
+def near_counts(prints: DataFrame, radius: int = RADIUS, cell: int | None = None) -> DataFrame:
+    """(fingerprint, n_near): how many other rows, copies among them, lie within the radius, where any do."""
+    distinct = stored(members(prints), "members")
+    found = _dealt(distinct, radius, cell).mapInArrow(_counted(radius), "fingerprint binary, n long")
+    copies = distinct.filter("copies > 1").select("fingerprint", (F.col("copies") - 1).alias("n"))
+    return found.unionAll(copies).groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
 
 
-def with_near_counts(prints: DataFrame, radius: int = RADIUS, salts: int = SALTS) -> DataFrame:
+def with_near_counts(prints: DataFrame, radius: int = NEAR, salts: int = SALTS) -> DataFrame:
     """The rows with ``n_near``.  Rows of one fingerprint, which may be many, are spread over the salts."""
     near = near_counts(prints, radius).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = prints.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "n_chars"), F.lit(salts)).cast("int"))

@@ -95,6 +95,36 @@ def test_near_counts_with_crowded_keys(spark):
         assert found == {a: n for a, n in wanted.items() if n}
 
 
+def test_near_rows_and_links_within_sixteen_bits(spark):
+    """Copies count as rows; links are the pairs of distinct fingerprints; in one cell and in many."""
+    draw = random.Random(14)
+    base = [draw.getrandbits(128) for _ in range(40)]
+    rows = [one ^ sum({1 << draw.randrange(128) for _ in range(draw.choice((0, 0, 5, 9, 12)))})
+            for one in [*base, *base[:3] * 30] for _ in range(2)]
+    frame = spark.createDataFrame(
+        [(i, 1, bytearray(a.to_bytes(16, "big"))) for i, a in enumerate(rows)], "doc_id long, n_chars long, fingerprint binary")
+    wanted = {i: sum((a ^ b).bit_count() <= 16 for b in rows) - 1 for i, a in enumerate(rows)}
+    found = simhash.with_near_counts(frame).collect()
+    assert {row["doc_id"]: row["n_near"] for row in found} == wanted
+    pairs = sorted((a, b, (a ^ b).bit_count()) for a, b in combinations(sorted(set(rows)), 2) if (a ^ b).bit_count() <= 16)
+    number = lambda raw: int.from_bytes(raw, "big")
+    for cell in (None, 8):
+        links = simhash.near_links(frame, cell=cell).collect()
+        assert sorted((*sorted((number(row["a"]), number(row["b"]))), row["apart"]) for row in links) == pairs
+
+
+def test_near_copies_are_near():
+    """Jaccard 0.76 of five-word shingles."""
+    near = 0
+    for seed in range(40):
+        words = prose(3000 + seed, 300).split()
+        for k in range(8):
+            words[20 + 35 * k] = f"changed{k}"
+        one, other = simhash.fingerprint(prose(3000 + seed, 300)), simhash.fingerprint(" ".join(words))
+        near += int(np.bitwise_count(one ^ other).sum()) <= simhash.NEAR
+    assert near >= 36
+
+
 def test_stitching_of_overlapping_chunks():
     draw = random.Random(5)
     pieces = ["a", "bc", " ", "  ", "\n", "'s", "'re", "'", "9", "#", "=", "é", " x"]

@@ -34,9 +34,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: they are as many as all others; concentration steps; chi-square quantiles for five
 #: statistics: the median, and 0.9999.
 CORE, STEPS, MEDIAN, CUTOFF = 0.5, 3, 4.3515, 25.745
-#: The vector and the fixed scale of each statistic.  The first three are of the size of real groups' own
-#: deviations or below what junk has; repeated lines and words are 0 in most rows of any group, so that their
-#: scale alone says how much of them is ordinary.
+#: The vector and the fixed scale of each statistic.  Those of length and capitals are two to three times the
+#: deviation in a core of sf0.1 (0.014, 0.010); the others are 0 in most rows of a core, so that the scale alone
+#: says how much of them is ordinary.
 SCALES = {"log_length": 0.03, "symbol_rate": 0.05, "upper_share": 0.03, "line_share": 0.15, "repeat_share": 0.15}
 
 #: Estimates of so many groups, of about 200 bytes each, are broadcast; more are joined by shuffles.

@@ -1,4 +1,4 @@
-"""Removal of long strings that an earlier document has, by longest-previous-factor arrays.
+"""Removal of long strings that an earlier document has, by grouping equal windows.
 
 Texts are bytes; a string of LENGTH bytes counts as repeated when it also starts in a document with a
 smaller doc_id.  Every string of that length belongs to its anchor: the gram of GRAM bytes in it with
@@ -10,9 +10,9 @@ but the smallest lose everything.
 1. Anchors go to ranges of hash values, which send back those of two texts or more.
 2. Each text sends its cuttings below such anchors to the ranges of the anchors.
 3. There, equal cuttings are one kind, with their smallest document.  Where several kinds meet below one
-   anchor, their suffixes of LENGTH bytes or more are sorted.  Among neighbours in suffix order that
-   agree on LENGTH bytes, the longest previous factor of a suffix reaches LENGTH exactly if a
-   smaller document stands before or after it, that is, unless its document is their smallest.
+   anchor, their windows of LENGTH bytes are sorted, and equal ones form a group.  A window is removed unless
+   its document is the smallest of its group.  No suffix or longest-previous-factor array is built: only
+   whether a previous factor reaches LENGTH is needed.
 4. The covered bytes go back to the documents, which merge them and keep the rest.
 
 What a thousandth of all documents or more have is known beforehand, and bounded in number.  A cutting of

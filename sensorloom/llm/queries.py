@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensorloom.llm import (
-    byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, simhash,
-    suffix_dedup, token_counts)
+    byte_encoding as byte_encoding_, line_dedup, mixing, ngram_join, periodic_runs, quality_ranking, quality_rules,
+    secret_scan, simhash, suffix_dedup, token_counts, vector_codes, vector_search)
 from sensorloom.llm.common import reachable, sha256, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,70 @@ def suffixes(spark, sf_dir):
     """Bytes that every document loses to earlier ones, and the digest of what it keeps."""
     return suffix_dedup.dedup(documents(spark, sf_dir, "doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_vector_search")
+def nearest(spark, sf_dir):
+    """The 20 nearest found of every twentieth vector."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return vector_search.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The codebooks of all rounds one after another, each from the one before."""
+    steps = [rf"""
+kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+         list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+cut AS (
+  SELECT row, part, list_slice(v, part * (len(v) // {parts}) + 1, (part + 1) * (len(v) // {parts})) AS piece
+  FROM kept, unnest(range({parts})) AS u(part)),
+book0 AS (SELECT part, row - 1 AS entry, piece AS mean FROM cut WHERE row <= {entries})"""]
+    for turn in range(rounds + 1):
+        steps.append(rf"""
+near{turn} AS MATERIALIZED (
+  SELECT row, part, any_value(piece) AS piece, min((distance, entry)) AS best
+  FROM (SELECT row, cut.part, piece, entry,
+               list_sum(list_transform(list_zip(piece, mean), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint AS distance
+        FROM cut JOIN book{turn} b ON cut.part = b.part)
+  GROUP BY row, part)""")
+        if turn < rounds:
+            steps.append(rf"""
+sums{turn} AS (
+  SELECT part, entry, list(mean ORDER BY place) AS mean
+  FROM (SELECT part, best[2] AS entry, place, floor_divide(sum(x)::bigint, count(*)::bigint) AS mean
+        FROM (SELECT part, best, unnest(piece) AS x, unnest(range(1, len(piece) + 1)) AS place FROM near{turn})
+        GROUP BY part, best[2], place)
+  GROUP BY part, entry),
+book{turn + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(s.mean, b.mean) AS mean
+  FROM book{turn} b LEFT JOIN sums{turn} s ON b.part = s.part AND b.entry = s.entry)""")
+    chosen = ",".join(steps).replace(
+        "floor_divide(sum(x)::bigint, count(*)::bigint)",
+        "((sum(x) - (((sum(x) % count(*)) + count(*)) % count(*))) / count(*))::bigint".replace(" / ", " // "))
+    return rf"""
+WITH {chosen},
+coded AS (
+  SELECT row, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::bigint AS error
+  FROM near{rounds} GROUP BY row),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(mean, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}),
+by_label AS (SELECT label, sum(error)::bigint AS label_error FROM kept JOIN coded USING (row) GROUP BY label)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM kept JOIN coded USING (row) JOIN by_label ON kept.label IS NOT DISTINCT FROM by_label.label, digest
+"""
+
+
+@query("op12_vector_codes", vector_codes_sql())
+def codes(spark, sf_dir):
+    """Code and errors of every vector."""
+    return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_periodic_runs")
+def runs(spark, sf_dir):
+    """Runs of repeated words of every document, and the digest of its words without repetitions."""
+    return periodic_runs.find_runs(documents(spark, sf_dir, "doc_id", "text"), altered=True, texts=False)

@@ -243,6 +243,19 @@ def _matrix(column: pa.Array, kind: np.dtype, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), size).astype(np.float64)
 
 
+def _measured(batches):
+    """Most components, greatest length and number of the vectors of each batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = int(np.diff(batch.column(0).offsets.to_numpy()).max())
+        values = matrix(batch.column(0), size)
+        largest = np.abs(values).max(axis=1)
+        lengths = largest * np.sqrt(((values / largest[:, None]) ** 2).sum(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([size], pa.int32()), pa.array([lengths.max()]), pa.array([len(values)])], ["size", "longest", "n"])
+
+
 def _placed(space: Space, kind: np.dtype):
     """Rows (id, asks, vector) with packed vectors and the cell of each, as a candidate."""
 
@@ -343,10 +356,8 @@ def search(vectors: DataFrame, asks: Column, k: int = 20, id_: str = "vec_id", v
     taking_part = F.col(id_).isNotNull() & finite(vector) & (F.coalesce(largest, F.lit(0.0)) > 0)
     rows = vectors.filter(taking_part).select(
         F.col(id_).cast("long").alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"), F.col(vector).alias("vector"))
-    most = F.array_max(F.transform("vector", lambda x: F.abs(x).cast("double")))
-    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
-    size, longest, count = rows.agg(
-        F.max(F.size("vector")), F.max(most * F.sqrt(squares)), F.count("*")).first()
+    size, longest, count = rows.select("vector").mapInArrow(_measured, "size int, longest double, n long").agg(
+        F.max("size"), F.max("longest"), F.sum("n")).first()
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     kind = np.dtype(np.float32 if "float" in rows.schema["vector"].dataType.simpleString() else np.float64)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from bindings.registry import guid, query, table
 from sensorloom.functions.keys import micros_key, surrogate_key
 from sensorloom.operators import conform, dedupe
-from sensorloom.sources.tables import Table, add_dimension_rows, read_table, write_facts
+from sensorloom.sources.tables import Table, load_table, read_table
 from sensorloom.session import shared_folder
 
 
@@ -176,10 +176,10 @@ def bulk_keyed_append(spark, sf_dir):
     rows = conform.with_id(table(spark, sf_dir, "events"), "reading_id", "readings", ["event_id"]).withColumn(
         "ts", F.col("ts").cast("timestamp"))
     is_error, is_view = F.col("event_type") == "error", F.col("event_type") == "view"
-    write_facts(rows.filter(is_error), root, _READINGS, "errors")
-    write_facts(rows.filter(is_view), root, _READINGS, "views")
-    write_facts(rows.filter(~is_error & ~is_view), root, _READINGS, "rest")
-    write_facts(rows.filter(is_view), root, _READINGS, "views")
+    load_table(rows.filter(is_error), root, _READINGS, "errors")
+    load_table(rows.filter(is_view), root, _READINGS, "views")
+    load_table(rows.filter(~is_error & ~is_view), root, _READINGS, "rest")
+    load_table(rows.filter(is_view), root, _READINGS, "views")
     return read_table(spark, root, _READINGS).select(
         "reading_id", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
@@ -193,6 +193,6 @@ def dimension_scan(spark, sf_dir):
     root = shared_folder(spark, "dimension")
     events = table(spark, sf_dir, "events").withColumns(
         {"_seen_at": F.col("ts"), "_seen_id": F.col("event_id")})
-    add_dimension_rows(events, root, _SENSORS)
-    add_dimension_rows(events.withColumn("value", F.col("value") + 1), root, _SENSORS)
+    load_table(events, root, _SENSORS, "first")
+    load_table(events.withColumn("value", F.col("value") + 1), root, _SENSORS, "second")
     return read_table(spark, root, _SENSORS).distinct()

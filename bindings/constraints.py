@@ -10,7 +10,7 @@ from sensorloom.sources.tables import Table
 
 def stored_once(table: Table, sql: str) -> str:
     """Rows of a table as loads leave them: each key once, whole rows once where there is no key."""
-    keys = ", ".join(f'"{column}"' for column in table.primary_key)
+    keys = ", ".join(f'"{column}"' for column in table.primary_key or table.one_for)
     return f"SELECT DISTINCT {f'ON ({keys})' if keys else ''} * FROM ({sql})"
 
 

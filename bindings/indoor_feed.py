@@ -17,7 +17,7 @@ from sensorloom.plans.load import load_batch
 from sensorloom.session import shared_folder
 from sensorloom.sources.documents import read_envelope
 from sensorloom.sources.schemas import INDOOR_MESSAGE, REST_GATEWAY, REST_MESSAGE, REST_SENSOR
-from sensorloom.sources.tables import dimension_rows, read_table
+from sensorloom.sources.tables import dimension_rows, read_table, read_tables
 
 SETTINGS = indoor.IndoorSettings(sensor_types=("Click",))
 
@@ -77,7 +77,7 @@ def load_indoor(spark, sf_dir, root: str) -> None:
 
 def stored_indoor(spark, sf_dir) -> dict[str, DataFrame]:
     root = once(spark, sf_dir, "indoor_tables", lambda folder: load_indoor(spark, sf_dir, folder))
-    return {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
+    return read_tables(spark, root, indoor.TABLES)
 
 
 _TABLE_SQL = {
@@ -169,6 +169,23 @@ def redelivered_indoor_children(spark, sf_dir):
     return rows
 
 
+@query("redelivered_voltage", f"""
+WITH {ROWS_SQL}
+SELECT "readingID", "voltage", 'first' AS batch FROM readings
+""")
+def redelivered_voltage(spark, sf_dir):
+    """Flagged messages come again with other voltages: a reading keeps the one that it was delivered with first."""
+    root, staging = shared_folder(spark, "tables"), shared_folder(spark, "staging")
+    sent = landed_messages(spark, sf_dir)
+    changed = sent.filter("pendingChange IS NOT NULL").withColumn(
+        "voltage", (F.col("voltage").cast("double") + 1).cast("string"))
+    for load, documents in (("first", sent), ("second", changed)):
+        load_batch(documents, partial(indoor.prepare, settings=SETTINGS), indoor.tables, indoor.TABLES, root, load, staging)
+    tables = read_tables(spark, root, indoor.TABLES)
+    return tables["indoor_readings"].select("readingID").join(
+        tables["indoor_sensor_voltage"].select("readingID", "voltage", "batch"), "readingID")
+
+
 @query("any_1000", f"WITH {ROWS_SQL} SELECT least(1000, count(*)) AS row_count, 0 AS strangers FROM readings")
 def any_1000(spark, sf_dir):
     """Some thousand rows in no order: how many there are, and how many of them the report does not have."""
@@ -309,7 +326,7 @@ def rest_readings(spark, sf_dir):
     joined = indoor.from_rest(read["messages"], read["sensors"], read["gateways"])
     root = shared_folder(spark, "tables")
     load_batch(joined, indoor.prepare, indoor.tables, indoor.TABLES, root, "rest", shared_folder(spark, "staging"))
-    tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
+    tables = read_tables(spark, root, indoor.TABLES)
     rows = tables["indoor_readings"].select("dataMessageGUID", "readingID").join(
         reports._indoor_rows({**tables}, None, None, ("readingID",)), "readingID").drop("readingID")
     return rows.withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))

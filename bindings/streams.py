@@ -17,7 +17,7 @@ from sensorloom.session import shared_folder
 from sensorloom.sources import landing
 from sensorloom.sources.documents import UNREADABLE, read_documents, unwrap
 from sensorloom.sources.schemas import INDOOR_MESSAGE
-from sensorloom.sources.tables import read_table
+from sensorloom.sources.tables import read_table, read_tables
 from sensorloom.streaming import events as event_streams
 from sensorloom.streaming.ingest import ingest
 
@@ -58,7 +58,7 @@ FROM readings
 def stream_ingest(spark, sf_dir):
     """The tables that the stream wrote, joined again to its readings with two of their children."""
     root = _ingested(spark, sf_dir)
-    tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
+    tables = read_tables(spark, root, indoor.TABLES)
     keys = ["readingID", "dataMessageGUID"]
     rows = (
         tables["indoor_readings"]
@@ -80,7 +80,7 @@ ORDER BY "messageDate" DESC
 def stored_day_report(spark, sf_dir):
     """The range report on the stored tables, which are partitioned by day."""
     root = _ingested(spark, sf_dir)
-    tables = {name: read_table(spark, root, spec) for name, spec in indoor.TABLES.items()}
+    tables = read_tables(spark, root, indoor.TABLES)
     report = reports.indoor_report(tables, dt.datetime(2024, 1, 3, 12), dt.datetime(2024, 1, 6))
     return report.withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))
 
@@ -171,6 +171,38 @@ def stream_rejects(spark, sf_dir):
         stored.agg(F.count("*").alias("records")).withColumn("reject_reason", F.lit("accepted")))
 
 
+@query("two_streams_one_store", "SELECT count(*) AS messages, 2 AS streams FROM events")
+def two_streams_one_store(spark, sf_dir):
+    """Two streams with checkpoints of their own fill one store, both with batches from 0 on."""
+    root = shared_folder(spark, "tables")
+    sent = messages(spark, sf_dir)
+    loud = F.col("pendingChange").isNotNull()
+    running = []
+    for part in (sent.filter(loud), sent.filter(~loud)):
+        landed, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
+        _land(part, landed)
+        running.append(_ingest(spark, landed, root, checkpoint))
+    for stream in running:
+        stream.awaitTermination()
+    stored = read_table(spark, root, indoor.TABLES["indoor_readings"])
+    return stored.agg(
+        F.countDistinct("dataMessageGUID").alias("messages"), F.countDistinct("batch").cast("int").alias("streams"))
+
+
+@query("new_checkpoint_same_store", "SELECT count(*) AS messages FROM events")
+def new_checkpoint_same_store(spark, sf_dir):
+    """The landing folder is emptied and the stream starts anew: what the first stream stored stays."""
+    root = shared_folder(spark, "tables")
+    sent = messages(spark, sf_dir)
+    loud = F.col("pendingChange").isNotNull()
+    for part in (sent.filter(loud), sent.filter(~loud)):
+        landed, checkpoint = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
+        _land(part, landed)
+        _ingest(spark, landed, root, checkpoint).awaitTermination()
+    stored = read_table(spark, root, indoor.TABLES["indoor_readings"])
+    return stored.agg(F.countDistinct("dataMessageGUID").alias("messages"))
+
+
 @query("stream_polled", "SELECT count(*) AS messages FROM events")
 def stream_polled(spark, sf_dir):
     """The feed polled on a timer, stopped after its first batch."""

@@ -26,7 +26,8 @@ _READING_REF = ((("readingID", "dataMessageGUID"), "indoor_readings", ("readingI
 def _status(name: str, column: str) -> Table:
     return Table(
         name, f"readingID string, dataMessageGUID string, {column}",
-        required=("readingID", "dataMessageGUID"), references=_READING_REF, day_of="messageDate")
+        required=("readingID", "dataMessageGUID"), references=_READING_REF, one_for=("readingID", "dataMessageGUID"),
+        day_of="messageDate")
 
 
 TABLES = {table.name: table for table in (

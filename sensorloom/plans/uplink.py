@@ -70,14 +70,15 @@ TABLES = {table.name: table for table in (
           max_length={"sender_address": 15, "receiver_name": 40, "receiver_agent": 40},
           references=(_ref("rx_guid", "uplink_rx"),)),
     Table("uplink_datetimes", "rx_guid string, hop_guid string, uplink_guid string, received_at timestamp",
-          required=("received_at",), one_parent_of=("rx_guid", "hop_guid", "uplink_guid"), day_of="received_at",
+          required=("received_at",), one_parent_of=("rx_guid", "hop_guid", "uplink_guid"),
+          one_for=("rx_guid", "hop_guid", "uplink_guid"), day_of="received_at",
           references=(_ref("rx_guid", "uplink_rx"), _ref("hop_guid", "uplink_hops"),
                       _ref("uplink_guid", "uplink_uplinks"))),
     Table("uplink_correlation_ids", "correlation_guid string, rx_guid string, correlation_id string",
           primary_key=("correlation_guid",), required=("correlation_guid", "rx_guid", "correlation_id"),
           references=(_ref("rx_guid", "uplink_rx"),)),
     Table("uplink_tokens", "rx_guid string, gateway_guid string, uplink_token string",
-          required=("rx_guid", "uplink_token"),
+          required=("rx_guid", "uplink_token"), one_for=("rx_guid",),
           references=(_ref("rx_guid", "uplink_rx"), _ref("gateway_guid", "uplink_gateways"))),
     Table("uplink_readings", "uplink_guid string, sensor_guid string, sensor_value string",
           required=("uplink_guid", "sensor_guid"), day_of="uplink_received_at",

@@ -77,6 +77,7 @@ TABLES = {table.name: table for table in (
           "requestGUID string, alarmGUID string, readingGUID string, outputGUID string, lastUpdate timestamp",
           required=("lastUpdate",), day_of="lastUpdate", period="month",
           one_parent_of=("requestGUID", "alarmGUID", "readingGUID", "outputGUID"),
+          one_for=("requestGUID", "alarmGUID", "readingGUID", "outputGUID"),
           references=(_ref("requestGUID", "water_requests"), _ref("alarmGUID", "water_alarms"),
                       _ref("readingGUID", "water_readings"), _ref("outputGUID", "water_outputs"))),
 )}

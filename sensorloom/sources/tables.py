@@ -1,28 +1,38 @@
-"""Parquet tables: reading, appending facts, adding dimension rows, compaction and clean-up.
+"""Parquet tables: loads, dimension rows, withdrawal, compaction and clean-up.
 
-A fact table has one folder per load, ``batch=...``, and inside it one per day where the table is kept by
-day.  A repeated load replaces its own folder as a whole, and a fact that another load has stored
-is not stored again.
+Every change of a store is one commit (:mod:`sensorloom.sources.store`), so loads change all their tables or none.
+
+A fact is stored once, under the load that delivered it first.  When another load delivers it again, that
+delivery is kept too, apart from the table.  A repeated load replaces its own rows: a fact that it no longer
+has goes, unless other loads delivered it; then it stays as the first of them (by name) delivered it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import threading
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.keys import surrogate_key
 from sensorloom.operators.conform import absent_from, first_per_key
 from sensorloom.operators.dedupe import drop_identical, keep_one_per_key
 from sensorloom.sources.schemas import schema_of
+from sensorloom.sources.store import NO_DAY, Conflict, Folder, Store, Version
 
-# Days of one load that are named in the scan of what is stored; more are not worth a filter.
+# Days of one load that are looked up in the store one by one; with more, all folders are read.
 MAX_NAMED_DAYS = 1000
 TABLES_AT_ONCE = 4
+#: How often a load is tried again after another writer has committed first.
+ATTEMPTS = 20
+#: Folders of at least so many bytes are not compacted any further.
+FULL_FOLDER = 512 << 20
+#: Folders of one day whose sizes lie within a factor ``TIER`` are put together when there are ``TIER`` of them.
+TIER = 4
 
 SEEN = ("_seen_at", "_seen_id")  # order in which a dimension's rows arrived
 
@@ -34,7 +44,8 @@ class Table:
     ``natural_key`` makes it a dimension.  ``generated_id`` is its computed id column, if its
     natural key is not its id.  ``day_of`` is the column, of the table or only of the frames that
     are loaded, whose day a fact table is partitioned by; with ``period="month"`` a folder is named by
-    the first day of its month, for feeds with few rows a day.
+    the first day of its month, for feeds with few rows a day.  ``one_for`` names the columns of the parent
+    of a table without a key that has at most one row for each parent.
     """
 
     name: str
@@ -46,6 +57,7 @@ class Table:
     max_length: Mapping[str, int] = field(default_factory=dict)
     references: tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...] = ()
     one_parent_of: tuple[str, ...] = ()
+    one_for: tuple[str, ...] = ()
     day_of: str | None = None
     period: str = "day"
 
@@ -60,35 +72,51 @@ class Table:
     @property
     def row_key(self) -> list[str]:
         """Columns that tell facts apart: ids are computed, so equal rows are copies."""
-        return list(self.primary_key or self.schema.names)
+        return list(self.primary_key or self.one_for or self.schema.names)
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        """Facts are stored with their load, and their day if the table is kept by day."""
+        schema = T.StructType(list(self.schema.fields))
+        if not self.is_dimension:
+            schema.add("batch", T.StringType())
+            if self.day_of:
+                schema.add("day", T.DateType())
+        return schema
 
     @property
     def is_dimension(self) -> bool:
         return bool(self.natural_key)
 
 
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
+def read_folders(store: Store, table: Table, folders: Sequence[Folder]) -> DataFrame:
+    """The rows of some folders of a table."""
+    schema = table.stored_schema
+    if not folders:
+        return store.spark.createDataFrame([], schema)
+    top = f"{store.root}/{table.name}"
+    paths = [folder.path(store.root, table.name) for folder in folders]
+    return store.spark.read.schema(schema).option("basePath", top).parquet(*paths).select(*schema.names)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """The table as of the latest commit, or an empty frame while nothing has been written."""
+    return read_tables(spark, root, {table.name: table})[table.name]
 
 
-def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The table, or an empty frame while nothing has been written."""
-    schema = table.schema
-    if not table.is_dimension:
-        schema = schema.add("batch", T.StringType())
-        if table.day_of:
-            schema = schema.add("day", T.DateType())
-    try:
-        return spark.read.schema(schema).parquet(table_path(root, table.name))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_tables(spark: SparkSession, root: str, tables: Mapping[str, Table]) -> dict[str, DataFrame]:
+    """Some tables of a store, all as of one commit."""
+    store = Store(spark, root)
+    version = store.latest()
+    return {
+        name: read_folders(store, table, [f for f in store.folders(version, table.name) if f.kept])
+        for name, table in tables.items()}
+
+
+def read_repeats(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """Deliveries of facts that another load had stored already, one row for each fact and load."""
+    store = Store(spark, root)
+    return read_folders(store, table, [f for f in store.folders(store.latest(), table.name) if not f.kept])
 
 
 def dimension_rows(batch: DataFrame, table: Table) -> DataFrame:
@@ -105,125 +133,296 @@ def dimension_rows(batch: DataFrame, table: Table) -> DataFrame:
     return rows.select(*table.schema.names)
 
 
-def add_dimension_rows(batch: DataFrame, root: str, table: Table) -> None:
-    """Append the rows whose natural key is new.  Repeating it adds nothing.
+def _fill(rows: DataFrame, store: Store, table: Table, loads: set[str] | None) -> list[Folder]:
+    """Write rows with a column ``kept`` to a fresh folder.
 
-    Known keys leave before the rows are reduced: on a running system these are almost all rows.
+    Rows of a table kept by day are spread by day before the write, with large days split, so tasks
+    neither write into every day's folder nor wait for one huge day.  Other tables are written
+    without a shuffle of their own.
     """
-    existing = read_table(batch.sparkSession, root, table)
-    rows = dimension_rows(absent_from(batch, existing, table.natural_key), table).persist()
-    try:
-        if not rows.isEmpty():
-            rows.hint("rebalance").write.mode("append").parquet(table_path(root, table.name))
-    finally:
-        rows.unpersist()
+    write = store.new_write()
+    parts = ["kept", *(["day"] if table.day_of else [])]
+    spread = rows.hint("rebalance", *parts) if table.day_of else rows
+    spread.write.mode("errorifexists").partitionBy(*parts).parquet(f"{store.root}/{table.name}/write={write}")
+    return store.written(table.name, write, loads)
 
 
-def new_facts(rows: DataFrame, root: str, table: Table, batch: str) -> DataFrame:
-    """Rows of a load once each, without those that another load has stored.
+def _with_dimension_rows(batch: DataFrame, store: Store, version: Version, table: Table) -> list[Folder]:
+    """The dimension's folders with the rows whose natural key is new.  Repeating it adds nothing.
 
-    A stored copy is looked for in the folder of the row's own day: what is delivered again has its day again.
+    Known keys leave before the rows are reduced: on a running system these are almost all rows.
     """
-    once = drop_identical(rows, table.primary_key or None)
-    keys = list(table.row_key)
-    stored = read_table(rows.sparkSession, root, table).filter(F.col("batch") != batch)
-    if table.day_of:
-        keys.append("day")
-        days = [row["day"] for row in rows.select("day").distinct().limit(MAX_NAMED_DAYS + 1).collect()]
-        if len(days) <= MAX_NAMED_DAYS:
-            stored = stored.filter(F.col("day").isin(days) | F.lit(None in days) & F.col("day").isNull())
-    return absent_from(once, stored, keys)
+    folders = store.folders(version, table.name)
+    rows = absent_from(batch, read_folders(store, table, folders), table.natural_key) if folders else batch
+    new = dimension_rows(rows, table).withColumn("kept", F.lit(True)).hint("rebalance")
+    return folders + _fill(new, store, table, None)
 
 
-def write_facts(rows: DataFrame, root: str, table: Table, batch: str) -> None:
-    """Write the rows of one load that are not stored yet.  Repeating a load replaces its own rows and no others.
+def _of_days(folders: Iterable[Folder], days: Sequence | None) -> list[Folder]:
+    if days is None:
+        return list(folders)
+    names = {NO_DAY if day is None else str(day) for day in days}
+    return [folder for folder in folders if folder.day in names]
 
-    Rows of a table kept by day are spread by day before the write, with large days split, so tasks
-    neither write into every day's folder nor wait for one huge day.  Other tables are written
-    without a shuffle of their own.
-    """
+
+def _days_of(rows: DataFrame) -> list | None:
+    """The days of the rows, ``None`` if they are too many to be named."""
+    days = [row["day"] for row in rows.select("day").distinct().limit(MAX_NAMED_DAYS + 1).collect()]
+    return days if len(days) <= MAX_NAMED_DAYS else None
+
+
+def _dated(rows: DataFrame, table: Table) -> DataFrame:
     names = table.schema.names
     if table.day_of:
         rows = rows.withColumn("day", F.to_date(F.date_trunc(table.period, table.day_of)))
         names = [*names, "day"]
-    out = new_facts(rows.select(*names), root, table, batch)
-    folder = f"{table_path(root, table.name)}/batch={batch}"
-    if table.day_of:
-        out.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(folder)
-    else:
-        out.write.mode("overwrite").parquet(folder)
+    return rows.select(*names)
+
+
+def _same(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(key).eqNullSafe(F.col(f"{prefix}{key}")) for key in keys]
+
+
+def _judged(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with ``kept``: false for those that another load has stored.  One join; stored facts are there once."""
+    known = stored.select(*[F.col(key).alias(f"_known_{key}") for key in keys], F.lit(True).alias("_known"))
+    joined = rows.join(known, _same(keys, "_known_"), "left")
+    return joined.select(*rows.columns, F.col("_known").isNull().alias("kept"))
+
 
+def _holding(store: Store, table: Table, folders: Sequence[Folder], load: str) -> list[Folder]:
+    """Of folders that may hold rows of a load those that do; Parquet statistics answer for most files."""
+    sure = [folder for folder in folders if folder.loads is not None and folder.may_hold(load)]
+    open_ = [folder for folder in folders if folder.loads is None]
+    if not open_:
+        return sure
+    top = f"{store.root}/{table.name}"
+    schema = T.StructType([T.StructField("batch", T.StringType())])
+    for part in ("write", "kept", "day"):
+        schema.add(part, T.StringType())
+    rows = store.spark.read.schema(schema).option("basePath", top).parquet(*[f.path(store.root, table.name) for f in open_])
+    day = [F.col("day")] if table.day_of else [F.lit(None).alias("day")]
+    found = {
+        (row["write"], row["kept"] == "true", None if not table.day_of else row["day"] or NO_DAY)
+        for row in rows.filter(F.col("batch") == load).select("write", "kept", *day).distinct().collect()}
+    return sure + [folder for folder in open_ if (folder.write, folder.kept, folder.day) in found]
 
-def _in_thread(function: Callable[[str], None], frame: DataFrame) -> Callable[[str], None]:
+
+def _loads_of(folders: Iterable[Folder], *more: str) -> set[str] | None:
+    """The loads that some folders name, and some more; ``None`` if one of the folders may hold any."""
+    folders = list(folders)
+    return None if any(f.loads is None for f in folders) else {*more, *(load for f in folders for load in f.loads)}
+
+
+def _with_load(rows: DataFrame, store: Store, version: Version, table: Table, load: str) -> list[Folder]:
+    """The table's folders with the rows of a load in the place of those that the load had delivered before.
+
+    A stored copy is looked for in the folders of the row's own day: what is delivered again has its day again.
+    Folders of other loads are not written again, unless compaction has put rows of this load among theirs.
+    """
+    folders = store.folders(version, table.name)
+    keys = [*table.row_key, *(["day"] if table.day_of else [])]
+    once = drop_identical(_dated(rows, table), table.primary_key or table.one_for or None)
+    delivered = once.withColumn("batch", F.lit(load))
+    columns = table.stored_schema.names
+    if not folders:
+        return _fill(delivered.select(*columns, F.lit(True).alias("kept")), store, table, {load})
+    own = _holding(store, table, folders, load)
+    days = _days_of(once) if table.day_of else None
+    others = read_folders(store, table, _of_days([f for f in folders if f.kept and f.loads != (load,)], days))
+    parts = [_judged(delivered, others.filter(F.col("batch") != load), keys).select(*columns, "kept")]
+    moved: list[Folder] = []  # folders with rows of other loads that are written again
+    if own:
+        # Facts that this load held and no longer delivers go to the first other load that delivered them.
+        held = read_folders(store, table, [f for f in own if f.kept]).filter(F.col("batch") == load)
+        gone = absent_from(held.select(*keys), once, keys)
+        own_days = [None if f.day == NO_DAY else f.day for f in own] if table.day_of else None
+        again = [f for f in _of_days(folders, own_days) if not f.kept and f.loads != (load,)]
+        if again:
+            repeats = read_folders(store, table, again).filter(F.col("batch") != load)
+            left = repeats.join(
+                gone.select(*[F.col(key).alias(f"_gone_{key}") for key in keys]), _same(keys, "_gone_"), "left_semi")
+            parts.append(keep_one_per_key(left, keys, ["batch"]).withColumn("kept", F.lit(True)))
+            moved += again
+        mixed = [f for f in own if f.loads != (load,)]
+        for kept in {folder.kept for folder in mixed}:
+            rest = read_folders(store, table, [f for f in mixed if f.kept == kept]).filter(F.col("batch") != load)
+            parts.append(rest.withColumn("kept", F.lit(kept)))
+        moved += mixed
+    new = _fill(reduce(DataFrame.unionByName, parts), store, table, _loads_of(moved, load))
+    return [folder for folder in folders if folder not in own] + new
+
+
+def _in_thread(function: Callable[[str], None], spark: SparkSession) -> Callable[[str], None]:
     """The function for another thread, which gets the job properties of this one."""
-    return inheritable_thread_target(frame.sparkSession)(function)
+    return inheritable_thread_target(spark)(function)
 
 
-def load_tables(frames: Mapping[str, DataFrame], tables: Mapping[str, Table], root: str, batch: str) -> None:
-    """Write one load of a feed: dimensions first, then facts, a few tables at a time."""
-    def write(name: str) -> None:
-        if tables[name].is_dimension:
-            add_dimension_rows(frames[name], root, tables[name])
-        else:
-            write_facts(frames[name], root, tables[name], batch)
+def _change(
+    store: Store, tables: Mapping[str, Table], names: Sequence[str],
+    changed: Callable[[Version, Table], list[Folder]], streams: Mapping[str, int] | None = None, together: bool = False,
+) -> Version:
+    """Commit the changed folders of some tables as one.
 
-    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        for dimensions in (True, False):
-            names = [name for name in frames if tables[name].is_dimension == dimensions]
-            for done in [pool.submit(_in_thread(write, frames[name]), name) for name in names]:
+    When another writer commits first, the tables that it has changed are computed again, with ``together`` all
+    of them if it has changed any.
+    """
+    computed: dict[str, tuple[str | None, list[Folder]]] = {}
+    for _ in range(ATTEMPTS):
+        base = store.latest()
+        if any(base.streams.get(stream, -1) >= batch for stream, batch in (streams or {}).items()):
+            return base
+
+        def compute(name: str, base: Version = base) -> None:
+            computed[name] = base.lists.get(name), changed(base, tables[name])
+
+        stale = [name for name in names if name not in computed or computed[name][0] != base.lists.get(name)]
+        stale = list(names) if together and stale else stale
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+            for done in [pool.submit(_in_thread(compute, store.spark), name) for name in stale]:
                 done.result()
+        try:
+            return store.commit(base, {name: folders for name, (_, folders) in computed.items()}, streams)
+        except Conflict:
+            continue
+    raise Conflict(f"{ATTEMPTS} other commits came first")
+
+
+def load_tables(
+    frames: Mapping[str, DataFrame], tables: Mapping[str, Table], root: str, batch: str,
+    streams: Mapping[str, int] | None = None,
+) -> None:
+    """Write one load of a feed, a few tables at a time, and commit it as a whole.
+
+    ``streams`` names the stream's batch that the load is; a batch that has been committed is left as it is.
+    """
+    store = Store(next(iter(frames.values())).sparkSession, root)
+
+    def changed(version: Version, table: Table) -> list[Folder]:
+        if table.is_dimension:
+            return _with_dimension_rows(frames[table.name], store, version, table)
+        return _with_load(frames[table.name], store, version, table, batch)
+
+    _change(store, tables, list(frames), changed, streams)
+
+
+def load_table(rows: DataFrame, root: str, table: Table, batch: str) -> None:
+    """Write one load of a single table."""
+    load_tables({table.name: rows}, {table.name: table}, root, batch)
+
+
+def withdraw(spark: SparkSession, root: str, tables: Mapping[str, Table], batch: str) -> None:
+    """Take back a load: its facts go, those that other loads delivered too stay under the first of them.
+
+    Dimension rows stay: later loads may use them.
+    """
+    store = Store(spark, root)
+
+    def changed(version: Version, table: Table) -> list[Folder]:
+        folders = store.folders(version, table.name)
+        if not any(folder.may_hold(batch) for folder in folders):
+            return folders
+        nothing = T.StructType(list(table.schema.fields))
+        if table.day_of and table.day_of not in nothing.names:
+            nothing.add(table.day_of, T.TimestampType())
+        return _with_load(spark.createDataFrame([], nothing), store, version, table, batch)
+
+    _change(store, tables, [name for name, table in tables.items() if not table.is_dimension], changed)
 
 
 def batches_of(spark: SparkSession, root: str, table: Table) -> list[str]:
-    """Names of the stored loads."""
+    """Names of the loads that hold facts of the table."""
     return sorted(row["batch"] for row in read_table(spark, root, table).select("batch").distinct().collect())
 
 
-def _replace(rows: DataFrame, root: str, table: Table, batches: list[str], into: str, staging: str) -> None:
-    """Put the rows in the place of some loads, as one load."""
-    spark = rows.sparkSession
-    rows = rows.drop("batch")
-    by_day = rows.hint("rebalance", "day").write.partitionBy("day") if table.day_of else rows.write
-    by_day.mode("overwrite").parquet(staging)
-    path = table_path(root, table.name)
-    for batch in batches:
-        _delete(spark, f"{path}/batch={batch}")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(folder)
-    files.rename(spark._jvm.org.apache.hadoop.fs.Path(staging), spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={into}"))
+def _tier(size: int) -> int:
+    """Sizes of one tier lie within a factor ``TIER``; everything up to a megabyte is one."""
+    tier = 0
+    while size > (1 << 20) * TIER ** tier:
+        tier += 1
+    return tier
+
 
+def _crowded(folders: Sequence[Folder], least: int) -> list[Folder]:
+    """Folders to be put together: of each day, and apart for repeats, tiers with enough folders."""
+    tiers: dict[tuple, list[Folder]] = {}
+    for folder in folders:
+        if folder.size < FULL_FOLDER:
+            tiers.setdefault((folder.kept, folder.day, _tier(folder.size)), []).append(folder)
+    return [folder for group in tiers.values() if len(group) >= least for folder in group]
 
-def compact(spark: SparkSession, root: str, table: Table, into: str, staging: str) -> None:
-    """Put all stored loads of a fact table together as the load ``into``, a few files for each day.
 
-    For loads that are final: a later repeat of one adds what is missing and can take nothing away.
-    ``staging`` is a new folder on the same file system.  One writer per table is assumed.
+def compact(spark: SparkSession, root: str, table: Table, least: int = TIER) -> int:
+    """Put small folders of a table together, by day and size; returns how many.
+
+    Size tiers keep the work in bounds: a row is written again once for each tier, so a number of times that grows
+    with the logarithm of its folder's size.  Rows keep their load, which can still be replaced or withdrawn.
     """
-    batches = batches_of(spark, root, table)
-    _replace(read_table(spark, root, table), root, table, batches, into, staging)
+    store = Store(spark, root)
+    merged: list[Folder] = []
+
+    def changed(version: Version, table: Table) -> list[Folder]:
+        folders = store.folders(version, table.name)
+        merged[:] = _crowded(folders, least)
+        if not merged:
+            return folders
+        parts = [
+            read_folders(store, table, some).withColumn("kept", F.lit(kept))
+            for kept in (True, False) if (some := [f for f in merged if f.kept == kept])]
+        chosen = set(merged)
+        return [f for f in folders if f not in chosen] + _fill(
+            reduce(DataFrame.unionByName, parts), store, table, _loads_of(merged))
+
+    _change(store, {table.name: table}, [table.name], changed)
+    return len(merged)
 
 
 def remove_duplicates(
     spark: SparkSession, root: str, table: Table, business_key: tuple[str, ...], tie_break: tuple[str, ...],
-    children: Mapping[str, tuple[Table, tuple[str, ...]]], into: str, staging: str,
+    children: Mapping[str, tuple[Table, tuple[str, ...]]],
 ) -> None:
     """Delete stored copies, rows with one business key, and what hangs below the deleted rows.
 
     For tables with rows whose ids are not computed, as another system may have left them.  The first row by
-    ``tie_break`` stays.  ``children`` maps names to (table, columns that refer to ``tie_break``).  A table
-    without copies is left untouched.
+    ``tie_break`` stays.  ``children`` maps names to (table, columns that refer to ``tie_break``); a child lies in
+    the day of its parent.  Only the folders of days that hold copies are written again, and the parent and its
+    children change in one commit.  A table without copies is left untouched.
     """
-    stored = read_table(spark, root, table)
-    kept = keep_one_per_key(stored, business_key, [*tie_break, "batch"])
-    batches = batches_of(spark, root, table)
-    before, after = stored.count(), kept.count()
-    if before == after:
-        return
-    _replace(kept, root, table, batches, into, f"{staging}/{table.name}")
-    survivors = read_table(spark, root, table).select(*tie_break).distinct()
-    for name, (child, columns) in children.items():
-        rows = read_table(spark, root, child)
-        renamed = survivors.select(*[F.col(a).alias(b) for a, b in zip(tie_break, columns)])
-        kept = drop_identical(rows, child.row_key).join(renamed, list(columns), "left_semi").select(*rows.columns)
-        _replace(kept, root, child, batches_of(spark, root, child), into, f"{staging}/{name}")
+    store = Store(spark, root)
+    specs = {table.name: table, **{child.name: child for child, _ in children.values()}}
+    refers = {child.name: columns for child, columns in children.values()}
+    day = ["day"] if table.day_of else []
+    found: dict[int, DataFrame] = {}
+    finding = threading.Lock()
+
+    def surplus(version: Version) -> DataFrame:
+        """Id and day of the rows to be deleted, written once and kept as a record below the store."""
+        with finding:
+            if version.number not in found:
+                rows = read_folders(store, table, [f for f in store.folders(version, table.name) if f.kept])
+                renamed = [F.col(key).alias(f"_copy_{key}") for key in business_key]
+                first = rows.groupBy(*business_key).agg(
+                    F.count("*").alias("_copies"), *[F.min(F.struct(*tie_break)).alias("_first")])
+                crowd = rows.join(
+                    first.filter("_copies > 1").select(*renamed, "_first"), _same(business_key, "_copy_"))
+                lost = crowd.filter(~F.col("_first").eqNullSafe(F.struct(*tie_break))).select(*tie_break, *day)
+                path = f"{store.root}/_deleted/{table.name}-{store.new_write()}"
+                lost.write.parquet(path)
+                found[version.number] = spark.read.schema(lost.schema).parquet(path)
+            return found[version.number]
+
+    def changed(version: Version, spec: Table) -> list[Folder]:
+        folders = store.folders(version, spec.name)
+        deleted = surplus(version)
+        if deleted.isEmpty():
+            return folders
+        columns = refers.get(spec.name, tie_break)
+        aligned = bool(table.day_of and spec.day_of) and spec.period == table.period
+        touched = _of_days([f for f in folders if f.kept], _days_of(deleted) if aligned else None)
+        lost = deleted.select(*[F.col(key).alias(f"_lost_{name}") for key, name in zip(tie_break, columns)])
+        left = read_folders(store, spec, touched).join(lost, _same(columns, "_lost_"), "left_anti")
+        chosen = set(touched)
+        return [f for f in folders if f not in chosen] + _fill(
+            left.withColumn("kept", F.lit(True)), store, spec, _loads_of(touched))
+
+    _change(store, specs, list(specs), changed, together=True)

@@ -11,7 +11,7 @@ from bindings.stored import _water
 from sensorloom.functions.temporal import seconds_of
 from sensorloom.operators import filters
 from sensorloom.plans import indoor, reports
-from sensorloom.sources.tables import add_dimension_rows, dimension_rows
+from sensorloom.sources.tables import load_tables, read_table, dimension_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,9 +30,9 @@ def test_dimensions_without_attributes_are_hashed(spark):
 def test_known_keys_leave_before_the_rows_are_reduced(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", 1, 1, 1), (2, "b", 1, 1, 1)], "n int, sensorName string, applicationID int, networkID int, x int")
     spec = indoor.TABLES["indoor_sensors"]
-    add_dimension_rows(rows.filter("n = 1"), str(tmp_path), spec)
-    add_dimension_rows(rows.withColumn("networkID", F.lit(9)), str(tmp_path), spec)
-    stored = spark.read.parquet(f"{tmp_path}/indoor_sensors")
+    for load, part in (("one", rows.filter("n = 1")), ("two", rows.withColumn("networkID", F.lit(9)))):
+        load_tables({spec.name: part}, {spec.name: spec}, str(tmp_path), load)
+    stored = read_table(spark, str(tmp_path), spec)
     assert sorted((row["sensorName"], row["networkID"]) for row in stored.collect()) == [("a", 1), ("b", 9)]
 
 

@@ -9,31 +9,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sensorloom.functions.keys import surrogate_key
 
+#: Types that a hash aggregate can keep the least value of.
+FIXED_WIDTH = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], attributes: Sequence[str] = (), order_by: Sequence[str] = ()
 ) -> DataFrame:
     """Distinct natural keys with the attributes of their earliest row.
 
-    An aggregate rather than a window: each task first reduces its rows to one per key, so a key
-    that holds most of the rows costs one row per task in the shuffle.  Equal order values are
-    resolved by the smallest attributes; NULL order values come last.
+    A hash aggregate of the first order column, if it has a fixed width, first finds the earliest instant of each
+    key; only the rows of that instant are sorted.  In that, each task keeps one row per key before the
+    shuffle, so a key that holds most of the rows costs one row per task.  Equal order values are resolved
+    by the smallest attributes; NULL order values come last.
     """
     if not attributes:
         return df.select(*keys).distinct()
-    order = [part for name in order_by for part in (F.col(name).isNull(), F.col(name))]
-    ranked = F.struct(
-        *[column.alias(f"o{index}") for index, column in enumerate(order)],
-        *[F.col(name).alias(f"a{index}") for index, name in enumerate(attributes)],
-    )
-    return (
-        df.groupBy(*keys).agg(F.min(ranked).alias("_first"))
-        .select(*keys, *[F.col(f"_first.a{index}").alias(name) for index, name in enumerate(attributes)])
-    )
+    rows = df.select(*dict.fromkeys([*keys, *attributes, *order_by]))
+    if order_by and isinstance(df.schema[order_by[0]].dataType, FIXED_WIDTH):
+        rows = _earliest(rows, keys, order_by[0])
+    order = [*[F.col(name).asc_nulls_last() for name in order_by], *attributes]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("_rank", rank).filter("_rank = 1").select(*keys, *attributes)
+
+
+def _earliest(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+    """The rows at the smallest value of each key."""
+    first = df.groupBy(*keys).agg(F.min(at).alias("_first_at")).select(
+        *[F.col(key).alias(f"_first_{index}") for index, key in enumerate(keys)], "_first_at")
+    same = [F.col(key).eqNullSafe(F.col(f"_first_{index}")) for index, key in enumerate(keys)]
+    return df.join(first, [*same, F.col(at).eqNullSafe(F.col("_first_at"))], "left_semi")
 
 
 def absent_from(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

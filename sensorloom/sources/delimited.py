@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from sensorloom.functions.temporal import lenient_day_first
 from sensorloom.functions.text import remove_quotes
 from sensorloom.operators.clean import REJECT, split_rejects, with_reject_reason
-from sensorloom.operators.filters import drop_null_keys
 
 LOGGER_SEPARATOR = ";"
 DATE_COLUMN = "DATE"
@@ -51,25 +50,39 @@ def read_logger_lines(spark: SparkSession, path: str) -> DataFrame:
     the header of its own file; the headers are one row per file.  Lines of files without a header, or
     with different ones, are in :func:`read_logger_rejects`.
     """
-    lines = _logger_lines(spark, path)
-    return _with_header(lines)[0]
+    return _with_header(_logger_lines(spark, path), _headers(spark, path))[0]
 
 
-def _with_header(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, another header of the file).  Only lines with both names are cut into cells."""
+    both = F.contains(F.col("value"), F.lit(DATE_COLUMN)) & F.contains(F.col("value"), F.lit(TIME_COLUMN))
+    lines = spark.read.text(path).filter(both).select(
+        F.col("_metadata.file_path").alias("file"), _cells("value").alias("cells"))
+    return lines.filter(_is_header()).groupBy("file").agg(F.min("cells").alias("header"), F.max("cells").alias("_other"))
+
+
+def _is_header() -> Column:
+    return F.array_contains("cells", DATE_COLUMN) & F.array_contains("cells", TIME_COLUMN)
+
+
+def _with_header(lines: DataFrame, headers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines with the header of their file, and the lines of files without exactly one, with a reason."""
-    is_header = F.array_contains("cells", DATE_COLUMN) & F.array_contains("cells", TIME_COLUMN)
-    headers = lines.filter(is_header).groupBy("file").agg(
-        F.min("cells").alias("header"), F.max("cells").alias("_other"))
-    rows = lines.filter(~is_header).join(headers, "file", "left")
+    rows = lines.filter(~_is_header()).join(headers, "file", "left")
     return split_rejects(with_reject_reason(rows, {
         "no header with date and time": F.col("header").isNull(),
         "several headers in one file": F.col("header") != F.col("_other"),
     }).drop("_other"))
 
 
+def _stamped(lines: DataFrame) -> DataFrame:
+    """Lines with a readable date, each parsed once: a filter of its own would parse it again."""
+    parsed = lenient_day_first(_cell(DATE_COLUMN), _cell(TIME_COLUMN))
+    return lines.select("*", F.explode(F.array_compact(F.array(parsed))).alias("date_time"))
+
+
 def read_logger_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(file, cells, reject_reason) of the lines that the other readers leave out."""
-    accepted, rejected = _with_header(_logger_lines(spark, path))
+    accepted, rejected = _with_header(_logger_lines(spark, path), _headers(spark, path))
     dated = accepted.withColumn("date_time", lenient_day_first(_cell(DATE_COLUMN), _cell(TIME_COLUMN)))
     undated = split_rejects(with_reject_reason(dated, {"unreadable date": F.col("date_time").isNull()}))[1]
     columns = ["file", "cells", REJECT]
@@ -78,10 +91,7 @@ def read_logger_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 def read_logger_long(spark: SparkSession, path: str) -> DataFrame:
     """(date_time, channel, value): one row per cell; rows with an unreadable date are dropped."""
-    stamped = drop_null_keys(
-        read_logger_lines(spark, path)
-        .withColumn("date_time", lenient_day_first(_cell(DATE_COLUMN), _cell(TIME_COLUMN))),
-        ["date_time"])
+    stamped = _stamped(read_logger_lines(spark, path))
     pairs = F.arrays_zip(F.col("header").alias("channel"), F.col("cells").alias("value"))
     return (
         stamped.select("date_time", F.explode(pairs).alias("_pair"))
@@ -93,12 +103,8 @@ def read_logger_long(spark: SparkSession, path: str) -> DataFrame:
 
 def read_logger_wide(spark: SparkSession, path: str, channels: Sequence[str]) -> DataFrame:
     """One row per line with a column per listed channel; a channel that the file lacks is NULL."""
-    lines = read_logger_lines(spark, path)
-    wide = lines.select(
-        lenient_day_first(_cell(DATE_COLUMN), _cell(TIME_COLUMN)).alias("date_time"),
-        *[_cell(name).try_cast("double").alias(name) for name in channels],
-    )
-    return drop_null_keys(wide, ["date_time"])
+    return _stamped(read_logger_lines(spark, path)).select(
+        "date_time", *[_cell(name).try_cast("double").alias(name) for name in channels])
 
 
 def read_logger_layout(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

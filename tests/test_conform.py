@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from sensorloom.functions.keys import surrogate_key
 from sensorloom.operators import conform, dedupe, joins
 from sensorloom.operators.metrics import counted
 from sensorloom.operators.quality import ID_PATTERN
+from test_plans import plan_of as plan_text
 
 
 def test_keys_are_stable_and_keep_null_apart(spark):
@@ -93,3 +95,43 @@ def test_counting_needs_no_extra_pass(spark):
     frame, observation = counted(spark.range(7).toDF("id"))
     frame.write.format("noop").mode("overwrite").save()
     assert observation.get["rows"] == 7
+
+
+def test_like_lookup_on_many_texts(spark, monkeypatch):
+    """Random names and patterns, frequent pieces in small cells; no name is cut into pieces of every asked length."""
+    monkeypatch.setattr(joins._like_by_grams, "__defaults__", (7,))
+    rng = random.Random(3)
+    names = sorted({"".join(rng.choices("ab ", k=rng.randint(1, 9))) + "PM" for _ in range(150)})
+    patterns = sorted({"".join(rng.choices("ab%_ ", k=rng.randint(1, 7))) for _ in range(150)} | {f"%{n % 7 * 'a'}PM%_" for n in range(40)} | {"%PM%"})
+    frame = joins.like_lookup(
+        spark.createDataFrame([(p,) for p in patterns], "pattern string"),
+        spark.createDataFrame([(n,) for n in names], "name string"), "pattern", "name")
+
+    def matches(pattern, name):
+        return re.fullmatch(
+            "".join({"%": ".*", "_": "."}.get(ch, re.escape(ch)) for ch in pattern), name, re.S) is not None
+
+    wanted = {p: min((n for n in names if matches(p, n)), default=None) for p in patterns}
+    assert {row.pattern: row.name for row in frame.collect()} == {p: n for p, n in wanted.items() if n is not None}
+
+
+def test_index_rows_stay_within_their_bound(spark):
+    """10,000 patterns with one piece in common: index rows are bounded by the names' characters, pairs are checked in the join."""
+    names = spark.range(500).select(F.concat(F.lit("shared "), F.col("id").cast("string"), F.lit(" tail")).alias("name"))
+    patterns = spark.range(10_000).select(F.concat(F.lit("%shared_"), F.col("id").cast("string"), F.lit("%l")).alias("pattern"))
+    frame = joins.like_lookup(patterns, names, "pattern", "name")
+    found = {row.pattern: row.name for row in frame.collect()}
+    assert found["%shared_49%l"] == "shared 49 tail" and found["%shared_4%l"] == "shared 4 tail" and "%shared_500%l" not in found
+    assert "Cartesian" not in plan_text(frame) and "NestedLoop" not in plan_text(frame)
+
+
+def test_lookups_and_first_rows_are_planned_by_hash(spark):
+    lookup = spark.createDataFrame([(1, "b"), (1, "a")] * 3, "k int, v string")
+    seen = spark.createDataFrame(
+        [("x", 2, "late", 1), ("x", 1, "b", 1), ("x", 1, "a", 2), ("x", None, "never", 0), ("y", None, "n", 0), (None, 3, "o", 0)],
+        "k string, at int, v string, id int")
+    first = conform.first_per_key(seen, ["k"], ["v"], ["at", "id"])
+    assert {row.k: row.v for row in first.collect()} == {"x": "b", "y": "n", None: "o"}
+    assert [tuple(row) for row in joins.unique_lookup(lookup, ["k"], ["v"]).collect()] == [(1, "a")]
+    for frame in (first, joins.unique_lookup(lookup, ["k"], ["v"])):
+        assert "SortAggregate" not in plan_text(frame) and "HashAggregate" in plan_text(frame)

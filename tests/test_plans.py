@@ -11,6 +11,7 @@ from bindings.stored import _water
 from sensorloom.functions.temporal import seconds_of
 from sensorloom.operators import filters
 from sensorloom.plans import indoor, reports
+from sensorloom.sources import delimited
 from sensorloom.sources.tables import load_tables, read_table, dimension_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -64,3 +65,21 @@ def test_ranges_may_be_open(spark):
     assert filters.between_exclusive(frame, "id", 1, None).count() == 3
     assert filters.between_exclusive(frame, "id", None, 1).count() == 1
     assert filters.between_exclusive(frame, "id", None, None).count() == 5
+
+
+def test_logger_files_compile_and_are_cut_into_cells_once(spark, tmp_path):
+    """The stage compiles (no fallback to interpretation), and the headers' scan keeps only lines with both names."""
+    folder = tmp_path / "logger"
+    folder.mkdir()
+    (folder / "a.csv").write_text('"DATE";"TIME";"CH1"\n"1/2/2024";"10:00";"1.5"\n31/02/2024;1:00;2\n')
+    (folder / "b.csv").write_text("TIME;DATE;CH2\n10:00:01.5;2024-02-01;7\n")
+    for name, value in (("spark.sql.codegen.wholeStage", "true"), ("spark.sql.codegen.fallback", "false")):
+        spark.conf.set(name, value)
+    try:
+        rows = delimited.read_logger_long(spark, str(folder))
+        found = sorted((str(r["date_time"]), r["channel"], r["value"]) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+        spark.conf.unset("spark.sql.codegen.fallback")
+    assert found == [("2024-02-01 10:00:00", "CH1", "1.5"), ("2024-02-01 10:00:01.500000", "CH2", "7")]
+    assert plan_of(rows).split("Initial Plan")[0].count("gettimestamp(") == 1

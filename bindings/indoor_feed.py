@@ -141,6 +141,17 @@ def indoor_constraints(spark, sf_dir):
     return checks.constraint_report(stored_indoor(spark, sf_dir), indoor.TABLES)
 
 
+@query("load_constraints", constraints_sql(ROWS_SQL, indoor.TABLES, {
+    name: sql if indoor.TABLES[name].is_dimension else f'{sql} WHERE "pendingChange" IS NOT NULL' for name, sql in _TABLE_SQL.items()}))
+def load_constraints(spark, sf_dir):
+    """Constraints of the second of two loads, of which only its own folders are judged."""
+    root, staging = shared_folder(spark, "tables"), shared_folder(spark, "staging")
+    sent = landed_messages(spark, sf_dir)
+    for load, condition in (("plain", "pendingChange IS NULL"), ("flagged", "pendingChange IS NOT NULL")):
+        load_batch(sent.filter(condition), partial(indoor.prepare, settings=SETTINGS), indoor.tables, indoor.TABLES, root, load, staging)
+    return checks.load_constraint_report(spark, root, indoor.TABLES, "flagged")
+
+
 @query("indoor_load", f"""
 WITH {ROWS_SQL}
 SELECT count(*) AS readings, count(DISTINCT "sensorName") AS sensors, count(*) AS voltages

@@ -19,6 +19,7 @@ from sensorloom.sources.documents import UNREADABLE, read_documents, unwrap
 from sensorloom.sources.schemas import INDOOR_MESSAGE
 from sensorloom.sources.tables import read_table, read_tables
 from sensorloom.streaming import events as event_streams
+from sensorloom.streaming.bins import Bins, merge_bins, read_bins, stream_bins
 from sensorloom.streaming.ingest import ingest
 
 _ENVELOPE = T.StructType([T.StructField("sensorMessages", T.ArrayType(INDOOR_MESSAGE))])
@@ -148,6 +149,26 @@ def stream_resample_complete(spark, sf_dir):
     return bins.withColumn("value", F.round("value", 6))
 
 
+@query("stream_bins_with_late_rows", """
+SELECT event_type, time_bucket(INTERVAL '10 minutes', ts) AS ts, round(avg(value), 6) AS value FROM events GROUP BY 1, 2
+""")
+def stream_bins_with_late_rows(spark, sf_dir):
+    """Three drops, each over all of the time, so most rows of the later ones are late; all bins are whole."""
+    landed, root, checkpoint = (shared_folder(spark, name) for name in ("landing", "bins", "checkpoint"))
+    events = as_text(table(spark, sf_dir, "events"), "ts")
+    schema = T.StructType([
+        field if field.name != "ts" else T.StructField("ts", T.StringType()) for field in events.schema.fields])
+    bins = Bins("event_bins", "ts", ("value",), "10min", "event_type string")
+    for turn in range(3):
+        events.filter(F.pmod("event_id", F.lit(3)) == turn).write.mode("append").json(landed)
+        rows = read_documents(spark, landed, schema, stream=True).drop(UNREADABLE)
+        stream_bins(rows, bins, root, checkpoint).awaitTermination()
+        if turn == 1 and merge_bins(spark, root, bins, least=2) < 2:
+            raise ValueError("no folders were put together")
+    return read_bins(spark, root, bins).select(
+        "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), F.round("value", 6).alias("value"))
+
+
 @query("stream_rejects", """
 SELECT 'unreadable record' AS reject_reason, count(*) AS records FROM events WHERE event_type = 'error'
 UNION ALL SELECT 'unreadable message date', count(*) FROM events WHERE event_type = 'view'

@@ -9,7 +9,9 @@ from sensorloom.functions.keys import surrogate_key
 from sensorloom.plans import water
 from sensorloom.sources.documents import read_documents, readable
 from sensorloom.sources.schemas import WATER_POLL
-from sensorloom.sources.tables import dimension_rows
+from sensorloom.plans.load import load_batch
+from sensorloom.session import shared_folder
+from sensorloom.sources.tables import dimension_rows, read_tables
 
 
 def polls(spark, sf_dir) -> DataFrame:
@@ -226,3 +228,29 @@ def history_unknown_units(spark, sf_dir):
 @query("sensor_catalogue", f"WITH {_HISTORY_SQL} SELECT * FROM catalogue")
 def sensor_catalogue(spark, sf_dir):
     return _history(spark, sf_dir)[2]
+
+
+@query("water_from_unit_lists", """
+SELECT s_suppkey::int AS "unitID", s_name AS "unitName", CASE WHEN s_acctbal < 0 THEN 'no document' ELSE 'stored' END AS outcome
+FROM supplier
+UNION ALL SELECT -s_suppkey::int, NULL, 'unit in no list' FROM supplier WHERE s_nationkey = 7
+""")
+def water_from_unit_lists(spark, sf_dir):
+    """Suppliers as units of one list per nation, their documents in files of their own; some were not fetched."""
+    lists, fetched, root = (shared_folder(spark, name) for name in ("lists", "documents", "tables"))
+    suppliers = table(spark, sf_dir, "supplier")
+    poll, unit = F.col("s_nationkey").alias("poll"), F.col("s_suppkey").cast("string")
+    suppliers.groupBy(poll).agg(F.collect_list(F.struct(unit.alias("id"), F.col("s_name").alias("name"))).alias("units")) \
+        .write.partitionBy("poll").json(lists)
+    block = F.struct(F.lit("1").alias("mode"), F.lit("2024-01-01 00:00:00").alias("last_update"))
+    strays = suppliers.filter("s_nationkey = 7").withColumns({"s_suppkey": -F.col("s_suppkey"), "s_acctbal": F.lit(0.0)})
+    suppliers.unionByName(strays).filter("s_acctbal >= 0").select(
+        poll, F.col("s_suppkey").alias("unit"), F.lit("true").alias("success"), F.lit("read").alias("message"),
+        F.lit("2024-01-01T00:00:00+01:00").alias("now"), F.array(block).alias("blocks"),
+    ).write.partitionBy("poll", "unit").json(fetched)
+    polls = water.read_polls(spark, lists, fetched)
+    rejected = load_batch(polls, water.prepare, water.tables, water.TABLES, root, "all", shared_folder(spark, "staging"))
+    stored = read_tables(spark, root, water.TABLES)
+    requests = stored["water_requests"].join(stored["water_units"], "unitGUID")
+    return requests.select("unitID", "unitName", F.lit("stored").alias("outcome")).unionAll(
+        rejected.select(F.col("unit.id").cast("int"), "unit.name", "reject_reason"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.keys import surrogate_key
 from sensorloom.functions.temporal import offset_timestamp, plain_timestamp
@@ -10,6 +10,8 @@ from sensorloom.functions.text import truthy
 from sensorloom.operators.clean import split_rejects, with_reject_reason
 from sensorloom.operators.joins import left_enrich, left_lookup, unique_lookup
 from sensorloom.operators.reshape import first_of, number_channels, unpivot_channels
+from sensorloom.sources.documents import read_keyed_documents, readable
+from sensorloom.sources.schemas import WATER_DOCUMENT, WATER_UNIT
 from sensorloom.sources.tables import Table
 
 HISTORY_IDS = ("ID", "INTERFACE_ID", "DATETIME")
@@ -83,9 +85,36 @@ TABLES = {table.name: table for table in (
 )}
 
 
+#: Where the path of a landed file tells its poll, and its unit.
+POLL_OF, UNIT_FOLDER, UNIT_FILE = r"/poll=([^/]+)/", r"/unit=([^/]+)/", r"/([^/]+)\.json$"
+
+
+def read_polls(spark: SparkSession, lists: str, documents: str, multi_line: bool = False) -> DataFrame:
+    """(unit, document) from two landed folders: lists of units, and the documents fetched for them.
+
+    Both have a folder ``poll=...`` for each poll, or none if there is only one.  A document belongs to the unit
+    of its folder ``unit=...`` or of its file's name.  A listed unit without a document, or with one that cannot
+    be read, has a NULL document, and a document whose unit no list names has a unit without a name: :func:`prepare`
+    rejects the first, the second with ``unlisted``.
+    """
+    listing = T.StructType([T.StructField("units", T.ArrayType(WATER_UNIT))])
+    listed = readable(read_keyed_documents(spark, lists, listing, {"poll": POLL_OF}, multi_line))
+    units = listed.select("poll", F.explode("units").alias("unit")).filter("unit.id IS NOT NULL").distinct()
+    fetched = read_keyed_documents(
+        spark, documents, WATER_DOCUMENT, {"poll": POLL_OF, "_folder": UNIT_FOLDER, "_file": UNIT_FILE}, multi_line)
+    found = readable(fetched).select(
+        "poll", F.coalesce(F.nullif("_folder", F.lit("")), "_file").alias("_unit"), F.struct(*WATER_DOCUMENT.names).alias("document"))
+    paired = units.join(
+        found.withColumnRenamed("poll", "_poll"), (F.col("poll") == F.col("_poll")) & (F.col("unit.id") == F.col("_unit")), "full")
+    unit = F.coalesce("unit", F.struct(F.col("_unit").alias("id"), F.lit(None).cast("string").alias("name")))
+    return paired.select(unit.alias("unit"), "document", F.col("unit").isNull().alias("unlisted"))
+
+
 def prepare(polls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(polls, rejected polls).  A failed fetch leaves no document."""
+    unlisted = {"unit in no list": F.col("unlisted")} if "unlisted" in polls.columns else {}
     judged = with_reject_reason(polls, {
+        **unlisted,
         "no unit": F.col("unit.id").try_cast("int").isNull(),
         "no document": F.col("document").isNull(),
         "no block": F.coalesce(F.size("document.blocks"), F.lit(0)) < 1,

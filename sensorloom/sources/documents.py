@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 UNREADABLE = "unreadable_record"
@@ -23,6 +25,15 @@ def read_documents(
     )
 
 
+def read_keyed_documents(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Mapping[str, str], multi_line: bool = False,
+) -> DataFrame:
+    """Documents with columns that the path of their file gives: name to a pattern with one group, '' where it fails."""
+    place = F.col("_metadata.file_path")
+    documents = read_documents(spark, path, schema, multi_line=multi_line)
+    return documents.select(*schema.names, UNREADABLE, *[F.regexp_extract(place, pattern, 1).alias(name) for name, pattern in keys.items()])
+
+
 def readable(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col(UNREADABLE).isNull()).drop(UNREADABLE)
 

@@ -214,6 +214,12 @@ def _loads_of(folders: Iterable[Folder], *more: str) -> set[str] | None:
     return None if any(f.loads is None for f in folders) else {*more, *(load for f in folders for load in f.loads)}
 
 
+def rows_of_load(store: Store, table: Table, folders: Sequence[Folder], load: str) -> tuple[list[Folder], DataFrame]:
+    """The folders that hold rows of a load, and these rows."""
+    holding = _holding(store, table, folders, load)
+    return holding, read_folders(store, table, holding).filter(F.col("batch") == load)
+
+
 def _with_load(rows: DataFrame, store: Store, version: Version, table: Table, load: str) -> list[Folder]:
     """The table's folders with the rows of a load in the place of those that the load had delivered before.
 
@@ -352,11 +358,14 @@ def _crowded(folders: Sequence[Folder], least: int) -> list[Folder]:
     return [folder for group in tiers.values() if len(group) >= least for folder in group]
 
 
-def compact(spark: SparkSession, root: str, table: Table, least: int = TIER) -> int:
+def compact(
+    spark: SparkSession, root: str, table: Table, least: int = TIER, combine: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
     """Put small folders of a table together, by day and size; returns how many.
 
     Size tiers keep the work in bounds: a row is written again once for each tier, so a number of times that grows
-    with the logarithm of its folder's size.  Rows keep their load, which can still be replaced or withdrawn.
+    with the logarithm of its folder's size.  Rows keep their load, which can still be replaced or withdrawn, unless
+    ``combine`` makes fewer rows of them.
     """
     store = Store(spark, root)
     merged: list[Folder] = []
@@ -367,7 +376,7 @@ def compact(spark: SparkSession, root: str, table: Table, least: int = TIER) ->
         if not merged:
             return folders
         parts = [
-            read_folders(store, table, some).withColumn("kept", F.lit(kept))
+            (combine or (lambda rows: rows))(read_folders(store, table, some)).withColumn("kept", F.lit(kept))
             for kept in (True, False) if (some := [f for f in merged if f.kept == kept])]
         chosen = set(merged)
         return [f for f in folders if f not in chosen] + _fill(

@@ -1,5 +1,6 @@
 """Loads, repeats, withdrawal, compaction and clean-up of stored tables, and what is left when one is stopped."""
 
+import json
 import os
 import random
 import shutil
@@ -8,10 +9,12 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from sensorloom.plans import checks
 from sensorloom.sources import store as store_module
 from sensorloom.sources.store import Conflict, Store, forget_unused
 from sensorloom.sources.tables import (
     Table, batches_of, compact, load_tables, read_repeats, read_table, read_tables, remove_duplicates, withdraw)
+from sensorloom.streaming.bins import Bins, merge_bins, read_bins, stream_bins
 
 FACT = Table("fact", "id int, at timestamp, v string", primary_key=("id",), day_of="at")
 NAME = Table("name", "v string", natural_key=("v",), primary_key=("v",))
@@ -256,3 +259,58 @@ def test_empty_loads_and_null_days(spark, tmp_path):
     assert _state(spark, root)[0] == {1: ("a", "A")}
     withdraw(spark, root, TABLES, "A")
     assert _state(spark, root)[0] == {1: ("a", "B")}
+
+
+def test_constraints_of_one_load(spark, tmp_path):
+    parent = Table("parent", "id int, at timestamp, v string", primary_key=("id",), day_of="at", max_length={"v": 3})
+    # Loads let rows with differing content in, so that a key may be there twice.
+    loose = Table("parent", "id int, at timestamp, v string", day_of="at")
+    child = Table("child", "parent int, at timestamp", references=((("parent",), "parent", ("id",)),), day_of="at")
+    root, tables = str(tmp_path), {"parent": parent, "child": child}
+
+    def load(name, parents, children):
+        frames = {
+            "parent": spark.createDataFrame(parents, "id int, day string, v string"),
+            "child": spark.createDataFrame(children, "parent int, day string")}
+        frames = {key: frame.withColumn("at", F.col("day").cast("timestamp")) for key, frame in frames.items()}
+        load_tables(frames, {"parent": loose, "child": child}, root, name)
+
+    load("A", [(1, "2024-01-01", "long"), (2, "2024-01-01", "a"), (9, "2024-01-05", "long")], [(7, "2024-01-01"), (8, "2024-01-05")])
+    load("B", [(2, "2024-01-01", "b"), (3, "2024-01-01", "long")], [(1, "2024-01-01"), (5, "2024-01-01")])
+
+    def report(name):
+        frame = checks.load_constraint_report(spark, root, tables, name)
+        return {(r["table_name"], r["check_name"]): r["violations"] for r in frame.collect()}, frame
+
+    length, key, reference = ("parent", "length"), ("parent", "primary key"), ("child", "reference to parent")
+    assert report("A")[0] == {length: 2, key: 1, reference: 2}
+    found, frame = report("B")
+    assert found == {length: 1, key: 1, reference: 1}
+    files = {file for file in frame.inputFiles()}
+    assert files and not any("day=2024-01-05" in file for file in files)
+
+
+def test_bins_take_late_rows_and_repeated_batches(spark, tmp_path):
+    bins = Bins("bins", "ts", ("v", "w"), "10min", "s string")
+    landing, root = tmp_path / "events", str(tmp_path / "store")
+    landing.mkdir()
+
+    def land(name, *rows):
+        (landing / name).write_text("\n".join(json.dumps({"s": s, "ts": ts, "v": v}) for s, ts, v in rows))
+        rows = spark.readStream.schema("s string, ts string, v double, w double").json(str(landing))
+        stream_bins(rows, bins, root, str(tmp_path / "checkpoint")).awaitTermination()
+
+    def means():
+        return sorted((r["s"] or "", str(r["ts"]), r["v"], r["w"]) for r in read_bins(spark, root, bins).collect())
+
+    land("1.json", ("a", "2024-01-01T00:01:00", 1.0), ("a", "2024-01-01T05:00:00", 4.0), (None, "2024-01-01T00:00:00", 2.0))
+    land("2.json", ("a", "2024-01-01T00:09:59", 2.0), ("a", None, 9.0), ("a", "2024-01-01T05:09:00", None))
+    expected = [("", "2024-01-01 00:00:00", 2.0, None), ("a", "2024-01-01 00:00:00", 1.5, None), ("a", "2024-01-01 05:00:00", 4.0, None)]
+    assert means() == expected and read_table(spark, root, bins.table).count() == 5
+    load_tables({"bins": bins.partial(spark.createDataFrame([("a", "2024-01-01", 7.0, 7.0)], "s string, ts string, v double, w double"), "x")},
+                {"bins": bins.table}, root, "x", dict(Store(spark, root).latest().streams))
+    assert means() == expected  # a batch that is committed already
+    assert merge_bins(spark, root, bins, least=2) == 2
+    assert means() == expected and read_table(spark, root, bins.table).count() == 3
+    with pytest.raises(ValueError):
+        Bins("bins", "ts", ("v",), "7min")

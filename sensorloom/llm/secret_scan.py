@@ -1,13 +1,19 @@
 """Secret scans: fixed patterns, then character Markov models compared by log-likelihood ratio.
 
-Two first-order character models are trained from labelled samples of the table itself: strings that
-the fixed patterns found (random), and words without a digit (ordinary identifiers).  All documents are
-counted.  A candidate is a run of letters, digits and ``+/_=-`` that has letters and digits; it becomes a span of kind ``random``
-when the ratio of its likelihoods, per character, is over the threshold.  Spans of the fixed patterns
-are never changed, and a candidate that touches one is dropped.
-
-Defined results: a null or empty text has no spans; without samples of either kind the models are
-uniform and add nothing; repeated rows are scanned one by one; no documents give no rows.
+Candidates are all runs of at least ``LEAST`` letters, digits and ``+/_=-``; the models alone decide about them.
+
+* The model of ordinary identifiers is a first-order chain over letters, regardless of case, and digits, with a second
+  one for changes of case.  Its samples are all words, names and numbers of all documents, outside of what
+  the fixed patterns found.  Every step is mixed with a uniform one, so that a step that the corpus lacks, as from a
+  letter to a digit, costs a bounded amount; ``_``, ``-`` and the like stand between words.
+* The model of random strings is a mixture: a chain like the first, whose samples are what the fixed patterns
+  found, and strings drawn evenly from the alphabets that keys are written in.
+
+A candidate becomes a span of kind ``random`` when the logarithm of the ratio of its likelihoods is over the threshold.
+Spans of the fixed patterns are never changed, and a candidate that touches one is dropped.
+
+Defined results: a null or empty text has no spans; without samples a model is uniform; repeated rows are
+scanned one by one; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -29,15 +35,27 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _KEYWORDS = ("passw", "secret", "token", "api_key", "apikey")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
-#: Least length of candidates, threshold per character.
-LEAST, THRESHOLD = 20, 0.5
+#: Least length of candidates; what the logarithm of the ratio must exceed.
+LEAST, THRESHOLD = 8, 14.0
+#: Share of the uniform step in each step of a chain.
+MIXED = 0.05
 
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
-_ORDINARY = re.compile(r"[A-Za-z_]{5,}")
-_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-_STATES = len(_LETTERS) + 1
-_CODE = np.full(128, _STATES - 1, np.int64)
-_CODE[[ord(letter) for letter in _LETTERS]] = np.arange(len(_LETTERS))
+#: States of the chains: 26 letters, 10 digits, and what stands between words; cases of a character.
+_STATES, _BREAK = 37, 36
+_STATE = np.full(256, _BREAK, np.int64)
+_CASE = np.full(256, 2, np.int64)  # lower, upper, none
+for _place, _letter in enumerate("abcdefghijklmnopqrstuvwxyz"):
+    _STATE[[ord(_letter), ord(_letter.upper())]] = _place
+    _CASE[ord(_letter)], _CASE[ord(_letter.upper())] = 0, 1
+_STATE[48:58] = np.arange(26, 36)
+#: Counts of a chain: steps between states, then steps between cases.
+_COUNTS = _STATES * _STATES + 4
+#: Size of each alphabet, and the classes that it has: hexadecimal small letters, other small ones, capitals, digits.
+_ALPHABETS = ((16, (0, 3)), (26, (0, 1)), (36, (0, 1, 3)), (36, (2, 3)), (52, (0, 1, 2)), (62, (0, 1, 2, 3)))
+_CLASS = np.full(256, 4, np.int64)
+_CLASS[ord("a"): ord("g")], _CLASS[ord("g"): ord("z") + 1] = 0, 1
+_CLASS[ord("A"): ord("Z") + 1], _CLASS[48:58] = 2, 3
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -52,67 +70,102 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def _codes(string: str) -> np.ndarray:
-    return _CODE[np.frombuffer(string.encode("ascii"), np.uint8)]
+def _bytes(text: str) -> np.ndarray:
+    """One byte per character; characters beyond a byte become question marks, which stand between words."""
+    return np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
+
+
+def _steps(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places with a letter or digit and the step to each; places with a letter after a letter and its step of case."""
+    state, case = _STATE[raw], _CASE[raw]
+    before = np.r_[_BREAK, state[:-1]][: len(state)]
+    inside = np.flatnonzero(state != _BREAK)
+    letters = np.flatnonzero((case < 2) & (np.r_[2, case[:-1]][: len(case)] < 2))
+    return inside, before[inside] * _STATES + state[inside], letters, case[letters - 1] * 2 + case[letters]
 
 
-def _transitions(strings: list[str]) -> np.ndarray:
-    """Counts of the character pairs inside the strings."""
-    strings = [string for string in strings if string]
-    if not strings:
-        return np.zeros(_STATES * _STATES, np.int64)
-    codes = _codes("".join(strings))
-    pairs = codes[:-1] * _STATES + codes[1:]
-    between = np.cumsum([len(string) for string in strings])[:-1] - 1
-    return np.bincount(np.delete(pairs, between), minlength=_STATES * _STATES)
+def _counted(text: str) -> np.ndarray:
+    _, steps, _, cases = _steps(_bytes(text))
+    return np.r_[np.bincount(steps, minlength=_STATES * _STATES), np.bincount(cases, minlength=4)]
 
 
-def _pairs(batches):
-    """Character pairs of the samples with their label: 1 for found secrets, 0 for ordinary words."""
+def _samples(batches):
+    """Steps of the samples with their label: 1 for found secrets, 0 for everything else."""
     for batch in batches:
-        counts = np.zeros((2, _STATES * _STATES), np.int64)
+        counts = np.zeros((2, _COUNTS), np.int64)
         for text in batch.column(0).to_pylist():
-            random = []
+            at, plain, found = 0, [], []
             for start, kind, end in base_spans(text):
-                found = text[start:end]
-                random.append(_ASSIGN.match(found).group(2) if kind == 0 else found)
-            counts[0] += _transitions(_ORDINARY.findall(text))
-            if random:
-                counts[1] += _transitions(random)
-        label, pair = np.nonzero(counts)
+                found.append(_ASSIGN.match(text[start:end]).group(2) if kind == 0 else text[start:end])
+                plain.append(text[at:start])
+                at = max(at, end)
+            counts[0] += _counted(" ".join([*plain, text[at:]]))
+            if found:
+                counts[1] += _counted(" ".join(found))
+        label, step = np.nonzero(counts)
         yield pa.RecordBatch.from_pydict({
-            "label": pa.array(label, pa.int32()), "pair": pa.array(pair, pa.int32()),
-            "n": pa.array(counts[label, pair], pa.int64())})
+            "label": pa.array(label, pa.int32()), "step": pa.array(step, pa.int32()),
+            "n": pa.array(counts[label, step], pa.int64())})
+
+
+def _chain(counts: np.ndarray) -> np.ndarray:
+    """Logarithms of the likelihoods of all steps."""
+    steps, cases = counts[:-4].reshape(_STATES, _STATES) + 0.01, counts[-4:].reshape(2, 2) + 0.01
+    steps[:, _BREAK] = 0  # where a word ends is left out of both models
+    steps = (1 - MIXED) * steps / steps.sum(axis=1, keepdims=True) + MIXED / (_STATES - 1)
+    cases = (1 - MIXED) * cases / cases.sum(axis=1, keepdims=True) + MIXED / 2
+    return np.r_[np.log(steps).ravel(), np.log(cases).ravel()]
 
 
 def train(documents: DataFrame) -> np.ndarray:
-    """Log-likelihood ratio of every character pair, random against ordinary.
+    """The chains of ordinary and of random strings, as two rows of logarithms.
 
     All documents are counted.  The counts are added up by Spark; the driver gets one number for each label
-    and character pair.
+    and step.
     """
     chosen = documents.filter(F.col("text").isNotNull()).select("text")
-    summed = chosen.mapInArrow(_pairs, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n"))
-    totals = np.zeros((2, _STATES * _STATES))
+    summed = chosen.mapInArrow(_samples, "label int, step int, n long").groupBy("label", "step").agg(F.sum("n").alias("n"))
+    totals = np.zeros((2, _COUNTS))
     for row in summed.collect():
-        totals[row["label"], row["pair"]] = row["n"]
-    if not totals.sum(axis=1).all():
-        return np.zeros(_STATES * _STATES)
-    smooth = totals.reshape(2, _STATES, _STATES) + 0.5
-    likely = np.log(smooth / smooth.sum(axis=2, keepdims=True))
-    return (likely[1] - likely[0]).ravel()
-
-
-def model_spans(text: str, base: list[tuple[int, int, int]], ratio: np.ndarray, threshold: float) -> list:
-    spans = []
-    for match in _CANDIDATE.finditer(text):
-        string, start, end = match.group(), match.start(), match.end()
-        if not any(c.isdigit() for c in string) or not any(c.isalpha() for c in string):
-            continue
-        codes = _codes(string)
-        if ratio[codes[:-1] * _STATES + codes[1:]].mean() > threshold and not any(
-                a < end and start < b for a, _, b in base):
-            spans.append((start, 3, end))
+        totals[row["label"], row["step"]] = row["n"]
+    return np.stack([_chain(counts) for counts in totals])
+
+
+def log_ratios(strings: list[str], chains: np.ndarray) -> np.ndarray:
+    """Logarithm of the likelihood of each string as a random one over that as an ordinary one."""
+    raw = _bytes("\n".join(strings))
+    sizes = np.array([len(string) + 1 for string in strings])
+    owner = np.repeat(np.arange(len(strings)), sizes)[: len(raw)]
+    inside, steps, letters, cases = _steps(raw)
+
+    def total(chain: np.ndarray) -> np.ndarray:
+        out = np.bincount(owner[inside], chain[steps], len(strings))
+        return out + np.bincount(owner[letters], chain[_STATES * _STATES + cases], len(strings))
+
+    ordinary, found = total(chains[0]), total(chains[1])
+    has = np.zeros((len(strings), 5), bool)
+    has[owner, _CLASS[raw]] = True
+    drawn = np.bincount(owner[inside], minlength=len(strings))
+    random = [found]
+    for size, classes in _ALPHABETS:
+        others = [c for c in range(4) if c not in classes]
+        random.append(np.where(has[:, others].any(axis=1), -np.inf, -drawn * np.log(size)))
+    return np.logaddexp.reduce(np.stack(random)) - np.log(len(random)) - ordinary
+
+
+def model_spans(texts: list[str], bases: list[list], chains: np.ndarray, threshold: float = THRESHOLD) -> list[list]:
+    """For every text the candidates that the models call random and that touch no fixed span."""
+    places, strings = [], []
+    for k, text in enumerate(texts):
+        for match in _CANDIDATE.finditer(text):
+            places.append((k, match.start(), match.end()))
+            strings.append(match.group())
+    spans: list[list] = [[] for _ in texts]
+    if strings:
+        for at in np.flatnonzero(log_ratios(strings, chains) > threshold).tolist():
+            k, start, end = places[at]
+            if not any(a < end and start < b for a, _, b in bases[k]):
+                spans[k].append((start, 3, end))
     return spans
 
 
@@ -120,7 +173,7 @@ SPANS = T.ArrayType(T.StructType([
     T.StructField("start", T.IntegerType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def scan(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, text: str = "text",
+def scan(documents: DataFrame, chains: np.ndarray, threshold: float = THRESHOLD, text: str = "text",
          into: str = "spans") -> DataFrame:
     """The rows with all spans in code points, sorted by start and kind; the text is dropped."""
     kept = [field for field in documents.schema.fields if field.name not in (text, into)]
@@ -129,11 +182,9 @@ def scan(documents: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD,
 
     def scanned(batches):
         for batch, texts in portions(batches, "__text"):
-            found = []
-            for one in texts:
-                base = base_spans(one)
-                spans = sorted([*base, *model_spans(one, base, ratio, threshold)])
-                found.append([{"start": start, "kind": kind, "end": end} for start, kind, end in spans])
+            bases = [base_spans(one) for one in texts]
+            spans = [sorted([*base, *more]) for base, more in zip(bases, model_spans(texts, bases, chains, threshold))]
+            found = [[{"start": start, "kind": kind, "end": end} for start, kind, end in own] for own in spans]
             yield pa.RecordBatch.from_arrays(
                 [*columns_of(batch, schema.names[:-1]), pa.array(found, arrow)], schema.names)
 

@@ -2,12 +2,12 @@
 
 A text is cut at ``\\n``; lines are compared after dropping outer blanks.  Every window of three
 consecutive lines with at least one line that is not blank is hashed.  The first place of a window is
-the smallest (doc_id, position).  Its other places, except those that overlap the first one, are
+the smallest (doc_id, position), null doc_ids last.  Its other places, except those that overlap the first one, are
 removed; the lines that a document loses are the union of these windows.
 
 Defined results: a null text stays null and loses nothing; texts under three lines lose nothing; rows
 with the same doc_id and the same text count as one document and all lose the same lines; no documents
-give no rows.  Other columns are kept, whatever their names.
+give no rows.  Other columns are kept, whatever their names; ``n_lines`` and ``n_removed_lines`` are replaced.
 """
 
 from __future__ import annotations
@@ -16,20 +16,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 WINDOW = 3
 _BLANKS = " \t\x0b\x0c\r"
-_KEY = ["_line_doc", "_line_text"]
+_KEY = ["line_doc", "line_text"]
 
 
-def _lines(text: str = "text") -> Column:
-    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.withColumns({"_line_doc": F.col("doc_id"), "_line_text": F.xxhash64("text")})
+    """Whole rows as one column, so that no name of theirs can clash, beside their key and text."""
+    row = F.struct(*[documents[f"`{name}`"] for name in documents.columns])
+    return documents.select(row.alias("row"), F.col("doc_id").alias("line_doc"), F.xxhash64("text").alias("line_text"), "text")
 
 
 def _windows(documents: DataFrame) -> DataFrame:
     """One row per window: its document, position and 128-bit hash."""
-    trimmed = F.transform(_lines(), lambda line: F.btrim(line, F.lit(_BLANKS)))
+    trimmed = F.transform(_lines(F.col("text")), lambda line: F.btrim(line, F.lit(_BLANKS)))
     lined = _keyed(documents).select(*_KEY, trimmed.alias("lines")).filter(F.size("lines") >= WINDOW)
 
     def window(line, at):
@@ -45,26 +47,31 @@ def repeated_places(documents: DataFrame) -> DataFrame:
     """One row per document that loses lines: the sorted starts of the windows to remove."""
     windows = _windows(documents)
     first = windows.groupBy("a", "b").agg(
-        F.min(F.struct(*_KEY, "at")).alias("first"), F.count("*").alias("places")).filter("places > 1")
-    apart = ~(F.col("_line_doc").eqNullSafe(F.col("first._line_doc")) & (F.col("_line_text") == F.col("first._line_text")))
+        F.min(F.struct(F.col("line_doc").isNull(), *_KEY, "at")).alias("first"), F.count("*").alias("places")).filter("places > 1")
+    apart = ~(F.col("line_doc").eqNullSafe(F.col("first.line_doc")) & (F.col("line_text") == F.col("first.line_text")))
     later = windows.join(first, ["a", "b"]).filter(apart | (F.col("at") >= F.col("first.at") + WINDOW))
-    return later.groupBy(*_KEY).agg(F.sort_array(F.collect_set("at")).alias("_starts"))
+    return later.groupBy(*_KEY).agg(F.sort_array(F.collect_set("at")).alias("starts"))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """The documents with their repeated lines removed, plus n_lines and n_removed_lines."""
     found = repeated_places(documents)
-    same = F.col("k._line_doc").eqNullSafe(F.col("f._line_doc")) & (F.col("k._line_text") == F.col("f._line_text"))
-    joined = _keyed(documents).alias("k").join(found.alias("f"), same, "left").select("k.*", "f._starts")
+    same = F.col("k.line_doc").eqNullSafe(F.col("f.line_doc")) & (F.col("k.line_text") == F.col("f.line_text"))
+    joined = _keyed(documents).drop("text").alias("k").join(found.alias("f"), same, "left").select("row", "starts")
     # Pieces between the removed windows: after the end of one window, up to the start of the next.
-    ends = F.concat(F.array(F.lit(-WINDOW)), "_starts")
-    nexts = F.concat("_starts", F.array(F.size("_split")))
+    ends = F.concat(F.array(F.lit(-WINDOW)), "starts")
+    nexts = F.concat("starts", F.array(F.size("lines")))
     pieces = F.zip_with(ends, nexts, lambda end, following: F.slice(
-        "_split", end + WINDOW + 1, F.greatest(F.lit(0), following - end - WINDOW)))
-    kept = F.when(F.col("_starts").isNotNull(), F.flatten(pieces)).otherwise(F.col("_split"))
-    counted = joined.withColumn("_split", _lines()).withColumn("_kept", kept)
-    return counted.withColumns({
-        "text": F.when(F.col("_starts").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")),
-        "n_lines": F.size("_split").cast("long"),
-        "n_removed_lines": (F.size("_split") - F.size("_kept")).cast("long"),
-    }).drop(*_KEY, "_starts", "_split", "_kept")
+        "lines", end + WINDOW + 1, F.greatest(F.lit(0), following - end - WINDOW)))
+    left = F.when(F.col("starts").isNotNull(), F.flatten(pieces)).otherwise(F.col("lines"))
+    text = F.col("row").getField("text")
+    counted = joined.withColumn("lines", _lines(text)).withColumn("left", left)
+    results = {
+        "text": F.when(F.col("starts").isNull(), text).otherwise(F.array_join("left", "\n")),
+        "n_lines": F.size("lines").cast("long"),
+        "n_removed_lines": (F.size("lines") - F.size("left")).cast("long"),
+    }
+    others = [name for name in documents.columns if name not in ("n_lines", "n_removed_lines")]
+    return counted.select(
+        *[results[name].alias(name) if name in results else F.col("row").getField(name).alias(name) for name in others],
+        *[results[name].alias(name) for name in ("n_lines", "n_removed_lines")])

@@ -23,6 +23,9 @@ SHARE, CAP = 1.5, 2.0
 #: Targets of so many sources, of about 100 bytes each, are broadcast; more are joined by shuffles.
 MAX_BROADCAST_SOURCES = 10_000
 
+#: Columns that a mix adds.
+RESULTS = ("source_size", "target", "taken", "position", "again_position", "first_words")
+
 _SPREAD = 2.0 ** 32
 
 
@@ -70,13 +73,18 @@ def time_of(offset: Column, target: Column, slope: Column) -> Column:
 
 
 def mix(sized: DataFrame, weights=WEIGHTS, slopes=SLOPES, share=SHARE, cap=CAP, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Words taken of each row of ``sized`` (doc_id, source, size), and when they are trained.
+    """Words taken of each row of ``sized`` (doc_id, source, size, ties), and when they are trained.
 
-    Adds source_size, target, taken, position (of the first pass) and again_position (of the second;
+    Other columns are kept, whatever their names, but for those that the results replace.  Adds source_size, target, taken, position (of the first pass) and again_position (of the second;
     null where the pass takes nothing).  The offset of a row in its source is a sum in two steps:
     over slices of the shuffled order, then inside each slice, so that a source that holds most rows
     is spread over many tasks.  Only one row per source, and one per slice, meet in one task.
     """
+    own = ["doc_id", "source", "size", *ties]
+    others = [name for name in sized.columns if name not in (*own, *RESULTS)]
+    # Other columns travel as one, so that no name of theirs can clash.
+    rest = F.struct(*[sized[f"`{name}`"] for name in others], F.lit(0).alias("_"))
+    sized = sized.select(*own, rest.alias("rest"))
     sources = stored(targets(sized, weights, slopes, share, cap), "targets")
     if sources.count() <= MAX_BROADCAST_SOURCES:
         sources = F.broadcast(sources)
@@ -100,14 +108,15 @@ def mix(sized: DataFrame, weights=WEIGHTS, slopes=SLOPES, share=SHARE, cap=CAP,
         return F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - start))
 
     first, second = taken(offset), taken(again)
+    results = {
+        "taken": (first + second).cast("long"),
+        "position": F.when(first > 0, time_of(offset, F.col("target"), F.col("slope"))),
+        "again_position": F.when(second > 0, time_of(again, F.col("target"), F.col("slope"))),
+        "first_words": first.cast("long")}
     return (
         placed.withColumn("_within", F.sum("size").over(inside)).join(starts, ["_source", "_slice"])
-        .withColumns({
-            "taken": (first + second).cast("long"),
-            "position": F.when(first > 0, time_of(offset, F.col("target"), F.col("slope"))),
-            "again_position": F.when(second > 0, time_of(again, F.col("target"), F.col("slope"))),
-            "first_words": first.cast("long")})
-        .drop("_source", "_slice", "_order", "_start", "_within", "slope"))
+        .select(*own, *[F.col("rest").getField(name).alias(name) for name in others], "source_size", "target",
+                *[column.alias(name) for name, column in results.items()]))
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:

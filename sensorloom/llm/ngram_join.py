@@ -352,8 +352,12 @@ def first_of_components(documents: DataFrame, words: int = WORDS, percent: int =
     blank = ids.filter("n_shingles = 0").select("doc_id", "text_hash").distinct()
     chosen = leading.select("first.doc_id", "first.text_hash", F.lit(False).alias("blank")).unionAll(
         blank.withColumn("blank", F.lit(True)))
-    marked = documents.withColumn("_hash", F.xxhash64("text")).alias("d").join(
-        chosen.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("_hash") == F.col("text_hash")))
-    turn = F.row_number().over(Window.partitionBy("d.doc_id", "_hash").orderBy(F.lit(0)))
-    return marked.select("d.*", "_hash", F.col("c.blank").alias("_blank"), turn.alias("_turn")).filter(
-        "_blank OR _turn = 1").drop("_hash", "_turn", "_blank")
+    # Whole rows travel as one column, so that no name of theirs can clash.
+    row = F.struct(*[documents[f"`{name}`"] for name in documents.columns])
+    marked = documents.select(row.alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash")).join(
+        chosen, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash")))
+    # Rows without shingles stand alone; of the copies of others each task keeps one before the shuffle.
+    alone = F.when(F.col("blank"), F.monotonically_increasing_id())
+    turn = F.row_number().over(Window.partitionBy("own_id", "own_hash", "alone").orderBy("blank"))
+    first = marked.withColumn("alone", alone).withColumn("turn", turn).filter("turn = 1")
+    return first.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])

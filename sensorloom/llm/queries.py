@@ -101,14 +101,15 @@ windows AS (
 places AS (
   SELECT *, first_value(doc_id) OVER one AS first_doc, first_value(pos) OVER one AS first_at
   FROM windows WHERE l1 || l2 || l3 <> ''
-  WINDOW one AS (PARTITION BY l1, l2, l3 ORDER BY doc_id, pos)),
+  WINDOW one AS (PARTITION BY l1, l2, l3 ORDER BY doc_id NULLS LAST, pos)),
 covered AS (
   SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS line FROM places
-  WHERE doc_id <> first_doc OR pos >= first_at + 3),
+  WHERE doc_id IS DISTINCT FROM first_doc OR pos >= first_at + 3),
 numbered AS (SELECT doc_id, generate_subscripts(lines, 1) - 1 AS line, unnest(lines) AS body FROM split)
-SELECT doc_id, count(*) AS n_lines, count(covered.line) AS n_removed_lines,
-       sha256(coalesce(string_agg(body, chr(10) ORDER BY line) FILTER (covered.line IS NULL), '')) AS kept_sha256
-FROM numbered LEFT JOIN covered USING (doc_id, line) GROUP BY doc_id
+SELECT numbered.doc_id, count(*) AS n_lines, count(covered.line) AS n_removed_lines,
+       sha256(coalesce(string_agg(body, chr(10) ORDER BY numbered.line) FILTER (covered.line IS NULL), '')) AS kept_sha256
+FROM numbered LEFT JOIN covered ON numbered.doc_id IS NOT DISTINCT FROM covered.doc_id AND numbered.line = covered.line
+GROUP BY numbered.doc_id
 """
 
 

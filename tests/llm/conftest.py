@@ -42,6 +42,8 @@ def write_tables(spark, folder: str, rows: list[tuple], labels: list[tuple]) ->
 
     frame = spark.createDataFrame(rows, COLUMNS)
     frame.withColumns({name: F.lit("x") for name in CLASHES}).write.parquet(f"{folder}/documents.parquet")
+    vectors = [(i, [float(i % 7 + 1), 1.0, -float(i % 3), 0.5], i % 2) for i in range(len(rows))]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder
 

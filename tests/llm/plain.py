@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -98,7 +99,7 @@ def secret_spans(text) -> list[tuple]:
 
 def line_dedup(rows: list[tuple]) -> list[tuple]:
     """(doc_id, n_lines, n_removed_lines, kept text)."""
-    order = lambda doc_id: (doc_id is not None, doc_id or 0)
+    order = lambda doc_id: (doc_id is None, doc_id or 0)
     first: dict[tuple, tuple] = {}
     split = [(text or "").split("\n") for _, text in rows]
     for (doc_id, _), lines in sorted(zip(rows, split), key=lambda row: order(row[0][0])):
@@ -114,3 +115,72 @@ def line_dedup(rows: list[tuple]) -> list[tuple]:
                 gone |= {at, at + 1, at + 2}
         out.append((doc_id, len(lines), len(gone), "\n".join(line for i, line in enumerate(lines) if i not in gone)))
     return out
+
+
+def chains(texts):
+    """Counts of the models of ordinary and of random strings: steps of states, steps of case."""
+    counted = []
+    for label in (0, 1):
+        steps, cases = {}, {}
+        for text in texts:
+            at, plain, found = 0, "", ""
+            for start, kind, end in secret_spans(text):
+                plain += text[at:start] + " "
+                found += (re.search(r"""[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$""", text[start:end])[1] if kind == 0 else text[start:end]) + " "
+                at = max(at, end)
+            plain += text[at:]
+            for a, b in zip(" " + (found if label else plain), found if label else plain):
+                if b in _ALNUM:
+                    key = (a.lower() if a in _ALNUM else " ", b.lower())
+                    steps[key] = steps.get(key, 0) + 1
+                if a in _LETTERS and b in _LETTERS:
+                    cases[a.isupper(), b.isupper()] = cases.get((a.isupper(), b.isupper()), 0) + 1
+        counted.append((steps, cases))
+    return counted
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ALNUM = _LETTERS + "0123456789"
+_STATES = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def log_ratios(strings, ordinary, random, mixed=0.05):
+    """Logarithm of the likelihood as a random string over that as an ordinary one."""
+    def likely(model, text):
+        steps, cases = model
+        total = 0.0
+        for a, b in zip(" " + text, text):
+            if b in _ALNUM:
+                a_, b_ = a.lower() if a in _ALNUM else " ", b.lower()
+                all_ = sum(steps.get((a_, c), 0) + 0.01 for c in _STATES)
+                total += math.log((1 - mixed) * (steps.get((a_, b_), 0) + 0.01) / all_ + mixed / 36)
+            if a in _LETTERS and b in _LETTERS:
+                all_ = sum(cases.get((a.isupper(), up), 0) + 0.01 for up in (False, True))
+                total += math.log((1 - mixed) * (cases.get((a.isupper(), b.isupper()), 0) + 0.01) / all_ + mixed / 2)
+        return total
+
+    out = []
+    for text in strings:
+        drawn = [c for c in text if c in _ALNUM]
+        parts = [likely(random, text)]
+        small, capital, digit = _LETTERS[:26], _LETTERS[26:], "0123456789"
+        for alphabet in ("abcdef" + digit, small, small + digit, capital + digit, small + capital, small + capital + digit):
+            if all(c in alphabet for c in drawn):
+                parts.append(-len(drawn) * math.log(len(alphabet)))
+        top = max(parts)
+        out.append(top + math.log(sum(math.exp(p - top) for p in parts)) - math.log(7) - likely(ordinary, text))
+    return out
+
+
+def model_spans(texts, least=8, threshold=14.0):
+    """All spans of every text, (start, kind number, end), by models of these texts."""
+    models = chains([text or "" for text in texts])
+    out = []
+    for text in texts:
+        base = secret_spans(text)
+        runs = [m for m in re.finditer("[A-Za-z0-9+/_=-]+", text or "") if len(m[0]) >= least]
+        ratios = log_ratios([m[0] for m in runs], *models)
+        out.append(sorted(base + [
+            (m.start(), 3, m.end()) for m, ratio in zip(runs, ratios)
+            if ratio > threshold and not any(a < m.end() and m.start() < b for a, _, b in base)]))
+    return out

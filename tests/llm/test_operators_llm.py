@@ -14,6 +14,7 @@ from plain import prose
 from sensorloom.llm import (
     blobs, byte_encoding, line_dedup, mixing, ngram_join, quality_ranking, quality_rules, secret_scan, shared_features,
     simhash, suffix_dedup)
+from sensorloom.llm.common import reachable, text_of, words
 from sensorloom.llm.components import components
 
 
@@ -175,31 +176,83 @@ def test_suffix_anchors_belong_to_the_string():
     assert (place[:count] - np.arange(count) == place[half:half + count] - np.arange(half, half + count)).all()
 
 
-def test_models_find_random_strings(spark):
-    draw = random.Random(7)
-    hexes = ["".join(draw.choice("0123456789abcdef") for _ in range(40)) for _ in range(200)]
-    rows = [(i, f"{prose(i, 40)} token={one} done_with_it") for i, one in enumerate(hexes)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    ratio = secret_scan.train(frame)
-    kinds = lambda text: [span[1] for span in secret_scan.model_spans(text, secret_scan.base_spans(text), ratio, 0.5)]
-    assert kinds("see 9f8e7d6c5b4a39281706f5e4d3 there") == [3]
-    assert kinds("alphabetagammadelta12 alphaalphabetabeta3") == []
-    assert kinds("token=9f8e7d6c5b4a39281706f5e4d3") == []
-    assert (secret_scan.train(frame.limit(0)) == 0).all()
+def _given_chains(spark):
+    return secret_scan.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+
+
+def test_models_find_random_strings_of_any_alphabet(spark):
+    """Recall on keys of 16 characters and more, letters alone among them, and of those of 8 and 12."""
+    chains, draw = _given_chains(spark), random.Random(7)
+    small, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = (small, small + small.upper(), small + digits, small.upper() + digits, small + small.upper() + digits, "abcdef" + digits)
+    for alphabet in alphabets:
+        found = {}
+        for size in (8, 12, 16, 20, 40):
+            keys = ["".join(draw.choice(alphabet) for _ in range(size)) for _ in range(200)]
+            texts = [f"see {key} there" for key in keys]
+            spans = secret_scan.model_spans(texts, [[] for _ in texts], chains)
+            assert all(own in ([], [(4, 3, 4 + size)]) for own in spans)
+            found[size] = sum(map(bool, spans)) / 200
+        assert found[8] >= 0.3 and found[12] >= 0.7 and found[16] >= 0.9 and found[20] >= 0.95 and found[40] == 1
+
+
+def test_models_leave_ordinary_identifiers(spark):
+    """Of 100 identifiers with digits at most 5 are reported, and no plain word or number of the given documents."""
+    chains, draw = _given_chains(spark), random.Random(8)
+    words = ("customer order export http connection pool size checksum validator invoice summary report account profile image "
+             "background version release build parser stream buffer index table column query filter update server client request "
+             "response handler manager service controller model view button window event listener thread worker memory").split()
+    names = ["customer_order_2024_export_v2", "http2_connection_pool_size", "sha256_checksum_validator_v1", "invoice20240115summaryreport"]
+    while len(names) < 100:
+        parts = draw.sample(words, draw.randint(2, 4))
+        parts.insert(draw.randint(1, len(parts)), draw.choice([str(draw.randint(0, 9999)), f"v{draw.randint(1, 30)}", "20240115"]))
+        names.append(draw.choice(["_".join(parts), "-".join(parts), "".join(parts), parts[0] + "".join(map(str.capitalize, parts[1:]))]))
+    texts = [f"see {name} there" for name in names]
+    assert sum(map(bool, secret_scan.model_spans(texts, [[] for _ in texts], chains))) <= 5
+    quiet = ["==========", "-" * 40, "path/to/some/file2", "+1 (974) 555-3436", "9807915762804490", "12345678"]
+    assert not any(secret_scan.model_spans(quiet, [[] for _ in quiet], chains))
+    keys = "token=9f8e7d6c5b4a39281706f5e4d3"
+    assert secret_scan.model_spans([keys], [secret_scan.base_spans(keys)], chains) == [[]]
 
 
 def test_models_count_all_documents(spark):
-    texts = [prose(i, 30) + (" token=Zq9xK2vB7wLm4tRs" if i == 17 else " end") for i in range(80)]
-    totals = np.zeros((2, secret_scan._STATES, secret_scan._STATES))
-    for text in texts:
-        ordinary = re.findall("[A-Za-z_]{5,}", text)
-        for label, strings in enumerate((ordinary, re.findall("token=([A-Za-z0-9]+)", text))):
-            for string in strings:
-                for a, b in zip(string, string[1:]):
-                    totals[label, secret_scan._LETTERS.index(a), secret_scan._LETTERS.index(b)] += 1
-    likely = np.log((totals + 0.5) / (totals + 0.5).sum(axis=2, keepdims=True))
-    ratio = secret_scan.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
-    assert np.allclose(ratio, (likely[1] - likely[0]).ravel())
+    texts = [prose(i, 30) + (" token=Zq9xK2vB7wLm4tRs" if i == 17 else f" End {i}") for i in range(80)]
+    chains = secret_scan.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    strings = ["Zq9xK2vB7wLm4tRs", "see Some_name9 there", "café-au-lait"]
+    wanted = plain.log_ratios(strings, *plain.chains(texts))
+    assert np.allclose(secret_scan.log_ratios(strings, chains), wanted)
+    nothing = secret_scan.train(spark.createDataFrame([], "doc_id long, text string"))
+    assert np.isfinite(nothing).all()
+
+
+ODD_NAMES = ("target", "slope", "source_size", "_order", "_slice", "_source", "_start", "_within", "_split", "_kept", "_line_doc",
+             "_starts", "_turn", "_blank", "_hash", "row", "rest", "starts", "left", "lines", "first", "turn", "blank", "alone", "label")
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(1, "a\nb\nc\nd", "p"), (2, "x\na\nb\n c\t\ny", "p"), (3, None, None), (3, None, None), (2, "one two", "q"), (4, "", "q")]
+    base = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    odd = base.select("*", *[F.concat_ws("/", F.lit(name), "doc_id").alias(name) for name in ODD_NAMES])
+    whole = lambda row: all(row[name] == f"{name}/{row['doc_id']}" for name in ODD_NAMES)
+    reachable(spark)
+    deduped = line_dedup.dedup_lines(odd)
+    assert deduped.count() == len(rows) and all(map(whole, deduped.collect()))
+    first = ngram_join.first_of_components(odd)
+    kept = first.collect()
+    assert first.columns == odd.columns and all(map(whole, kept))
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == sorted((i, text or "") for i, text, _ in rows)
+    mixed = mixing.mix(odd.withColumn("size", F.size(words(text_of())).cast("long")))
+    names = [name for name in ODD_NAMES if name not in mixing.RESULTS]
+    assert mixed.count() == len(rows)
+    assert all(row[name] == f"{name}/{row['doc_id']}" for row in mixed.collect() for name in names)
+
+
+def test_line_dedup_puts_null_ids_last(spark):
+    rows = [(None, "a\nb\nc"), (1, "a\nb\nc\nd"), (None, "x\ny\nz"), (None, "q\nx\ny\nz")]
+    deduped = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["n_lines"], r["n_removed_lines"]) for r in deduped.collect()) in (
+        [(3, 0), (3, 3), (4, 0), (4, 3)], [(3, 3), (3, 3), (4, 0), (4, 0)])
+    assert deduped.filter("doc_id = 1").first()["n_removed_lines"] == 0
 
 
 def test_line_dedup_keeps_other_columns(spark):

@@ -7,7 +7,8 @@ of ``documents``.  ``run`` writes each stage's result to the shared folder and r
 * line_dedup takes repeated lines out of the texts, and drops the documents that had lines and have none left.
 * ngram_join keeps one document of each group of near duplicates, the one with the least doc_id.
 * mixing puts the documents in training order, once for each time that they are taken; the last document
-  of a source is cut to the words that are still wanted; documents without words are not taken.
+  of a source ends after the words that are still wanted, with its spacing and lines kept; documents without words
+  are not taken.
 * byte_encoding gives the token ids of every document.
 
 Null doc_ids, languages, sources and texts, repeated rows and empty tables are dealt with as the operators
@@ -17,10 +18,10 @@ say; columns other than those of ``documents`` are not carried along.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensorloom.llm import byte_encoding as encoding, line_dedup as lines, mixing, ngram_join as near, quality_rules as rules
-from sensorloom.llm.common import reachable, stored, text_of, words
+from sensorloom.llm.common import SPACES, reachable, stored, text_of, words
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -51,6 +52,22 @@ def ngram_join(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFr
     return near.first_of_components(documents.select(*COLUMNS)).select(*COLUMNS)
 
 
+def first_words(text: Column, count: Column) -> Column:
+    """The text up to the end of its count-th word."""
+    pieces = F.split(F.translate(text, SPACES[1:], " " * (len(SPACES) - 1)), " ", -1)
+    begin = F.struct(F.lit(0).alias("words"), F.lit(0).alias("end"), F.lit(0).alias("at"))
+
+    def step(state: Column, piece: Column) -> Column:
+        full = state["words"] >= count
+        word = F.length(piece) > 0
+        return F.struct(
+            F.when(full | ~word, state["words"]).otherwise(state["words"] + 1).alias("words"),
+            F.when(full | ~word, state["end"]).otherwise(state["at"] + F.length(piece)).alias("end"),
+            (state["at"] + F.length(piece) + 1).alias("at"))
+
+    return F.left(text, F.aggregate(pieces, begin, step)["end"])
+
+
 def mixing_sources(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
     sized = documents.select(
         *COLUMNS, F.size(words(text_of())).cast("long").alias("size"), F.xxhash64("text").alias("tie"))
@@ -59,7 +76,7 @@ def mixing_sources(spark: SparkSession, documents: DataFrame, sf_dir: str) -> Da
         F.struct(F.col("position").alias("at"), F.col("first_words").alias("taken")),
         F.struct(F.col("again_position").alias("at"), (F.col("taken") - F.col("first_words")).alias("taken")))
     taken = mixed.withColumn("pass", F.explode(passes)).filter("pass.taken > 0")
-    cut = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("pass.taken").cast("int")), " ")
+    cut = first_words(F.col("text"), F.col("pass.taken"))
     ordered = taken.withColumn("text", F.when(F.col("pass.taken") < F.col("size"), cut).otherwise(F.col("text")))
     return _sized(ordered.orderBy("pass.at", "doc_id"))
 

@@ -1,4 +1,4 @@
-"""Removal of long strings that an earlier document has, by grouping equal windows.
+"""Removal of long strings that an earlier document has, by longest previous factors in suffix order.
 
 Texts are bytes; a string of LENGTH bytes counts as repeated when it also starts in a document with a
 smaller doc_id.  Every string of that length belongs to its anchor: the gram of GRAM bytes in it with
@@ -10,9 +10,9 @@ but the smallest lose everything.
 1. Anchors go to ranges of hash values, which send back those of two texts or more.
 2. Each text sends its cuttings below such anchors to the ranges of the anchors.
 3. There, equal cuttings are one kind, with their smallest document.  Where several kinds meet below one
-   anchor, their windows of LENGTH bytes are sorted, and equal ones form a group.  A window is removed unless
-   its document is the smallest of its group.  No suffix or longest-previous-factor array is built: only
-   whether a previous factor reaches LENGTH is needed.
+   anchor, their suffixes are put in order by LENGTH bytes.  The previous and the next smaller document in this
+   order give each suffix its longest previous factor; a string is removed if that has LENGTH bytes or more, so
+   the first document keeps it.  Suffixes are compared by no more than LENGTH bytes, as that alone is asked.
 4. The covered bytes go back to the documents, which merge them and keep the rest.
 
 What a thousandth of all documents or more have is known beforehand, and bounded in number.  A cutting of
@@ -301,20 +301,43 @@ def _cuttings_sent(common: np.ndarray, contents: np.ndarray, least: np.ndarray,
     return cut
 
 
-def _smallest(raw: np.ndarray, firsts: np.ndarray, documents: np.ndarray) -> np.ndarray:
-    """For strings of LENGTH bytes at these places: the smallest document that has the same string."""
+def smaller_before(values: np.ndarray) -> np.ndarray:
+    """For each place the nearest place before it with a smaller value, -1 where there is none.
+
+    All places look at once: who has found no smaller value goes on from where the place he looked at has got to,
+    as everything in between is at least as large.  So the distance about doubles in each round.
+    """
+    before = np.arange(-1, len(values) - 1)
+    looking = np.arange(len(values))
+    while len(looking := looking[before[looking] >= 0]):
+        looking = looking[values[before[looking]] >= values[looking]]
+        before[looking] = before[before[looking]]
+    return before
+
+
+def factors_reach(raw: np.ndarray, firsts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Whether the longest previous factor of each place, in documents before its own, has LENGTH bytes or more.
+
+    The suffixes at the places are brought into order by their first LENGTH bytes; longer common prefixes need
+    not be told apart.  The longest common prefix with a suffix of a smaller document is that with the previous or
+    with the next one in suffix order, and it is the least of the common prefixes of neighbours in between.
+    """
     words = _words(raw, ">u8")
     columns = [words[firsts + step].astype(np.uint64) for step in _WORDS]
     order = np.lexsort(columns[::-1])
-    fresh = np.zeros(len(firsts), bool)
-    fresh[:1] = True
+    short = np.zeros(len(firsts), bool)  # the common prefix with the suffix before is shorter than LENGTH
     for column in columns:
         ordered = column[order]
-        fresh[1:] |= ordered[1:] != ordered[:-1]
-    starts = np.flatnonzero(fresh)
-    least = np.minimum.reduceat(documents[order], starts)
-    out = np.empty(len(firsts), np.int64)
-    out[order] = np.repeat(least, np.diff(np.r_[starts, len(firsts)]))
+        short[1:] |= ordered[1:] != ordered[:-1]
+    shorter = np.cumsum(short)
+    ordered = documents[order]
+    previous = smaller_before(ordered)
+    following = len(ordered) - 1 - smaller_before(ordered[::-1])[::-1]
+    reach = np.zeros(len(firsts), bool)
+    for other, there in ((previous, previous >= 0), (following, following < len(ordered))):
+        reach[there] |= shorter[other[there]] == shorter[there]
+    out = np.empty(len(firsts), bool)
+    out[order] = reach
     return out
 
 
@@ -329,20 +352,21 @@ def _repeated(raw, grams, counts, keys, orders, places):
     kind = np.empty(len(order), np.int64)
     kind[order] = np.cumsum(fresh) - 1
     sample = order[fresh]
-    # The strings of a kind have its smallest document, unless another kind lies below the anchor.
+    # Only the smallest document of a kind keeps its strings, unless other kinds lie below the anchor: then the
+    # longest previous factors of the kind's strings decide.
     sizes = counts[sample]
     offsets = np.cumsum(sizes) - sizes
-    least = np.repeat(orders[sample], sizes)
+    earlier = np.zeros(int(sizes.sum()), bool)
     same = np.r_[False, grams[sample][1:] == grams[sample][:-1]]
     mixed = np.repeat(same | np.r_[same[1:], False], sizes)
     if mixed.any():
         firsts = np.repeat(starts[sample] - offsets, sizes) + np.arange(int(sizes.sum()))
-        least[mixed] = _smallest(raw, firsts[mixed], least[mixed])
-    # All strings of all cuttings, and the runs of those with a smaller document.
+        earlier[mixed] = factors_reach(raw, firsts[mixed], np.repeat(orders[sample], sizes)[mixed])
+    # All strings of all cuttings, and the runs of those that a smaller document has.
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(counts)), counts)
     inner = np.arange(int(ends[-1])) - (ends - counts)[owner]
-    hit = least[offsets[kind][owner] + inner] < orders[owner]
+    hit = earlier[offsets[kind][owner] + inner] | (orders[sample][kind] < orders)[owner]
     edge = np.zeros(len(hit) + 1, bool)
     edge[ends - counts] = True
     edge[-1] = True

@@ -176,6 +176,29 @@ def test_suffix_anchors_belong_to_the_string():
     assert (place[:count] - np.arange(count) == place[half:half + count] - np.arange(half, half + count)).all()
 
 
+def test_smaller_places_in_suffix_order():
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 2, 7, 60, 500):
+        for high in (2, 5, 1000):
+            values = rng.integers(0, high, size)
+            wanted = [next((j for j in range(i - 1, -1, -1) if values[j] < values[i]), -1) for i in range(size)]
+            assert suffix_dedup.smaller_before(values).tolist() == wanted
+    assert suffix_dedup.smaller_before(np.arange(5000)[::-1]).tolist() == [-1] * 5000
+
+
+def test_longest_previous_factors():
+    """Against all pairs: places of few letters, so that many strings of 50 bytes are equal or nearly so."""
+    rng = np.random.default_rng(3)
+    passages = [rng.integers(97, 100, 70, dtype=np.uint8) for _ in range(4)]
+    raw = np.concatenate([passages[k] for k in rng.integers(0, 4, 30)] + [np.zeros(64, np.uint8)])
+    firsts = rng.integers(0, len(raw) - 64, 400)
+    documents = rng.integers(0, 12, 400)
+    strings = [raw[at: at + suffix_dedup.LENGTH].tobytes() for at in firsts]
+    wanted = [any(b == a and d < c for b, d in zip(strings, documents)) for a, c in zip(strings, documents)]
+    found = suffix_dedup.factors_reach(raw, firsts, documents)
+    assert found.tolist() == wanted and 0 < found.sum() < 400
+
+
 def _given_chains(spark):
     return secret_scan.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
 

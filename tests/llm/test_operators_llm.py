@@ -313,18 +313,25 @@ def test_offsets_are_inverted_demand(spark):
         assert t + slope * (t * t - t) == pytest.approx(0.3)
 
 
-def _estimate(vectors, steps, core):
-    """The same estimate in numpy."""
-    scales = np.array(list(quality_rules.SCALES.values()))
-    grid = lambda values, share: (np.sort(np.floor(values * 256))[max(0, int(np.ceil(share * len(values))) - 1)] + 1) / 256
-    centre = np.array([grid(column, 0.5) for column in vectors.T])
-    spread = np.diag(scales ** 2)
-    away = lambda: np.sqrt(np.einsum("ij,jk,ik->i", vectors - centre, np.linalg.inv(spread), vectors - centre))
-    for _ in range(steps):
-        inside = vectors[away() < grid(away(), core)]
-        centre, spread = inside.mean(axis=0), np.cov(inside.T, bias=True) + np.diag(scales ** 2)
-    distance = away() ** 2
-    return distance / max(1.0, grid(np.sqrt(distance), 0.5) ** 2 / quality_rules.MEDIAN)
+def _estimate(vectors, noise, steps, core):
+    """The same estimate in numpy: the least determinant of three starts.  Also which start it came from."""
+    def grid(values, share, fine=1):
+        return (np.sort(np.floor(values * fine * 256))[max(0, int(np.ceil(share * len(values))) - 1)] + 1) / 256 / fine
+
+    scales = np.array([grid(column, 0.5, 16) for column in quality_rules.NOISE * noise.T])
+    middle = np.array([grid(column, 0.5) for column in vectors.T])
+    deviation = 1.4826 * np.array([grid(column, 0.5, 16) for column in np.abs(vectors - middle).T])
+    ridge, found = np.diag(scales ** 2), []
+    for centre, spread in ((middle, ridge), (middle, np.diag(np.maximum(scales, deviation) ** 2)),
+                           (vectors.mean(axis=0), np.cov(vectors.T, bias=True) + ridge)):
+        def away(centre, spread):
+            return np.sqrt(np.einsum("ij,jk,ik->i", vectors - centre, np.linalg.inv(spread), vectors - centre))
+        for _ in range(steps):
+            inside = vectors[away(centre, spread) < grid(away(centre, spread), core)]
+            centre, spread = inside.mean(axis=0), np.cov(inside.T, bias=True) + ridge
+        found.append((np.linalg.slogdet(spread)[1], len(found), away(centre, spread) ** 2))
+    distance = min(found, key=lambda one: one[:2])[2]
+    return distance / max(1.0, grid(np.sqrt(distance), 0.5) ** 2 / quality_rules.MEDIAN), [value for value, _, _ in found]
 
 
 def test_robust_distances(spark):
@@ -339,11 +346,15 @@ def test_robust_distances(spark):
     names = "n_words word_chars n_symbols n_upper n_lines n_dup_lines n_repeat_words"
     counted = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(
         f"{name} long" for name in names.split()))
-    judged = quality_rules.outliers(quality_rules.vectors(counted)).toPandas()
+    judged = quality_rules.outliers(quality_rules.vectors(counted).withColumns({
+        f"noise_{name}": value for name, value in quality_rules.noise().items()})).toPandas()
     for group in ("g", "h"):
         part = judged[judged["source"] == group]
-        wanted = _estimate(part[list(quality_rules.SCALES)].to_numpy(), quality_rules.STEPS, quality_rules.CORE)
+        noise = part[[f"noise_{name}" for name in quality_rules.NAMES]].to_numpy()
+        wanted, determinants = _estimate(
+            part[list(quality_rules.NAMES)].to_numpy(), noise, quality_rules.STEPS, quality_rules.CORE)
         assert np.allclose(part["distance"], wanted, rtol=1e-6)
+        assert max(determinants) - min(determinants) > 1e-3  # the starts do not all end alike
         assert set(part[part["outlier"]]["doc_id"]) >= {i for i in range(200) if i % 20 == 0}
         assert part["outlier"].sum() <= 20
 

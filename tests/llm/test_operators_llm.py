@@ -2,6 +2,8 @@
 
 import random
 import re
+import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -383,9 +385,46 @@ def test_a_third_of_identical_junk_is_rejected(spark):
     assert {row["doc_id"] for row in judged if row["outlier"]} == set(range(0, 300, 3))
 
 
+def test_ranking_is_the_least_of_its_loss():
+    """The weights against the loss itself, on the same pairs: no small step in any direction lowers it."""
+    draw = np.random.default_rng(9)
+    vectors = draw.standard_normal((300, 6)) * [1, 2, 3, 1, 1, 1]
+    good = vectors @ [1.0, -0.5, 0.2, 0, 0, 0] + draw.standard_normal(300) > 0.4
+    ranking = quality_ranking.fit(vectors, good, 0.4, pairs=2000)
+    plain_ = (vectors - vectors.mean(axis=0)) / (vectors.std(axis=0) + 1e-6)
+    same = np.random.default_rng(0)
+    better, worse = plain_[good], plain_[~good]
+    pairs = [(better[i], worse[j]) for i, j in zip(same.integers(len(better), size=2000), same.integers(len(worse), size=2000))]
+
+    def loss(weights):
+        return sum(np.log1p(np.exp(-(a - b) @ weights)) for a, b in pairs) / 2000 + quality_ranking.PENALTY / 2 * weights @ weights
+
+    least = loss(ranking.weights)
+    for k in range(6):
+        for step in (-1e-3, 1e-3):
+            assert loss(ranking.weights + step * np.eye(6)[k]) > least
+    raw = np.sort(ranking.raw(vectors))
+    assert ((ranking.scores(vectors) >= 0.3) == (ranking.raw(vectors) >= ranking.threshold)).all()
+    assert raw[0] < ranking.threshold < raw[-1]
+
+
+def test_words_are_learned():
+    """Texts that differ in nothing but their words."""
+    draw = random.Random(4)
+    text = lambda good: " ".join(draw.choice(("amber basil cedar" if good else "vapor xenon zinca").split() + ["other", "words"])
+                                 for _ in range(60))
+    labels = np.array([i % 2 == 0 for i in range(200)])
+    vectors = np.array([quality_ranking.features(text(good)) for good in labels])
+    ranking = quality_ranking.fit(vectors, labels, 0.5)
+    fresh = [quality_ranking.features(text(good)) for good in labels]
+    assert ((ranking.scores(np.array(fresh)) >= 0.3) == labels).all()
+    shares = quality_ranking.buckets(Counter({"Amber": 1, "amber": 2, "zinca": 1}))
+    assert shares[zlib.crc32(b"amber") % quality_ranking.BUCKETS] == pytest.approx(0.75 ** 0.5) and (shares ** 2).sum() == pytest.approx(1)
+
+
 def test_ranking_without_two_labels():
-    ranking = quality_ranking.fit(np.zeros((3, len(quality_ranking.FEATURES))), np.array([True] * 3), 0.0)
-    assert ranking.scores(np.zeros((2, len(quality_ranking.FEATURES)))).tolist() == [0.5, 0.5]
+    ranking = quality_ranking.fit(np.zeros((3, quality_ranking.WIDTH)), np.array([True] * 3), 0.0)
+    assert ranking.scores(np.zeros((2, quality_ranking.WIDTH))).tolist() == [0.5, 0.5]
 
 
 def test_split_pattern_is_the_published_one():

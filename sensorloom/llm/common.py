@@ -43,6 +43,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of text whose parcels one Python worker holds at once.
+ROUTE_BYTES = 64 << 20
+
+
+def routes_for(documents: DataFrame) -> int:
+    """How many ranges parcels of the documents' texts are dealt to: as many as tasks, or more for much text."""
+    size = documents.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(partitions(documents.sparkSession), -(-size // ROUTE_BYTES))
+
+
 #: Rows and bytes that go to Python at once: texts have some kilobytes each, and Arrow buffers lie outside
 #: the heap.
 AT_ONCE = {

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorloom.llm import blobs, shared_features
 from sensorloom.llm.arrow_rows import PARCEL_PORTION, portions
-from sensorloom.llm.common import partitions, stored
+from sensorloom.llm.common import routes_for, stored
 from sensorloom.llm.components import components
 from sensorloom.llm.shared_features import BITS, PARCEL
 
@@ -312,8 +312,7 @@ def linked_components(classes: DataFrame, percent: int, cell: int = CELL) -> Dat
 
 def _labelled(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows with their class key, and (node, label) of the classes that link to another one."""
-    spark = documents.sparkSession
-    routes = partitions(spark)
+    routes = routes_for(documents)
     sets = document_sets(documents, words)
     ids = sets.filter("feature IS NULL").drop("feature")
     reports = sets.filter("feature IS NOT NULL").select("feature", F.col("n_shingles").alias("owners"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.llm import blobs, shared_features
 from sensorloom.llm.arrow_rows import PARCEL_PORTION, PORTION, portions
-from sensorloom.llm.common import partitions, stored
+from sensorloom.llm.common import routes_for, stored
 from sensorloom.llm.shared_features import BITS, PARCEL, batch_of, is_in
 
 LENGTH, GRAM = 50, 24
@@ -443,8 +443,8 @@ def _kept(schema: pa.Schema):
 
 def dedup(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row."""
-    routes = partitions(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    routes = routes_for(texts)
     size = texts.count()
     reports = stored(texts.mapInArrow(_reported, "content boolean, feature long, owners long, least long"), "anchors")
     common = shared_features.common_features(reports.filter("NOT content"), size)

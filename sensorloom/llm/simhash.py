@@ -1,14 +1,18 @@
 """Document fingerprints by SimHash, and all pairs of them within a Hamming radius.
 
 Terms are single words and runs of two words.  A term votes for or against each bit by the bits of its
-128-bit hash, with weight ``1 + ln(count)``, single words with a part of that.  The likeness of two fingerprints
-is the cosine that their differing bits estimate, not below 0.
+128-bit hash, with weight ``1 + ln(count)``, runs of two words with half of that, in thousandths.  The likeness of two
+fingerprints is the cosine that their differing bits estimate, not below 0.
 
-For a radius r the bits are cut into r + 2 blocks; fingerprints within r bits of each other agree on two
-blocks at least.  There is a table for every block, keyed by its bits; inside a key, fingerprints are
-compared that agree on a later block too, or all of them where this is less.  A pair counts where its first
-agreeing block is the table's.  Likeness 0.75 of sets of five-word shingles is about 12 differing bits on
-average for 300 words, so the search goes to 16.
+For a radius r and m blocks to agree on, the bits are cut into r + m blocks: fingerprints within r bits of each
+other agree on m blocks at least.  There is a table for every choice of the first one or two (``lead``) of these
+blocks, keyed by their bits; inside a key, fingerprints are compared that agree on m - lead later blocks too, or
+all of them where this is less.  A pair counts where its first m agreeing blocks are the ones it is met by.  The
+more fingerprints there are, the more blocks have to agree (``agreement``), which changes the cost and not the
+result.
+
+Single words changed at random until the Jaccard similarity of five-word shingles is just above 0.75 leave
+0.94 or more of the copies of 60, 100, 300 and 1,000 words within 14 bits, which is the radius of the search.
 
 A document's near ones are counted as rows: exact copies of it, and all copies of the fingerprints within
 the radius.
@@ -21,6 +25,8 @@ document is its own next one; no documents give no rows.
 from __future__ import annotations
 
 import hashlib
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +38,19 @@ from sensorloom.llm.common import partitions, stored
 
 BITS, RADIUS = 128, 3
 #: Radius that the query searches.
-NEAR = 16
-#: Weight of a single word against that of two.
-SINGLE = 0.5
-#: Fingerprints of one table key that are compared in one task at least; this many parts of all fingerprints
-#: may be a cell, when that is more.  A key with more is cut into cells.
-CELL, CELL_SHARE = 2048, 64
+NEAR = 14
+#: Weight of two words against that of a single one.
+DOUBLE = 0.5
+#: Parts that a weight is rounded to.
+UNIT = 1000
+#: Fingerprints of one table key that are compared in one task at most.  A key with more is cut into cells.
+CELL = 1 << 16
+#: Blocks that near fingerprints can be asked to agree on, and the cost of comparing two against sorting one.
+AGREEMENTS, COMPARING = range(2, 7), 0.2
 #: Pairs whose bits are compared at once.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
+#: Crowded keys that are broadcast at most; more are joined by a shuffle.
+CROWDS = 200_000
 #: Parts that the rows of one fingerprint are spread over.
 SALTS = 32
 
@@ -74,7 +85,8 @@ def fingerprint(text: str) -> np.ndarray:
     single, times = np.unique(hashes, return_counts=True)
     double, both = np.unique(_stir(hashes[:-1], _MIX[0]) + hashes[1:], return_counts=True)
     terms = np.r_[single, double]
-    weights = np.r_[SINGLE * (1 + np.log(times)), 1 + np.log(both)]
+    # Whole numbers, whose sums do not depend on the order of terms.
+    weights = np.rint(UNIT * np.r_[1 + np.log(times), DOUBLE * (1 + np.log(both))])
     halves = np.stack([_stir(_stir(terms + factor, factor), _MIX[0]) for factor in _MIX], axis=1)
     cells = halves.view(np.uint8).reshape(len(terms), BITS // 8) + _COLUMN
     votes = np.bincount(
@@ -164,7 +176,8 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     id_type = documents.schema["doc_id"].dataType.simpleString()
     order = F.col("doc_id").desc_nulls_last()
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    dealt = texts.repartitionByRange(partitions(spark), order).sortWithinPartitions(order, "text")
+    # The start of the text spreads rows that share a doc_id, or have none.
+    dealt = texts.repartitionByRange(partitions(spark), order, F.substring("text", 1, 64)).sortWithinPartitions(order, "text")
     found = stored(dealt.mapInArrow(
         _in_order, f"doc_id {id_type}, {_OUT}, edge string, place int, text string"), "fingerprints")
     firsts = found.filter("edge = 'first'").select("place", F.col("text").alias("next_text"))
@@ -179,82 +192,114 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return found.filter("edge IS NULL").select(*closed.columns).unionAll(closed)
 
 
-def _blocks(radius: int) -> list[np.ndarray]:
-    return np.array_split(np.arange(BITS), radius + 2)
+def agreement(size: int, radius: int, cell: int = CELL) -> tuple[int, int]:
+    """For this many fingerprints: the blocks that near ones are asked to agree on, and how many of them
+    make the key of a table, so that a key of evenly spread fingerprints fits a cell."""
+    def cost(m: int) -> float:
+        return comb(radius + m, m) * (1 + COMPARING * size / 2 / 2 ** (BITS * m / (radius + m)))
+
+    m = min(AGREEMENTS, key=cost)
+    lead = next((k for k in range(1, m) if size / 2 ** (BITS * k / (radius + m)) <= cell), m - 1)
+    return m, lead
+
 
+def _blocks(count: int) -> list[np.ndarray]:
+    return np.array_split(np.arange(BITS), count)
 
-def _block_keys(bits: np.ndarray, radius: int) -> np.ndarray:
+
+def _block_keys(bits: np.ndarray, count: int) -> np.ndarray:
     """Rows of bits to the number that each block's bits make."""
     return np.stack([
-        bits[:, block].astype(np.int64) @ (np.int64(1) << np.arange(len(block), dtype=np.int64)) for block in _blocks(radius)],
+        bits[:, block].astype(np.int64) @ (np.int64(1) << np.arange(len(block), dtype=np.int64)) for block in _blocks(count)],
         axis=1)
 
 
+def _joint(keys: np.ndarray, chosen: tuple[int, ...]) -> np.ndarray:
+    """One number for the bits of the chosen blocks.  Where they are more than 64, others may get the same."""
+    width, joint = -(-BITS // keys.shape[1]), np.zeros(len(keys), np.int64)
+    for block in chosen:
+        joint = (joint << np.int64(width)) + keys[:, block]
+    return joint
+
+
 def _bits(raw: list[bytes]) -> np.ndarray:
     return np.unpackbits(np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BITS // 8), axis=1)
 
 
-def _keys(radius: int):
+def _keys(radius: int, m: int, lead: int):
     """Each fingerprint with its key in every table."""
 
     def keyed(batches):
+        tables = list(combinations(range(radius + m), lead))
         for batch in batches:
             raw, copies = batch.column(0), batch.column(1)
             if not len(raw):
                 continue
-            for table, keys in enumerate(_block_keys(_bits(raw.to_pylist()), radius).T):
-                yield pa.RecordBatch.from_arrays(
-                    [raw, copies, pa.array(np.full(len(raw), table, np.int32)), pa.array(keys)],
-                    ["fingerprint", "copies", "table", "key"])
+            keys = _block_keys(_bits(raw.to_pylist()), radius + m)
+            for table, chosen in enumerate(tables):
+                if chosen[-1] <= radius + lead - 1:  # later blocks are too few to agree on the rest
+                    yield pa.RecordBatch.from_arrays(
+                        [raw, copies, pa.array(np.full(len(raw), table, np.int32)), pa.array(_joint(keys, chosen))],
+                        ["fingerprint", "copies", "table", "key"])
 
     return keyed
 
 
-def near_pairs(prints: np.ndarray, table: int, sides: np.ndarray, radius: int):
-    """Portions (i, j, apart) of the pairs of one cell within the radius whose first agreeing block is the
+def near_pairs(prints: np.ndarray, table: tuple[int, ...], sides: np.ndarray, radius: int, m: int):
+    """Portions (i, j, apart) of the pairs of one cell within the radius whose first agreeing blocks are the
     table's.  Rows of side 0 pair with each other, rows of side 1 with those of side 2."""
     words = np.ascontiguousarray(prints).view(np.uint64)
-    masks = np.zeros((radius + 2, BITS), np.uint8)
-    for block, places in enumerate(_blocks(radius)):
+    size, count, lead = len(words), radius + m, len(table)
+    masks = np.zeros((count, BITS), np.uint8)
+    for block, places in enumerate(_blocks(count)):
         masks[block, places] = 1
     masks = np.packbits(masks, axis=1).view(np.uint64)
-    size = len(words)
 
-    def judged(i: np.ndarray, j: np.ndarray, later: np.ndarray | None):
-        """``later``: the block that the pair is met by; pairs are taken at the first one."""
+    def judged(i: np.ndarray, j: np.ndarray, first: tuple[int, ...]):
+        """The near ones of pairs, where they agree on the blocks ``first`` and on no others up to the last."""
         apart = words[i] ^ words[j]
-        far = np.bitwise_count(apart[:, 0]) + np.bitwise_count(apart[:, 1])
+        far = np.bitwise_count(apart[:, 0]).astype(np.int64) + np.bitwise_count(apart[:, 1])
         near = np.flatnonzero((far <= radius) & ((sides[i] != sides[j]) | (sides[i] == 0)))
-        for block in range(table if later is None else radius + 2):
-            if not len(near):
-                break
-            if block != table:
-                differs = ((apart[near] & masks[block]) != 0).any(axis=1)
-                near = near[differs | (block >= later[near])] if block > table else near[differs]
-        return i[near], j[near], far[near].astype(np.int64)
-
-    keys = _block_keys(np.unpackbits(prints, axis=1), radius)[:, table + 1:]
-    blocks = np.repeat(np.arange(table + 1, radius + 2), size)
-    rows = np.tile(np.arange(size), keys.shape[1])
-    order = np.lexsort((keys.T.ravel(), blocks))
-    blocks, rows, keys = blocks[order], rows[order], keys.T.ravel()[order]
-    start = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (blocks[1:] != blocks[:-1])][:len(rows)])
-    sizes = np.diff(np.r_[start, len(rows)])
-    if (sizes * (sizes - 1)).sum() >= size * (size - 1):
+        agreeing = ((apart[near][:, None, :] & masks[None, : first[-1] + 1]) == 0).all(axis=2)
+        near = near[(agreeing == np.isin(np.arange(first[-1] + 1), first)).all(axis=1)]
+        return i[near], j[near], far[near]
+
+    keys = _block_keys(np.unpackbits(prints, axis=1), count)
+    rest = list(combinations(range(table[-1] + 1, count), m - lead))
+
+    def groups(chosen):
+        joint = _joint(keys, chosen)
+        order = np.argsort(joint)
+        ordered = joint[order]
+        start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        return order, start, np.diff(np.r_[start, size])
+
+    # Comparing all pairs costs less than sorting in small cells, and than meeting again and again in groups of copies.
+    every, met = size * (size - 1) // 2, 0
+    whole = COMPARING * every <= len(rest) * size
+    for chosen in () if whole else rest:
+        sizes = groups(chosen)[2]
+        met += int((sizes * (sizes - 1)).sum()) // 2
+        whole = met >= every
+        if whole:
+            break
+    if whole:
         at = 0
         while at < size - 1:
             some = min(size - 1 - at, max(1, AT_ONCE // size))
             i, j = np.nonzero(np.arange(size - at) > np.arange(some)[:, None])
-            yield judged(i + at, j + at, None)
+            yield judged(i + at, j + at, table)
             at += some
         return
-    ends = np.repeat(start + sizes, sizes)
-    active, step = np.arange(len(rows)), 1
-    while len(active := active[active + step < ends[active]]):
-        for at in range(0, len(active), AT_ONCE):
-            part = active[at: at + AT_ONCE]
-            yield judged(rows[part], rows[part + step], blocks[part])
-        step += 1
+    for chosen in rest:
+        order, start, sizes = groups(chosen)
+        ends = np.repeat(start + sizes, sizes)
+        active, step = np.arange(size), 1
+        while len(active := active[active + step < ends[active]]):
+            for at in range(0, len(active), AT_ONCE):
+                part = active[at: at + AT_ONCE]
+                yield judged(order[part], order[part + step], (*table, *chosen))
+            step += 1
 
 
 def _cells(batches):
@@ -276,23 +321,25 @@ def _cells(batches):
         yield pa.Table.from_batches(held[1])
 
 
-def _met(radius: int):
-    """Per cell the pairs within the radius, with the rows of the cell: (table, portions)."""
+def _met(radius: int, m: int, lead: int):
+    """Per cell the pairs within the radius, with the rows of the cell: (cell, portions)."""
 
     def met(batches):
+        tables = list(combinations(range(radius + m), lead))
         for cell in _cells(batches):
             if cell.num_rows > 1:
                 prints = np.frombuffer(b"".join(cell.column("fingerprint").to_pylist()), np.uint8).reshape(-1, BITS // 8)
-                yield cell, near_pairs(prints, cell.column("table")[0].as_py(), cell.column("side").to_numpy(), radius)
+                yield cell, near_pairs(
+                    prints, tables[cell.column("table")[0].as_py()], cell.column("side").to_numpy(), radius, m)
 
     return met
 
 
-def _counted(radius: int):
+def _counted(met):
     """Per cell: how many rows of others of the cell are near."""
 
     def counted(batches):
-        for cell, portions in _met(radius)(batches):
+        for cell, portions in met(batches):
             copies = cell.column("copies").to_numpy()
             count = np.zeros(len(copies), np.int64)
             for i, j, _ in portions:
@@ -306,9 +353,9 @@ def _counted(radius: int):
     return counted
 
 
-def _linked(radius: int):
+def _linked(met):
     def linked(batches):
-        for cell, portions in _met(radius)(batches):
+        for cell, portions in met(batches):
             prints = cell.column("fingerprint").combine_chunks()
             for i, j, apart in portions:
                 if len(i):
@@ -323,18 +370,18 @@ def members(prints: DataFrame) -> DataFrame:
     return prints.groupBy("fingerprint").agg(F.count("*").alias("copies"))
 
 
-def _dealt(distinct: DataFrame, radius: int, cell: int | None) -> DataFrame:
+def _dealt(distinct: DataFrame, radius: int, m: int, lead: int, cell: int) -> DataFrame:
     """The fingerprints in every cell where they are compared, cells together and in order.
 
     A key with more fingerprints than fit a cell is cut into parts by hash, and every two parts make a
     cell of their own, so that no task holds more than two parts and no pair is left out.
     """
     spark = distinct.sparkSession
-    cell = cell or max(CELL, distinct.count() // CELL_SHARE)
-    keyed = distinct.mapInArrow(_keys(radius), "fingerprint binary, copies long, table int, key long")
-    # So few that they can be broadcast: a table has at most CELL_SHARE keys over the share of a cell.
-    crowds = F.broadcast(keyed.groupBy("key", "table").agg(F.count("*").alias("size")).filter(
-        F.col("size") > cell).select("key", "table", F.ceil(F.col("size") / cell).cast("int").alias("parts")))
+    keyed = distinct.mapInArrow(_keys(radius, m, lead), "fingerprint binary, copies long, table int, key long")
+    crowds = stored(keyed.groupBy("key", "table").agg(F.count("*").alias("size")).filter(
+        F.col("size") > cell).select("key", "table", F.ceil(F.col("size") / cell).cast("int").alias("parts")), "crowds")
+    if crowds.count() <= CROWDS:
+        crowds = F.broadcast(crowds)
     part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
     # The cells of a part: with itself (side 0), and with each other part (side 1 as the smaller one).
     low, high = F.least("part", "with"), F.greatest("part", "with")
@@ -346,17 +393,25 @@ def _dealt(distinct: DataFrame, radius: int, cell: int | None) -> DataFrame:
     return cells.repartition(partitions(spark), "table", "key", "cell").sortWithinPartitions("table", "key", "cell")
 
 
-def near_links(prints: DataFrame, radius: int = NEAR, cell: int | None = None) -> DataFrame:
+def _searched(distinct: DataFrame, radius: int, cell: int, agreeing: tuple[int, int] | None, result, schema: str) -> DataFrame:
+    m, lead = agreeing or agreement(distinct.count(), radius, cell)
+    return _dealt(distinct, radius, m, lead, cell).mapInArrow(result(_met(radius, m, lead)), schema)
+
+
+def near_links(
+    prints: DataFrame, radius: int = NEAR, cell: int = CELL, agreeing: tuple[int, int] | None = None,
+) -> DataFrame:
     """(a, b, apart): every two distinct fingerprints within the radius, once.  With ``members`` these are
     all near rows; there are as many links as pairs, so a large group of near copies has very many."""
-    return _dealt(stored(members(prints), "members"), radius, cell).mapInArrow(
-        _linked(radius), "a binary, b binary, apart long")
+    return _searched(stored(members(prints), "members"), radius, cell, agreeing, _linked, "a binary, b binary, apart long")
 
 
-def near_counts(prints: DataFrame, radius: int = RADIUS, cell: int | None = None) -> DataFrame:
+def near_counts(
+    prints: DataFrame, radius: int = RADIUS, cell: int = CELL, agreeing: tuple[int, int] | None = None,
+) -> DataFrame:
     """(fingerprint, n_near): how many other rows, copies among them, lie within the radius, where any do."""
     distinct = stored(members(prints), "members")
-    found = _dealt(distinct, radius, cell).mapInArrow(_counted(radius), "fingerprint binary, n long")
+    found = _searched(distinct, radius, cell, agreeing, _counted, "fingerprint binary, n long")
     copies = distinct.filter("copies > 1").select("fingerprint", (F.col("copies") - 1).alias("n"))
     return found.unionAll(copies).groupBy("fingerprint").agg(F.sum("n").alias("n_near"))
 

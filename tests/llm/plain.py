@@ -29,6 +29,33 @@ def shingles(text) -> frozenset:
     return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
 
 
+def simhash(text: str) -> str:
+    """Votes of words and of two words in a row, bit by bit, as hex digits."""
+    import xxhash
+
+    whole = 2 ** 64 - 1
+    factors = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+    def stir(value, factor):
+        value = ((value ^ (value >> 31)) * factor) & whole
+        return value ^ (value >> 29)
+
+    hashes = [xxhash.xxh3_64_intdigest(word) for word in text.split()]
+    weights = {term: round(1000 * (1 + math.log(n))) for term, n in Counter(hashes).items()}
+    for term, n in Counter((stir(a, factors[0]) + b) & whole for a, b in zip(hashes, hashes[1:])).items():
+        weights[term] = weights.get(term, 0) + round(500 * (1 + math.log(n)))
+    votes = [0] * 128
+    for term, weight in weights.items():
+        raw = b"".join(stir(stir((term + f) & whole, f), factors[0]).to_bytes(8, "little") for f in factors)
+        for place in range(128):
+            votes[place] += weight if raw[place // 8] >> (7 - place % 8) & 1 else -weight
+    return int("".join("1" if vote > 0 else "0" for vote in votes), 2).to_bytes(16, "big").hex()
+
+
+def likeness(one: str, other: str) -> float:
+    return round(max(0.0, math.cos(math.pi * (int(one, 16) ^ int(other, 16)).bit_count() / 128)), 9)
+
+
 def component_ids(rows: list[tuple]) -> list[tuple]:
     """(doc_id, n_shingles, component_id) by comparing all pairs."""
     sets = [shingles(text) for _, text in rows]

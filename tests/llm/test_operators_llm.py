@@ -93,12 +93,13 @@ def test_near_counts_with_crowded_keys(spark):
             prints.add(one ^ sum({1 << draw.randrange(128) for _ in range(draw.randint(1, 5))}))
     wanted = {a: sum(1 for b in prints if a != b and (a ^ b).bit_count() <= 3) for a in prints}
     frame = spark.createDataFrame([(bytearray(a.to_bytes(16, "big")),) for a in prints], "fingerprint binary")
-    for cell in (2048, 4):
-        found = {int.from_bytes(row["fingerprint"], "big"): row["n_near"] for row in simhash.near_counts(frame, cell=cell).collect()}
+    for cell, agreeing in ((2048, None), (4, None), (16, (4, 3))):
+        near = simhash.near_counts(frame, cell=cell, agreeing=agreeing)
+        found = {int.from_bytes(row["fingerprint"], "big"): row["n_near"] for row in near.collect()}
         assert found == {a: n for a, n in wanted.items() if n}
 
 
-def test_near_rows_and_links_within_sixteen_bits(spark):
+def test_near_rows_and_links_within_the_radius(spark):
     """Copies count as rows; links are the pairs of distinct fingerprints; in one cell and in many."""
     draw = random.Random(14)
     base = [draw.getrandbits(128) for _ in range(40)]
@@ -106,26 +107,69 @@ def test_near_rows_and_links_within_sixteen_bits(spark):
             for one in [*base, *base[:3] * 30] for _ in range(2)]
     frame = spark.createDataFrame(
         [(i, 1, bytearray(a.to_bytes(16, "big"))) for i, a in enumerate(rows)], "doc_id long, n_chars long, fingerprint binary")
-    wanted = {i: sum((a ^ b).bit_count() <= 16 for b in rows) - 1 for i, a in enumerate(rows)}
+    wanted = {i: sum((a ^ b).bit_count() <= simhash.NEAR for b in rows) - 1 for i, a in enumerate(rows)}
     found = simhash.with_near_counts(frame).collect()
     assert {row["doc_id"]: row["n_near"] for row in found} == wanted
-    pairs = sorted((a, b, (a ^ b).bit_count()) for a, b in combinations(sorted(set(rows)), 2) if (a ^ b).bit_count() <= 16)
+    pairs = sorted((a, b, (a ^ b).bit_count()) for a, b in combinations(sorted(set(rows)), 2) if (a ^ b).bit_count() <= simhash.NEAR)
     number = lambda raw: int.from_bytes(raw, "big")
-    for cell in (None, 8):
-        links = simhash.near_links(frame, cell=cell).collect()
+    for cell, agreeing in ((2048, None), (8, None), (2048, (3, 2))):
+        links = simhash.near_links(frame, cell=cell, agreeing=agreeing).collect()
         assert sorted((*sorted((number(row["a"]), number(row["b"]))), row["apart"]) for row in links) == pairs
 
 
+def test_pairs_of_a_cell_by_blocks_and_by_all_pairs(monkeypatch):
+    """Rows that share the first block.  Comparing made dear sorts blocks, made cheap it compares all pairs."""
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 256, (700, 16), dtype=np.uint8)
+    noise = np.packbits(draw.random((700, 128)) < 0.07, axis=1)
+    prints = np.concatenate([base, base ^ noise])
+    prints[:, 0] = 5
+    apart = np.bitwise_count(prints[:, None, :] ^ prints[None, :, :]).sum(axis=-1)
+    wanted = {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(apart <= 14))) if i < j}
+    assert len(wanted) > 500
+    for comparing in (1000.0, 1e-9):
+        monkeypatch.setattr(simhash, "COMPARING", comparing)
+        for m in (2, 3, 4):
+            found = Counter()
+            for i, j, far in simhash.near_pairs(prints, (0,), np.zeros(len(prints), np.int32), 14, m):
+                assert (apart[i, j] == far).all()
+                found.update((min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist()))
+            assert set(found.values()) == {1} and set(found) == wanted
+
+
+def test_more_fingerprints_ask_for_more_agreement():
+    """Comparisons of a fingerprint grow by less than the fifth root of a hundred thousand times as many."""
+    chosen = [simhash.agreement(10 ** power, simhash.NEAR) for power in range(3, 12)]
+    assert chosen == sorted(chosen) and chosen[0] == (2, 1) and chosen[-1][0] > 4
+    for power, (m, lead) in zip(range(3, 12), chosen):
+        keys = 2 ** (128 * lead / (simhash.NEAR + m))
+        assert 10 ** power / keys <= simhash.CELL
+
+
 def test_near_copies_are_near():
-    """Jaccard 0.76 of five-word shingles."""
-    near = 0
-    for seed in range(40):
-        words = prose(3000 + seed, 300).split()
-        for k in range(8):
-            words[20 + 35 * k] = f"changed{k}"
-        one, other = simhash.fingerprint(prose(3000 + seed, 300)), simhash.fingerprint(" ".join(words))
-        near += int(np.bitwise_count(one ^ other).sum()) <= simhash.NEAR
-    assert near >= 36
+    """Single words changed at random while the Jaccard similarity of five-word shingles is 0.75 or more."""
+    for words, pairs in ((60, 150), (100, 150), (300, 100), (1000, 60)):
+        draw, near = random.Random(words), 0
+        for seed in range(pairs):
+            base = prose(3000 + seed, words).split()
+            own, text = plain.shingles(" ".join(base)), base
+            while True:
+                changed = list(text)
+                changed[draw.randrange(words)] = f"changed{draw.randrange(10 ** 6)}"
+                other = plain.shingles(" ".join(changed))
+                if len(own & other) < 0.75 * len(own | other):
+                    break
+                text = changed
+            one, two = simhash.fingerprint(" ".join(base)), simhash.fingerprint(" ".join(text))
+            near += int(np.bitwise_count(one ^ two).sum()) <= simhash.NEAR
+        assert near >= 0.9 * pairs, words
+
+
+def test_fingerprints_by_plain_votes():
+    """Every bit is the sign of the weighted votes, taken term by term."""
+    for text in ("one", "a a a b", prose(5, 40), "é\tx9 \n the", prose(6, 400)):
+        found = simhash.fingerprint(text)
+        assert plain.simhash(text) == bytes(found).hex()
 
 
 def test_stitching_of_overlapping_chunks():

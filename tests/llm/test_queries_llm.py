@@ -56,8 +56,12 @@ def test_fingerprints(spark, edges):
     for row, after in zip(ordered, [*ordered[1:], ordered[0]]):
         text, following = row[1] or "", after[1] or ""
         third = len(text) // 3
-        wanted[row[0], len(text), plain.sha256(text[:len(text) - third] + following[:third])] += 1
-    assert Counter((row["doc_id"], row["n_chars"], row["edited_sha256"]) for row in found) == wanted
+        edited = text[:len(text) - third] + following[:third]
+        own, changed, other = (plain.simhash(part) for part in (text, edited, following))
+        wanted[row[0], len(text), plain.sha256(edited), own, changed, plain.likeness(own, changed), plain.likeness(own, other)] += 1
+    assert Counter((
+        row["doc_id"], row["n_chars"], row["edited_sha256"], row["fingerprint"], row["edited_fingerprint"],
+        round(row["near_edited"], 9), round(row["near_next"], 9)) for row in found) == wanted
     prints = {row["doc_id"]: row["fingerprint"] for row in found}
     assert len({prints[200 + i] for i in range(8)} | {prints[1]}) == 1
     assert all(0 <= row[name] <= 1 for row in found for name in ("near_edited", "near_next"))

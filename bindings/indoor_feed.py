@@ -248,7 +248,7 @@ def indoor_rejects(spark, sf_dir):
     return rejected.groupBy("reject_reason").agg(F.count("*").alias("messages"))
 
 
-@query("indoor_flagship", f"""
+_FLAGSHIP_SQL = f"""
 WITH {ROWS_SQL},
   copies AS (SELECT DISTINCT "readingID", "messageDate", "dataType", try_cast("dataValue" AS double) AS value
              FROM readings),
@@ -258,10 +258,25 @@ WITH {ROWS_SQL},
              AS "messageDate" FROM means GROUP BY "dataType")
 SELECT grid."dataType", grid."messageDate", means.value
 FROM grid LEFT JOIN means ON means."dataType" = grid."dataType" AND means."messageDate" = grid."messageDate"
-""")
+"""
+
+
+@query("indoor_flagship", _FLAGSHIP_SQL)
 def indoor_flagship(spark, sf_dir):
     """Messages, many of them delivered twice, in conformed tables; their report is resampled."""
-    report = reports._indoor_rows(stored_indoor(spark, sf_dir), None, None)
+    return _resampled_report(stored_indoor(spark, sf_dir))
+
+
+@query("indoor_messages_to_report", _FLAGSHIP_SQL)
+def indoor_messages_to_report(spark, sf_dir):
+    """The whole way in one: both deliveries are loaded into new tables, and these are reported."""
+    root = shared_folder(spark, "tables")
+    load_indoor(spark, sf_dir, root)
+    return _resampled_report(read_tables(spark, root, indoor.TABLES))
+
+
+def _resampled_report(tables):
+    report = reports._indoor_rows(tables, None, None)
     numeric = report.select("dataType", "messageDate", F.col("dataValue").try_cast("double").alias("value"))
     grid = resample.resample_grid(numeric, "messageDate", ["value"], "60min", ["dataType"])
     return _rounded(grid, "value").withColumn("messageDate", F.col("messageDate").cast("timestamp_ntz"))

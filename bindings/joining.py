@@ -170,11 +170,21 @@ UPDATES_SQL = """
 
 @query("polymorphic_updates", f"""
 WITH updates AS ({UPDATES_SQL})
-SELECT o_orderkey AS order_key, o_orderstatus, last_update FROM orders JOIN updates ON o_orderkey = order_key
+SELECT 'order' AS kind, o_orderkey AS parent, o_orderstatus AS detail, last_update
+FROM orders JOIN updates ON o_orderkey = order_key
+UNION ALL
+SELECT 'line', p_partkey, p_name, last_update FROM part JOIN updates ON p_partkey = line_key
 """)
 def polymorphic_updates(spark, sf_dir):
-    parents = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderstatus")
-    return joins.with_parent_timestamp(parents, many_parent_updates(spark, sf_dir), "order_key", "last_update")
+    """Both kinds of parents, each with its own rows of the one timestamp table."""
+    updates = many_parent_updates(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("detail"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("line_key"), F.col("p_name").alias("detail"))
+    found = [
+        joins.with_parent_timestamp(parents, updates, key, "last_update").select(
+            F.lit(kind).alias("kind"), F.col(key).alias("parent"), "detail", "last_update")
+        for kind, parents, key in (("order", orders, "order_key"), ("line", parts, "line_key"))]
+    return combine.append_by_name(*found)
 
 
 @query("like_lookup", """

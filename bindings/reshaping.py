@@ -51,13 +51,15 @@ def unpivot_channels(spark, sf_dir):
 
 
 @query("pivot_channels", """
-SELECT user_id, avg(value) FILTER (event_type = 'click') AS click, avg(value) FILTER (event_type = 'view') AS view
+SELECT user_id, avg(value) FILTER (event_type = 'click') AS click, avg(value) FILTER (event_type = 'error') AS error,
+       avg(value) FILTER (event_type = 'purchase') AS purchase, avg(value) FILTER (event_type = 'signup') AS signup,
+       avg(value) FILTER (event_type = 'view') AS view
 FROM (SELECT user_id, event_type, round(value * 100) AS value FROM events) GROUP BY user_id
 """)
 def pivot_channels(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(
         "user_id", "event_type", F.round(F.col("value") * 100).alias("value"))
-    return reshape.pivot_channels(rows, ["user_id"], "event_type", "value", ["click", "view"])
+    return reshape.pivot_channels(rows, ["user_id"], "event_type", "value", ["click", "error", "purchase", "signup", "view"])
 
 
 # orders as documents: names and values as parallel lists, fewer names than values, and receivers.

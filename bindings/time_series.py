@@ -107,9 +107,11 @@ def time_bounds(spark, sf_dir):
 
 
 @query("missing_days", """
-SELECT cast(d AS date) AS day FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS d)
-WHERE cast(d AS date) NOT IN (SELECT cast(o_orderdate AS date) FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT o_orderpriority, cast(d AS date) AS day
+FROM (SELECT DISTINCT o_orderpriority FROM orders),
+     (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS d)
+WHERE (o_orderpriority, cast(d AS date)) NOT IN (SELECT (o_orderpriority, cast(o_orderdate AS date)) FROM orders)
 """)
 def missing_days_query(spark, sf_dir):
-    landed = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
-    return missing_days(landed, "o_orderdate", "1995-01-01", "2002-01-01")
+    """Per priority the days without any order of it."""
+    return missing_days(table(spark, sf_dir, "orders"), "o_orderdate", "1995-01-01", "2002-01-01", ["o_orderpriority"])

@@ -43,15 +43,29 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder that every executor can reach.
 
     Lies under ``spark.checkpoint.dir``.  A local session without that setting uses a temporary folder
-    that is removed when Python ends; a cluster session without it is refused.
+    that is removed when Python ends; a cluster session without it is refused.  All folders of an application
+    lie in one, which ``remove_scratch`` deletes.
     """
+    return f"{_scratch(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has put into shared folders, for the end of a job.
+
+    Frames that still read from there, and tables that were kept there, are gone with it.  False where there is nothing.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _scratch(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_scratch()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 @functools.cache

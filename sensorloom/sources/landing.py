@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
 def read_days(spark: SparkSession, path: str, schema: T.StructType, first_day: str, end_day: str) -> DataFrame:
@@ -17,15 +19,21 @@ def read_days(spark: SparkSession, path: str, schema: T.StructType, first_day: s
 
 def day_range(spark: SparkSession, first_day: str, end_day: str) -> DataFrame:
     """One row per day of a half-open range."""
+    return spark.range(1).select(F.explode(_days(first_day, end_day)).alias("day"))
+
+
+def _days(first_day: str, end_day: str) -> Column:
     start, end = F.lit(first_day).cast("date"), F.lit(end_day).cast("date")
-    days = F.when(end > start, F.sequence(start, F.date_sub(end, 1), F.expr("interval 1 day")))
-    return spark.range(1).select(F.explode(days).alias("day"))
+    return F.when(end > start, F.sequence(start, F.date_sub(end, 1), F.expr("interval 1 day")))
 
 
-def missing_days(landed: DataFrame, day: str, first_day: str, end_day: str) -> DataFrame:
-    """Days of the range for which nothing has landed."""
-    present = landed.select(F.to_date(day).alias("day")).distinct()
-    return day_range(landed.sparkSession, first_day, end_day).join(present, "day", "left_anti")
+def missing_days(landed: DataFrame, day: str, first_day: str, end_day: str, by: Sequence[str] = ()) -> DataFrame:
+    """Days of the range for which nothing has landed; with ``by``, for each source that has landed at any time."""
+    present = landed.select(*by, F.to_date(day).alias("day")).distinct()
+    if not by:
+        return day_range(landed.sparkSession, first_day, end_day).join(present, "day", "left_anti")
+    wanted = present.select(*by).distinct().withColumn("day", F.explode(_days(first_day, end_day)))
+    return wanted.subtract(present)
 
 
 def raw_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

@@ -72,6 +72,16 @@ def test_day_range_is_half_open_and_prunes(spark, tmp_path):
     assert sorted(row.day.day for row in missing.collect()) == [1, 27, 29]
 
 
+def test_missing_days_of_each_source(spark):
+    """A source without a name is one, days outside the range do not count, and two columns can name a source."""
+    rows = [("a", 1, "2024-02-28"), ("a", 1, "2024-02-28"), (None, 1, "2024-02-27"), ("b", 2, "2023-01-01"), ("b", None, None)]
+    landed = spark.createDataFrame(rows, "source string, part int, at string")
+    found = landing.missing_days(landed, "at", "2024-02-27", "2024-02-29", ["source"]).collect()
+    assert sorted((row.source or "", row.day.day) for row in found) == [("", 28), ("a", 27), ("b", 27), ("b", 28)]
+    assert landing.missing_days(landed, "at", "2024-02-27", "2024-02-29", ["source", "part"]).count() == 6
+    assert landing.missing_days(landed, "at", "2024-02-29", "2024-02-27", ["source"]).count() == 0
+
+
 def test_unreadable_documents_are_kept_as_text(spark, tmp_path):
     folder = tmp_path / "json"
     folder.mkdir()

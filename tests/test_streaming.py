@@ -1,8 +1,10 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from sensorloom import session
 from sensorloom.operators import resample
 from sensorloom.plans import uplink, water
 from sensorloom.session import shared_folder
@@ -96,3 +98,12 @@ def test_shared_folder_follows_the_session(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_scratch_of_the_application_is_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "_scratch", lambda _: str(tmp_path / "app"))
+    folder, kept = session.shared_folder(spark, "x"), tmp_path / "other"
+    spark.range(3).write.parquet(folder)
+    spark.range(3).write.parquet(str(kept))
+    assert session.remove_scratch(spark) and not os.path.exists(folder) and kept.exists()
+    assert not session.remove_scratch(spark)

@@ -466,6 +466,31 @@ def test_words_are_learned():
     assert shares[zlib.crc32(b"amber") % quality_ranking.BUCKETS] == pytest.approx(0.75 ** 0.5) and (shares ** 2).sum() == pytest.approx(1)
 
 
+def test_ranking_learns_from_every_labelled_row(spark, monkeypatch):
+    """Each pair holds a row of either label, and all rows are in pairs, with a rare label too."""
+    monkeypatch.setattr(quality_ranking, "GROUP_ROWS", 40)
+    seen = []
+    original = quality_ranking._pairs
+    monkeypatch.setattr(quality_ranking, "_pairs", lambda rows, sizes: seen.append((rows, sizes, original(rows, sizes))) or seen[-1][2])
+    texts = [(i, f"{'amber basil' if i % 9 == 0 else 'vapor xenon'} w{i} " * (3 + i % 7)) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i, _ in texts], "doc_id long, quality int")
+    ranking = quality_ranking.train(spark.createDataFrame(texts, "doc_id long, text string"), labels)
+    used = [(i, text) for i, text in texts if zlib.crc32(str(i).encode()) % 5]
+    rows, sizes, pairs = seen[0]
+    assert sizes == {1: sum(i % 9 == 0 for i, _ in used), 0: sum(i % 9 != 0 for i, _ in used)}
+    vectors = {i: quality_ranking.features(text) for i, text in used}
+    differences = np.array([np.frombuffer(bytes(row["x"])) for row in pairs.collect()])
+    good = {tuple(vectors[i]) for i, _ in used if i % 9 == 0}
+    bad = {tuple(vectors[i]) for i, _ in used if i % 9}
+    assert len(differences) >= sizes[0]
+    made = {tuple(np.round(np.array(g) - np.array(b), 9) + 0.0): (g, b) for g in good for b in bad}
+    met = [made[tuple(np.round(one, 9) + 0.0)] for one in differences]
+    assert {g for g, _ in met} == good and {b for _, b in met} == bad
+    raw = np.sort(ranking.raw(np.array([vectors[i] for i, _ in used])))
+    cut = sizes[0]
+    assert ranking.threshold == pytest.approx((raw[cut - 1] + raw[cut]) / 2, abs=1e-9)
+
+
 def test_ranking_without_two_labels():
     ranking = quality_ranking.fit(np.zeros((3, quality_ranking.WIDTH)), np.array([True] * 3), 0.0)
     assert ranking.scores(np.zeros((2, quality_ranking.WIDTH))).tolist() == [0.5, 0.5]

@@ -41,7 +41,8 @@ def _run_ingest(spark, sf_dir, root: str) -> None:
 
 def _land(drop, folder: str) -> None:
     body = F.struct(*[name for name in drop.columns if name in INDOOR_MESSAGE.names])
-    as_text(drop, "messageDate").select(F.array(body).alias("sensorMessages")).write.mode("append").json(folder)
+    as_text(drop, "messageDate").select(F.array(body).alias("sensorMessages")).write.mode("append").option(
+        "compression", "gzip").json(folder)
 
 
 def _ingest(spark, landed: str, root: str, checkpoint: str, **options):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.plans import checks
-from sensorloom.sources import store as store_module
+from sensorloom.sources import store as store_module, tables as tables_module
 from sensorloom.sources.store import Conflict, Store, forget_unused
 from sensorloom.sources.tables import (
     Table, batches_of, compact, load_tables, read_repeats, read_table, read_tables, remove_duplicates, withdraw)
@@ -314,3 +314,39 @@ def test_bins_take_late_rows_and_repeated_batches(spark, tmp_path):
     assert means() == expected and read_table(spark, root, bins.table).count() == 3
     with pytest.raises(ValueError):
         Bins("bins", "ts", ("v",), "7min")
+
+
+def test_rows_without_copies_are_written_where_they_lie(spark, tmp_path, monkeypatch):
+    """A first load compares only keys' hashes, and rows of copies; days with enough rows are not dealt anew."""
+    monkeypatch.setattr(tables_module, "DAY_ROWS", 1)
+    store = Store(spark, str(tmp_path))
+    rows = spark.range(0, 100, 1, 2).selectExpr("cast(id as int) id", "cast('2024-01-01' as timestamp) at", "'x' v")
+    once = tables_module._each_once(rows, store, FACT, ("id",))
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    copies = rows.unionAll(rows.filter("id < 5").withColumn("v", F.lit("a")))
+    once = tables_module._each_once(copies, store, FACT, ("id",)).collect()
+    assert sorted((row["id"], row["v"]) for row in once) == [(i, "a" if i < 5 else "x") for i in range(100)]
+    monkeypatch.setattr(tables_module, "NAMED_KEYS", 2)
+    assert tables_module._each_once(copies, store, FACT, ("id",)).count() == 100
+    load_tables({"fact": copies}, {"fact": FACT}, str(tmp_path), "a")
+    assert _files(tmp_path) and all(name.endswith(".zstd.parquet") for name in _files(tmp_path))
+    assert read_table(spark, str(tmp_path), FACT).count() == 100
+
+
+def test_keys_with_nulls_in_other_places_are_other_keys(spark, tmp_path):
+    table = Table("child", "a string, b string, at timestamp", one_for=("a", "b"), day_of="at")
+    for load, facts in (("first", [("k", None), ("m", "n")]), ("second", [(None, "k"), ("k", None), (None, None)])):
+        frame = spark.createDataFrame(facts, "a string, b string").withColumn("at", F.lit("2024-01-01").cast("timestamp"))
+        load_tables({"child": frame}, {"child": table}, str(tmp_path), load)
+    kept = {(row["a"], row["b"], row["batch"]) for row in read_table(spark, str(tmp_path), table).collect()}
+    assert kept == {("k", None, "first"), ("m", "n", "first"), (None, "k", "second"), (None, None, "second")}
+    assert [(row["a"], row["b"]) for row in read_repeats(spark, str(tmp_path), table).collect()] == [("k", None)]
+
+
+def test_landed_documents_are_compressed(spark, tmp_path):
+    from bindings.registry import landed
+    spark.range(50).write.parquet(str(tmp_path / "ids.parquet"))
+    folder = landed(spark, str(tmp_path), "compressed", "ids", lambda rows: rows.selectExpr("struct(id, 'text' as name) as one"))
+    names = [name for name in os.listdir(folder.removeprefix("file:")) if name.startswith("part-")]
+    assert names and all(name.endswith(".json.gz") for name in names)
+    assert spark.read.json(folder).select("one.id").distinct().count() == 50

@@ -388,6 +388,6 @@ def test_a_second_delivery_is_judged_where_it_lies(spark, tmp_path, monkeypatch)
         "a": 40, "b": 4, "c": 30, "d": 20}
     assert read_repeats(spark, root, FACT).filter("batch = 'd'").count() == 20
     plan = tables_module._where_they_lie(
-        rows, rows.withColumn("batch", F.lit("a")), FACT, ["id"],
+        rows, rows.withColumn("batch", F.lit("a")), FACT,
         spark.createDataFrame([], "_digest_1 bigint, _digest_2 bigint, copies boolean"), True)
     assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()

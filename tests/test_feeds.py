@@ -1,9 +1,11 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from sensorloom.functions.temporal import plain_timestamp
 from sensorloom.plans import checks, indoor, reports, uplink, water
 from sensorloom.plans.load import load_batch
 from sensorloom.sources.documents import read_documents, read_envelope, readable
@@ -289,3 +291,25 @@ def test_a_replay_with_fewer_days_leaves_nothing_stale(spark, indoor_messages, t
     for name in ("indoor_readings", "indoor_sensor_voltage"):
         days = {str(row["day"]) for row in read_table(spark, root, indoor.TABLES[name]).select("day").distinct().collect()}
         assert days == {"2021-03-29"}
+
+
+def test_staged_polls_give_the_same_rows_and_rejects(spark, polls, tmp_path):
+    """Polls that are judged and cut before they are written are written once; nothing else changes."""
+    found = {}
+    for name, stage in (("plain", None), ("staged", water.stage)):
+        root, staging = str(tmp_path / name), str(tmp_path / f"staging {name}")
+        rejected = load_batch(polls, water.prepare, water.tables, water.TABLES, root, "one", staging, stage)
+        rows = {table: sorted(map(str, read_table(spark, root, spec).collect())) for table, spec in water.TABLES.items()}
+        found[name] = rejected.columns, sorted(map(str, rejected.collect())), rows
+        assert sorted(os.listdir(f"{staging}/one")) == (["documents"] if stage else ["accepted", "documents"])
+    assert found["plain"] == found["staged"] and len(found["plain"][1]) == 2
+
+
+def test_plain_timestamps_are_those_of_the_pattern(spark):
+    texts = ["2021-01-01 00:00:00", "2021-02-30 00:00:00", "2021-01-01T00:00:00", "2021-01-01 00:00:5 ", "2021-01-01 00:00:00\n",
+             " 2021-01-01 00:00:00", "0000-01-01 00:00:00", "2021-01-01 24:00:00", "2021-01-01 00:00:0Z", "bad", "", None]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    pattern = F.try_to_timestamp("text", F.lit("yyyy-MM-dd HH:mm:ss")).cast("string")
+    rows = frame.select("text", plain_timestamp(F.col("text")).cast("string").alias("found"), pattern.alias("wanted")).collect()
+    assert [row.found for row in rows] == [row.wanted for row in rows]
+    assert rows[0].found == "2021-01-01 00:00:00" and rows[2].found is None

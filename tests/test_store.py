@@ -391,3 +391,32 @@ def test_a_second_delivery_is_judged_where_it_lies(spark, tmp_path, monkeypatch)
         rows, rows.withColumn("batch", F.lit("a")), FACT,
         spark.createDataFrame([], "_digest_1 bigint, _digest_2 bigint, copies boolean"), True)
     assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_delivery_with_copies_that_comes_again_is_mostly_known(spark, tmp_path, monkeypatch):
+    """A store has each key once, so fewer rows than such a load; its rows must not be shuffled for that."""
+    monkeypatch.setattr(tables_module, "DAY_ROWS", 1)
+    monkeypatch.setattr(tables_module, "NAMED_KEYS", 10)
+    monkeypatch.setattr(tables_module, "_each_once", lambda *some: pytest.fail("rows are shuffled"))
+    root = str(tmp_path)
+    rows = spark.range(0, 100, 1, 2).selectExpr("cast(id as int) id", "timestamp'2024-01-01' + make_interval(0, 0, 0, id % 9) at", "'x' v")
+    copies = rows.unionAll(rows.filter("id < 5").selectExpr("id", "at", "'a' v"))
+    for load, frame in (("a", copies), ("b", copies), ("c", rows.selectExpr("id + 100 id", "at", "v"))):
+        load_tables({"fact": frame}, {"fact": FACT}, root, load)
+        # Copies are put aside in one folder, whatever their days.
+        aside = {os.path.dirname(path).partition("kept=__HIVE_DEFAULT_PARTITION__")[2] for path in _files(root) if "kept=__HIVE" in path}
+        assert aside in ({"/day=__HIVE_DEFAULT_PARTITION__"}, set())
+    kept = {(row["id"], row["v"], row["batch"], row["at"].day) for row in read_table(spark, root, FACT).collect()}
+    assert kept == {(i, "a" if i < 5 else "x", "a", 1 + i % 9) for i in range(100)} | {(i + 100, "x", "c", 1 + i % 9) for i in range(100)}
+    again = {(row["id"], row["v"], row["batch"], str(row["day"])) for row in read_repeats(spark, root, FACT).collect()}
+    assert again == {(i, "a" if i < 5 else "x", "b", f"2024-01-{1 + i % 9:02d}") for i in range(100)}
+
+
+def test_folders_of_a_write_are_found_with_their_sizes(spark, tmp_path):
+    _load(spark, str(tmp_path), "A", {1: "a", 11: "b", 12: "c"})
+    store = Store(spark, str(tmp_path))
+    for table in ("fact", "plain"):
+        for folder in store.folders(store.latest(), table):
+            path = folder.path(str(tmp_path), table)
+            assert folder.size == sum(os.path.getsize(os.path.join(path, name)) for name in os.listdir(path) if name.endswith(".parquet"))
+    assert [folder.day for folder in store.folders(store.latest(), "fact")] == ["2024-01-01", "2024-01-02"]

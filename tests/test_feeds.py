@@ -313,3 +313,28 @@ def test_plain_timestamps_are_those_of_the_pattern(spark):
     rows = frame.select("text", plain_timestamp(F.col("text")).cast("string").alias("found"), pattern.alias("wanted")).collect()
     assert [row.found for row in rows] == [row.wanted for row in rows]
     assert rows[0].found == "2021-01-01 00:00:00" and rows[2].found is None
+
+
+def test_unit_files_are_made_by_several_tasks_and_listed_by_few(spark, tmp_path, monkeypatch):
+    """One task made the files of all units, and each of their folders was listed by a task of its own."""
+    from bindings import water_feed
+    from sensorloom.sources import documents
+
+    rows = [(i, f"s {i}", i % 3 + 6, float(i % 5 - 1)) for i in range(1, 41)] + [(7, "s 7", 7, 1.0), (50, None, None, None)]
+    frame = spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    frame.coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    made, asked, read = {}, [], documents.read_documents
+    monkeypatch.setattr(water_feed, "shared_folder", lambda _, name: made.setdefault(name, str(tmp_path / name)))
+    monkeypatch.setattr(documents, "read_documents", lambda *some, **more: asked.append(spark.conf.get(documents.LISTING)) or read(*some, **more))
+    before = spark.conf.get(documents.LISTING)
+    monkeypatch.setattr(documents, "LISTING_TASKS", 5)
+    found = sorted(map(tuple, water_feed.water_from_unit_lists(spark, str(tmp_path)).collect()), key=str)
+    assert asked == ["5", "5"] and spark.conf.get(documents.LISTING) == before
+    files = [path for path in (tmp_path / "documents").rglob("part-*.json")]
+    units = {(i, nation) for i, _, nation, balance in rows if balance is not None and balance >= 0}
+    strays = {(-i, 7) for i, _, nation, _ in rows if nation == 7}
+    assert {(path.parent.parent.name, path.parent.name) for path in files} == {(f"poll={n}", f"unit={i}") for i, n in units | strays}
+    assert len(files) == len(units | strays) and len({path.name.split("-")[1] for path in files}) > 5
+    wanted = {(i, name, "no document" if balance < 0 else "stored") for i, name, nation, balance in rows if nation is not None}
+    assert {row for row in found if row[0] < 50 and row[2] != "unit in no list"} == wanted
+    assert {row[0] for row in found if row[2] == "unit in no list"} == {i for i, _ in strays}

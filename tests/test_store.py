@@ -420,3 +420,16 @@ def test_folders_of_a_write_are_found_with_their_sizes(spark, tmp_path):
             path = folder.path(str(tmp_path), table)
             assert folder.size == sum(os.path.getsize(os.path.join(path, name)) for name in os.listdir(path) if name.endswith(".parquet"))
     assert [folder.day for folder in store.folders(store.latest(), "fact")] == ["2024-01-01", "2024-01-02"]
+
+
+def test_small_parts_of_a_load_are_written_together(spark, tmp_path, monkeypatch):
+    """Each task that writes leaves a file a day: many tasks with few rows left many."""
+    monkeypatch.setattr(tables_module, "DAY_ROWS", 1)
+    rows = spark.range(0, 600, 1, 60).selectExpr("cast(id as int) id", "timestamp'2024-01-01' at", "'x' v")
+    most = tables_module.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert most < 60
+    for name, task_rows, files in (("few", 2_000_000, most), ("many", 10, 60)):
+        monkeypatch.setattr(tables_module, "TASK_ROWS", task_rows)
+        load_tables({"fact": rows}, {"fact": FACT}, str(tmp_path / name), "a")
+        assert len(_files(tmp_path / name)) == files
+        assert read_table(spark, str(tmp_path / name), FACT).select("id").distinct().count() == 600
